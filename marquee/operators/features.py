@@ -185,8 +185,9 @@ def mean_embedding(vectors: DataFrame, column: str) -> DataFrame:
 
 def mean_vector(vectors: DataFrame, column: str) -> Column:
     """The mean vector as a scalar array; as long as one vector, whatever the table size."""
-    ordered = mean_embedding(vectors, column).agg(F.array_sort(F.collect_list(F.struct("pos", "value"))).alias("m"))
-    return F.transform(ordered.scalar(), lambda p: p["value"].cast("float"))
+    positions = mean_embedding(vectors, column)
+    ordered = F.array_sort(F.collect_list(F.struct("pos", "value")))
+    return positions.agg(F.transform(ordered, lambda p: p["value"].cast("float")).alias("m")).scalar()
 
 
 def align_schema(df: DataFrame, expected: Sequence[str]) -> DataFrame:

@@ -28,15 +28,18 @@ def exact_quantiles(df: DataFrame, value: str, shares: Sequence[float], accuracy
     it are merged, sorted and searched for the two neighbouring ranks.
     """
     data = df.select(F.col(value).cast("double").alias("v")).filter(F.col("v").isNotNull() & ~F.isnan("v"))
-    margin = 2.0 / accuracy
+    # The sketch errs by n / accuracy ranks at most; one more for its rounding of ranks.
+    margin = 3.0 / accuracy
 
     def border(share: float, side: int) -> Column:
         at = share + side * margin
-        if at <= 0:
-            return F.min("v")
-        if at >= 1:
-            return F.max("v")
-        return F.percentile_approx("v", F.lit(at), F.lit(accuracy))
+        extreme = F.min("v") if side < 0 else F.max("v")
+        if not 0 < at < 1:
+            return extreme
+        # Few rows need no bracket, and a rank is wider than the margin there.
+        return F.when(F.count("v") <= accuracy, extreme).otherwise(
+            F.percentile_approx("v", F.lit(at), F.lit(accuracy))
+        )
 
     sketch = data.agg(
         F.struct(
