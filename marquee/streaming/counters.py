@@ -82,6 +82,7 @@ def sliding_health(spark: SparkSession, out: str, hours: int = 24) -> DataFrame:
         F.col("hour").alias("window_end_hour"),
         "num_recommendations",
         "num_errors",
+        F.col("_sum").alias("response_time_sum"),
         F.coalesce(ratio(F.col("_sum"), F.col("num_recommendations")), F.lit(0.0)).alias("avg_response_time"),
         F.coalesce(histogram_quantile(F.col("_h"), 0.95), F.lit(0.0)).alias("p95_response_time"),
         F.coalesce(ratio(F.col("num_errors"), F.col("num_recommendations")), F.lit(0.0)).alias("error_rate"),
