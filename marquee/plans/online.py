@@ -263,7 +263,7 @@ def _quantile_sql(share: float, counts: list[str], total: str) -> str:
         low, below = (windows.LATENCY_BOUNDS[i - 1], counts[i - 1]) if i else (0.0, "0")
         cases.append(
             f"WHEN {counts[i]} >= {share} * {total} THEN {low} + ({bound} - {low}) * "
-            f"({share} * {total} - {below}) / CAST({counts[i]} - {below} AS DOUBLE)"
+            f"((CAST({share} AS DOUBLE) * {total} - {below}) / CAST({counts[i]} - {below} AS DOUBLE))"
         )
     return f"round(CASE {' '.join(cases)} ELSE {windows.LATENCY_BOUNDS[-1]} END, 6)"
 
