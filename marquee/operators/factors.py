@@ -22,7 +22,6 @@ class Factors:
     movies: DataFrame
     ids: DataFrame
     model: ALSModel
-    baseline: DataFrame | None = None
 
 
 def dense_index(df: DataFrame, key: str, out: str = "idx") -> DataFrame:
@@ -31,11 +30,14 @@ def dense_index(df: DataFrame, key: str, out: str = "idx") -> DataFrame:
     return global_position(distinct, key, key, out="_p").select(key, (F.col("_p") - 1).alias(out))
 
 
-def id_map(pairs: DataFrame) -> DataFrame:
-    """(kind, raw_id, idx) for users and movies; ids are kept as text."""
+def id_map(users: DataFrame, movies: DataFrame) -> DataFrame:
+    """(kind, raw_id, idx) from the user and the movie index; ids are kept as text."""
     parts = [
-        dense_index(pairs, key).select(F.lit(kind).alias("kind"), F.col(key).cast("string").alias("raw_id"), "idx")
-        for kind, key in (("user", "user_id"), ("movie", "movie_id"))
+        index.select(F.lit(kind).alias("kind"), F.col(key).cast("string").alias("raw_id"), F.col(code).alias("idx"))
+        for index, kind, key, code in (
+            (users, "user", "user_id", "user_idx"),
+            (movies, "movie", "movie_id", "movie_idx"),
+        )
     ]
     return parts[0].unionByName(parts[1])
 
@@ -65,7 +67,7 @@ def _indexed(rows: DataFrame, value: str) -> tuple[DataFrame, DataFrame, DataFra
         .join(movies, "movie_id")
         .select(F.col("user_idx").cast("int"), F.col("movie_idx").cast("int"), F.col(value).cast("float").alias("value"))
     )
-    return materialise(coded, "als-input"), users, movies
+    return materialise(coded, "als-input", rebalance=True), users, movies
 
 
 def _fit(rows: DataFrame, value: str, seed: int, **params) -> Factors:
@@ -77,16 +79,10 @@ def _fit(rows: DataFrame, value: str, seed: int, **params) -> Factors:
     def named(factors: DataFrame, index: DataFrame, key: str, code: str) -> DataFrame:
         return factors.join(index, factors["id"] == index[code]).select(key, "features")
 
-    ids = (
-        users.select(F.lit("user").alias("kind"), F.col("user_id").cast("string").alias("raw_id"), F.col("user_idx").alias("idx"))
-        .unionByName(
-            movies.select(F.lit("movie").alias("kind"), F.col("movie_id").cast("string").alias("raw_id"), F.col("movie_idx").alias("idx"))
-        )
-    )
     return Factors(
         named(model.userFactors, users, "user_id", "user_idx"),
         named(model.itemFactors, movies, "movie_id", "movie_idx"),
-        ids,
+        id_map(users, movies),
         model,
     )
 

@@ -54,14 +54,12 @@ def weighted_median(ratings: DataFrame, dimension: DataFrame, key: str, value: s
 
 def vocabulary(movies: DataFrame, token_columns: dict[str, str]) -> DataFrame:
     """Distinct tokens per kind with their position, so train and score share one schema."""
-    entries = [
-        movies.select(F.lit(kind).alias("kind"), F.explode(column).alias("token"))
-        for kind, column in token_columns.items()
-    ]
-    union = entries[0]
-    for entry in entries[1:]:
-        union = union.unionByName(entry)
-    return union.distinct()
+
+    def labelled(kind: str, column: str) -> Column:
+        return F.transform(F.col(column), lambda t: F.struct(F.lit(kind).alias("kind"), t.alias("token")))
+
+    entries = [labelled(kind, column) for kind, column in token_columns.items()]
+    return movies.select(F.explode(F.concat(*entries)).alias("e")).select("e.*").distinct()
 
 
 def vocabulary_lists(words: DataFrame, limit: int = MAX_VOCABULARY) -> dict[str, list[str]]:
@@ -118,16 +116,22 @@ def multi_hot(df: DataFrame, kind: str, words: Sequence[str], array: str | None
     return [F.array_contains(tokens, w).cast("int").alias(f"{kind}_{w}") for w in words]
 
 
+def multi_hot_side(movies: DataFrame, words: dict[str, list[str]]) -> DataFrame:
+    """Movie attributes with the token arrays unfolded into 0/1 columns."""
+    hot = [c for kind in MULTI_HOT for c in multi_hot(movies, kind, words.get(kind, []))]
+    return movies.select("*", *hot).drop(*[f"{kind}_tokens" for kind in MULTI_HOT])
+
+
+def hot_columns(words: dict[str, list[str]]) -> list[str]:
+    return [f"{kind}_{w}" for kind in MULTI_HOT for w in words.get(kind, [])]
+
+
 def fill_and_bin(df: DataFrame, age_median: Column, year_median: Column, last_year: int) -> DataFrame:
     """Imputation, then bands, then clips: the band of an out-of-range age stays empty."""
-    unknown = F.array(F.lit("unknown"))
     filled = fill_constants(df).withColumns(
         {
             "age": F.coalesce(F.col("age"), age_median),
             "release_year": F.coalesce(F.col("release_year").cast("double"), year_median),
-            "genre_tokens": F.coalesce("genre_tokens", unknown),
-            "country_tokens": F.coalesce("country_tokens", unknown),
-            "lang_tokens": F.coalesce("lang_tokens", unknown),
         }
     )
     return clip_outliers(filled.withColumn("age_bin", S.age_bin(F.col("age"))), last_year)
@@ -148,12 +152,15 @@ def feature_table(
     rated = clean_keys(ratings, ["user_id", "movie_id"]).select("user_id", "movie_id", "rating")
     user_side, movie_side = user_attributes(users), movie_attributes(movies)
     filled = fill_and_bin(
-        enrich(rated, user_side, movie_side),
+        enrich(rated, user_side, multi_hot_side(movie_side, words)),
         weighted_median(rated, user_side, "user_id", "age"),
         weighted_median(rated, movie_side, "movie_id", "release_year"),
         last_year,
     )
-    hot = [c for kind in MULTI_HOT for c in multi_hot(filled, kind, words.get(kind, []))]
+    # A rating without a movie row carries the token 'unknown' alone.
+    hot = [
+        F.coalesce(F.col(c), F.lit(1 if c.endswith("_unknown") else 0)).alias(c) for c in hot_columns(words)
+    ]
     extra: list[str] = []
     for name, table in (factors or {}).items():
         filled = attach_factors(filled, table, name)

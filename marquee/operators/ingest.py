@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from marquee.functions import parsing
 from marquee.operators.ranking import last_per_key
 from marquee.operators.summary import report_row
+from marquee.session import materialise
 
 PAIR = ["user_id", "movie_id"]
 
@@ -35,9 +36,11 @@ def new_pairs(aggregated: DataFrame, existing: DataFrame, failed: DataFrame) ->
 
 def known_ratings(ratings: DataFrame, users: DataFrame, movies: DataFrame) -> DataFrame:
     """Ratings whose user and movie both occur in the given key sets."""
-    return ratings.join(users.select("user_id"), "user_id", "left_semi").join(
-        movies.select("movie_id"), "movie_id", "left_semi"
-    ).select(*ratings.columns)
+    return (
+        ratings.join(users.select("user_id").distinct(), "user_id", "left_semi")
+        .join(movies.select("movie_id").distinct(), "movie_id", "left_semi")
+        .select(*ratings.columns)
+    )
 
 
 def latest_ratings(ratings: DataFrame, order: Sequence[str], keys: Sequence[str] = PAIR) -> DataFrame:
@@ -72,7 +75,7 @@ def distinct_keys(facts: DataFrame, kinds: dict[str, str]) -> DataFrame:
 
 def ingest_log(lines: DataFrame, existing: DataFrame, failed: DataFrame) -> dict[str, DataFrame]:
     """New watch pairs and the ratings that belong to them, from raw log lines."""
-    watch = new_pairs(watch_aggregate(parsing.watch_events(lines)), existing, failed)
+    watch = materialise(new_pairs(watch_aggregate(parsing.watch_events(lines)), existing, failed), "new-watch")
     ratings = known_ratings(parsing.rating_events(lines), watch, watch)
     return {"watch": watch, "ratings": latest_ratings(ratings, ["timestamp", "rating"])}
 

@@ -198,7 +198,7 @@ def feature_embeddings(v):
 
 
 def training_rows(v: Views) -> DataFrame:
-    return materialise(feature_rows(v), "training")
+    return materialise(feature_rows(v), "training", rebalance=True)
 
 
 @query("feature_vector")
@@ -222,7 +222,7 @@ def tune_search(v):
 
 def watched_time(v: Views) -> DataFrame:
     watched = v.v_watch.select("user_id", F.col("movie_id").cast("bigint").alias("movie_id"), F.col("minute_no").alias("watch_time"))
-    return materialise(watched, "watched")
+    return materialise(watched, "watched", rebalance=True)
 
 
 @query("watchtime_model")
@@ -273,15 +273,15 @@ def recommend_batch(v):
     rows = training_rows(v).drop("age")
     model, _ = models.train_rating_model(rows, SMALL)
     words = words_of(v)
-    movies = features.movie_attributes(v.v_movies)
+    movies = features.multi_hot_side(features.movie_attributes(v.v_movies), words)
     median = features.weighted_median(v.v_rating_big, movies, "movie_id", "release_year")
     filled = features.clip_outliers(
         features.fill_constants(movies).withColumn("release_year", F.coalesce(F.col("release_year").cast("double"), median)), LAST_YEAR
     )
-    hot = [c for kind in features.MULTI_HOT for c in features.multi_hot(filled, kind, words[kind])]
-    side = models.model_input(filled.select("movie_id", *features.MOVIE_NUMBERS, "release_year", "original_language", *hot))
+    columns = ["movie_id", *features.MOVIE_NUMBERS, "release_year", "original_language", *features.hot_columns(words)]
+    side = models.model_input(filled.select(*columns))
     profiles = features.cold_start_profiles(v.v_users, v.v_users).select(
         "user_id", F.coalesce(S.age_bin(F.col("age")), F.lit("unknown")).alias("age_bin"),
         F.coalesce("occupation", F.lit("unknown")).alias("occupation"), F.coalesce("gender", F.lit("unknown")).alias("gender"),
     )
-    return recommend.recommend_with_model(model, materialise(side, "movie-side"), materialise(profiles, "profiles"), PROFILE, N)
+    return recommend.recommend_with_model(model, materialise(side, "movie-side", rebalance=True), materialise(profiles, "profiles"), PROFILE, N)

@@ -63,12 +63,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         context.setCheckpointDir(scratch_path(spark, "checkpoints"))
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
+def materialise(df: DataFrame, name: str, rebalance: bool = False) -> DataFrame:
     """Write ``df`` as a shared table and read it back.
 
     Used where a result feeds several passes; unlike a cache it survives the loss
-    of the executors that computed it.
+    of the executors that computed it. ``rebalance`` evens out the file sizes, for
+    tables an iterative job reads many times.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    (df.hint("rebalance") if rebalance else df).write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
