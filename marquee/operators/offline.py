@@ -9,6 +9,7 @@ from marquee.functions.scalars import ratio, tokens
 from marquee.operators.quantiles import exact_quantile, quantiles_of_counts
 from marquee.operators.ranking import top_share
 from marquee.operators.summary import as_struct, report_row
+from marquee.session import materialise
 
 
 def pearson(x: str, y: str) -> Column:
@@ -100,7 +101,7 @@ def log_overview(ratings: DataFrame) -> DataFrame:
 
 def feedback_report(ratings: DataFrame, movies: DataFrame, rated_groups: DataFrame, group: str = "gender") -> DataFrame:
     """The four analyses as one document."""
-    per_movie = movie_popularity(ratings, movies)
+    per_movie = materialise(movie_popularity(ratings, movies), "per-movie")
     fairness = group_fairness(rated_groups, group)
     groups = fairness.agg(F.array_sort(F.collect_list(F.struct(*fairness.columns)))).scalar()
     spark = ratings.sparkSession

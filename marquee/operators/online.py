@@ -11,6 +11,7 @@ from marquee.functions.scalars import number, ratio, stable_bucket
 from marquee.operators.asof import attach_latest
 from marquee.operators.quantiles import exact_quantile
 from marquee.operators.summary import report_row
+from marquee.session import materialise
 
 CTR_THRESHOLD = 0.10
 CANARY_CTR_RATIO = 0.70
@@ -140,9 +141,14 @@ def _hit_rate(lists: DataFrame, interactions: DataFrame) -> DataFrame:
 
 
 def online_metrics(served: DataFrame, interactions: DataFrame, errors: DataFrame, as_of: Column, hours: int = 24) -> DataFrame:
-    """Health metrics over the last ``hours`` before ``as_of``; one row."""
+    """Health metrics over the last ``hours`` before ``as_of``; one row.
+
+    The lists of that time are read once and kept as a table for the five figures
+    computed from them.
+    """
     cutoff = as_of - F.expr(f"INTERVAL {int(hours)} HOURS")
     served, interactions, errors = (df.filter(F.col("ts") > cutoff) for df in (served, interactions, errors))
+    served = materialise(served.select("event_id", "ts", "user_id", "items", "response_time"), "served")
     spark = served.sparkSession
     counts = served.agg(
         F.count(F.lit(1)).alias("num_recommendations"),

@@ -83,7 +83,8 @@ POPULAR = """popular AS (SELECT movie_id, row_number() OVER (ORDER BY minutes DE
 )
 def recommend_fallback(v):
     popular = offline.popularity_top(totals_of(v), N).select(F.col("movie_id").cast("bigint"), "rank")
-    return long_rank(recommend.recommend_fallback(v.v_users, genre_recommendations(v), popular, N))
+    lists = materialise(genre_recommendations(v), "lists")
+    return long_rank(recommend.recommend_fallback(v.v_users, lists, popular, N))
 
 
 @query(
