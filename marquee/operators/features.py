@@ -144,15 +144,17 @@ def feature_table(
     words: dict[str, list[str]],
     last_year: int,
     factors: dict[str, DataFrame] | None = None,
+    rebalance: bool = False,
 ) -> DataFrame:
     """Training rows: the fixed columns, the rating, multi-hot columns, optional factors.
 
-    ``users`` and ``movies`` hold one row per key.
+    ``users`` and ``movies`` hold one row per key. ``rebalance`` evens out the
+    partitions while the rows are still narrow, for a table that is read often.
     """
     rated = clean_keys(ratings, ["user_id", "movie_id"]).select("user_id", "movie_id", "rating")
     user_side, movie_side = user_attributes(users), movie_attributes(movies)
     filled = fill_and_bin(
-        enrich(rated, user_side, multi_hot_side(movie_side, words)),
+        enrich(rated.hint("rebalance") if rebalance else rated, user_side, multi_hot_side(movie_side, words)),
         weighted_median(rated, user_side, "user_id", "age"),
         weighted_median(rated, movie_side, "movie_id", "release_year"),
         last_year,

@@ -205,7 +205,7 @@ def feature_table(v):
 @query("features_roundtrip", FEATURE_SQL, MEDIANS, PER_RATING)
 def features_roundtrip(v):
     path = scratch_path(v.spark, "features")
-    feature_rows(v).write.parquet(path)
+    feature_rows(v, rebalance=True).write.parquet(path)
     return v.spark.read.parquet(path)
 
 

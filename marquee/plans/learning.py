@@ -6,6 +6,7 @@ from pyspark.ml import Pipeline
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marquee import schemas
 from marquee.functions import scalars as S
 from marquee.operators import factors, features, metrics, models, offline, ranking, recommend, similarity
 from marquee.plans.features import LAST_YEAR, feature_rows, watch_with_duration, words_of
@@ -13,7 +14,7 @@ from marquee.plans.offline import TOTALS, totals_of
 from marquee.plans.registry import query
 from marquee.plans.views import Views
 from marquee.session import materialise, scratch_path
-from marquee.sources import registry
+from marquee.sources import registry, sinks
 
 N = 10
 PROFILE = ["age_bin", "occupation", "gender"]
@@ -116,17 +117,37 @@ def ranking_metrics(v):
 
 
 SIMILAR = """pairs AS (SELECT DISTINCT user_id, movie_id FROM v_watch), sizes AS (SELECT movie_id, count(*) n FROM pairs GROUP BY 1),
-  alike AS (SELECT a.movie_id i, b.movie_id j, round(count(*) / sqrt(any_value(x.n) * any_value(y.n)), 6) cosine
+  alike AS (SELECT a.movie_id i, b.movie_id j, count(*) / sqrt(any_value(x.n) * any_value(y.n)) cosine
     FROM pairs a JOIN pairs b ON a.user_id = b.user_id AND a.movie_id < b.movie_id
     JOIN sizes x ON x.movie_id = a.movie_id JOIN sizes y ON y.movie_id = b.movie_id GROUP BY 1, 2)"""
 
 
-@query("item_item_sim", "SELECT i, j, cosine FROM alike", SIMILAR)
+@query("item_item_sim", "SELECT i, j, round(cosine, 6) cosine FROM alike", SIMILAR)
 def item_item_sim(v):
     similar = similarity.item_similarity(v.v_watch)
     return similar.select(F.col("i").cast("int"), F.col("j").cast("int"), "cosine")
 
 
+TOP_SIMILAR = """both_ways AS (SELECT i, j, cosine FROM alike UNION ALL SELECT j, i, cosine FROM alike),
+  top_similar AS (SELECT i, j, cosine, row_number() OVER (PARTITION BY i ORDER BY cosine DESC, j) AS rank FROM both_ways
+    QUALIFY rank <= 20)"""
+
+
+@query("item_item_top", "SELECT i, j, round(cosine, 6) cosine, rank FROM top_similar", SIMILAR, TOP_SIMILAR)
+def item_item_top(v):
+    top = similarity.item_similarity(v.v_watch, top_n=20)
+    return long_rank(top.select(F.col("i").cast("int"), F.col("j").cast("int"), "cosine", "rank"))
+
+
+@query("ranking_item_item")
+def ranking_item_item(v):
+    """The item-item ranker judged like the popularity ranker, on items not yet watched."""
+    similar = materialise(similarity.item_similarity(v.v_watch, top_n=20), "similar")
+    lists = recommend.recommend_by_similarity(similar, v.v_watch, 20)
+    truth = v.v_inter.select("user_id", F.col("item_id").alias("movie_id"))
+    return metrics.ranking_metrics(lists, truth, 20)
+
+
 @query("sample_cap")
 def sample_cap(v):
     keys = ["user_id", "movie_id", "l_orderkey", "l_linenumber"]
@@ -199,7 +220,7 @@ def feature_embeddings(v):
 
 
 def training_rows(v: Views) -> DataFrame:
-    return materialise(feature_rows(v), "training", rebalance=True)
+    return materialise(feature_rows(v, rebalance=True), "training")
 
 
 @query("feature_vector")
@@ -226,6 +247,17 @@ def watched_time(v: Views) -> DataFrame:
     return materialise(watched, "watched", rebalance=True)
 
 
+@query("tune_latest")
+def tune_latest(v):
+    """The parameters a training run would use after a search was logged."""
+    rows = materialise(ranking.sample_fraction(training_rows(v), ["user_id", "movie_id"], 0.2), "tuning")
+    candidates = models.sampled_params({**models.LIGHT_SEARCH, "n_estimators": range(2, TREES)}, 2, seed=7)
+    path = scratch_path(v.spark, "tuning-log")
+    sinks.append_table(models.tuning_record(v.spark, models.tune(rows, candidates), 0.0, 2), path, schemas.TUNING_RESULTS)
+    chosen = models.latest_params(v.spark.read.schema(schemas.TUNING_RESULTS).parquet(path))
+    return v.spark.createDataFrame(sorted(chosen.items()), "parameter STRING, value DOUBLE")
+
+
 @query("watchtime_model")
 def watchtime_model(v):
     return models.watchtime_model(watched_time(v), trees=TREES, depth=4)[1]

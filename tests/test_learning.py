@@ -156,3 +156,10 @@ def test_fallback_fills_only_users_without_lists(spark, rows):
 def test_served_text(spark, rows):
     recs = spark.createDataFrame([(1, 11, 2), (1, 12, 1), (2, 9, 1)], "user_id BIGINT, movie_id BIGINT, rank INT")
     assert rows(recommend.served_text(recs)) == [(1, "12, 11"), (2, "9")]
+
+
+def test_similarity_lists_skip_seen_movies(spark, rows):
+    similar = spark.createDataFrame([(1, 2, 0.9), (1, 3, 0.5), (4, 3, 0.6), (4, 1, 0.8)], "i BIGINT, j BIGINT, cosine DOUBLE")
+    seen = spark.createDataFrame([(7, 1), (7, 4), (7, 1), (8, 1)], "user_id BIGINT, movie_id BIGINT")
+    got = recommend.recommend_by_similarity(similar, seen, 1).select("user_id", "movie_id", "rank")
+    assert rows(got) == [(7, 3, 1), (8, 2, 1)]
