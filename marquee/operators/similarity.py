@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import sys
+
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marquee.operators.ranking import best_per_key
 
+# Ship the functions below inside the tasks, so executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 ROWS_PER_SLICE = 200_000
 # A user with at most this many items lists the pairs directly: linear in the rows.
 LIGHT_USER = 32
