@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -185,18 +187,18 @@ def attach_factors(df: DataFrame, factors: DataFrame, name: str) -> DataFrame:
 
 def mean_embedding(vectors: DataFrame, column: str) -> DataFrame:
     """Mean of every vector position: (pos, value)."""
-    return (
-        vectors.select(F.posexplode(column).alias("pos", "x"))
-        .groupBy("pos")
-        .agg(F.avg(F.col("x").cast("double")).alias("value"))
-    )
+    return _mean(vectors, column).select(F.posexplode("mean").alias("pos", "value"))
 
 
 def mean_vector(vectors: DataFrame, column: str) -> Column:
     """The mean vector as a scalar array; as long as one vector, whatever the table size."""
-    positions = mean_embedding(vectors, column)
-    ordered = F.array_sort(F.collect_list(F.struct("pos", "value")))
-    return positions.agg(F.transform(ordered, lambda p: p["value"].cast("float")).alias("m")).scalar()
+    return _mean(vectors, column).select(F.col("mean").cast("array<float>")).scalar()
+
+
+def _mean(vectors: DataFrame, column: str) -> DataFrame:
+    """One row with the mean vector; whole vectors are summed, without a row per position."""
+    present = vectors.filter(F.col(column).isNotNull()).select(array_to_vector(column).alias("v"))
+    return present.agg(vector_to_array(Summarizer.mean(F.col("v"))).alias("mean"))
 
 
 def align_schema(df: DataFrame, expected: Sequence[str]) -> DataFrame:

@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
+CELLS = 4_096
+
+
 def quantiles_of_counts(df: DataFrame, value: str, shares: Sequence[float]) -> Column:
     """Scalar array of exact quantiles of a column with few distinct values.
 
@@ -24,8 +27,9 @@ def exact_quantiles(df: DataFrame, value: str, shares: Sequence[float], accuracy
     """One row per share: (share, quantile), exact for any number of distinct values.
 
     An approximate sketch brackets each quantile within a few ``1/accuracy`` of
-    the rows. Rows below the bracket are only counted, and only the values inside
-    it are merged, sorted and searched for the two neighbouring ranks.
+    the rows. Rows below the bracket are only counted; values inside it are merged
+    and counted in narrow cells, and only the cells that hold the two neighbouring
+    ranks are sorted.
     """
     data = df.select(F.col(value).cast("double").alias("v")).filter(F.col("v").isNotNull() & ~F.isnan("v"))
     # The sketch errs by n / accuracy ranks at most; one more for its rounding of ranks.
@@ -57,15 +61,34 @@ def exact_quantiles(df: DataFrame, value: str, shares: Sequence[float], accuracy
     counted = (
         data.withColumn("b", F.explode(sketch["brackets"]))
         .filter(F.col("v") <= F.col("b.high"))
-        .select(F.col("b.share").alias("share"), F.when(F.col("v") >= F.col("b.low"), F.col("v")).alias("v"))
-        .groupBy("share", "v")
+        .select("b.*", F.when(F.col("v") >= F.col("b.low"), F.col("v")).alias("v"))
+        .groupBy("share", "low", "high", "v")
         .agg(F.count(F.lit(1)).alias("rows"))
     )
-    upto = Window.partitionBy("share").orderBy(F.col("v").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
+    # Cut each bracket into equal widths, find the cells that hold the two ranks,
+    # and look at single values only there. The rows below the bracket are cell -1.
+    width = F.try_divide(F.col("v") - F.col("low"), F.col("high") - F.col("low"))
+    cells = counted.withColumn(
+        "cell", F.when(F.col("v").isNull(), -1).otherwise(F.floor(F.coalesce(width, F.lit(0.0)) * CELLS)).cast("int")
+    )
     at = F.col("share") * (sketch["n"] - 1)
-    ranked = counted.withColumn("upto", F.sum("rows").over(upto)).withColumn("at", at)
+    in_order = Window.partitionBy("share").orderBy("cell").rowsBetween(Window.unboundedPreceding, 0)
+    sizes = (
+        cells.groupBy("share", "cell")
+        .agg(F.sum("rows").alias("size"))
+        .withColumn("end", F.sum("size").over(in_order))
+        .withColumn("at", at)
+    )
+    start = F.col("end") - F.col("size")
+    holds = [(start <= rank) & (F.col("end") > rank) for rank in (F.floor("at"), F.ceil("at"))]
+    chosen = sizes.filter(holds[0] | holds[1]).select("share", "cell", "at", start.alias("start"))
+    # Two cells per share at most.
+    upto = Window.partitionBy("share", "cell").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = cells.join(F.broadcast(chosen), ["share", "cell"]).withColumn(
+        "upto", F.col("start") + F.sum("rows").over(upto)
+    )
     found = ranked.groupBy("share", "at").agg(
-        F.max(F.when(F.col("v").isNull() & (F.col("upto") > F.floor("at")), True)).alias("missed"),
+        F.max(F.col("v").isNull()).alias("missed"),
         F.min(F.when(F.col("upto") > F.floor("at"), F.col("v"))).alias("lower"),
         F.min(F.when(F.col("upto") > F.ceil("at"), F.col("v"))).alias("upper"),
     )
