@@ -175,17 +175,22 @@ def ingest_ratings(v):
     return ingest.ingest_log(v.v_log, log_pairs(v), failed_movies(v))["ratings"]
 
 
-@query(
-    "coerce_numeric",
-    """SELECT movie_id, substr(release_date, 1, 4) raw, TRY_CAST(substr(release_date, 1, 4) AS DOUBLE) number FROM v_movies
-       WHERE TRY_CAST(substr(release_date, 1, 4) AS DOUBLE) IS NOT NULL OR movie_id % 2 = 0""",
-)
-def coerce_numeric(v):
+RELEASE = "SELECT movie_id, substr(release_date, 1, 4) raw, TRY_CAST(substr(release_date, 1, 4) AS DOUBLE) number FROM v_movies"
+
+
+def release_numbers(v: Views) -> DataFrame:
     raw = F.substring("release_date", 1, 4)
-    read = v.v_movies.select("movie_id", raw.alias("raw"), S.number(raw).alias("number"))
-    # Odd movies without a number are dropped, even ones keep a NULL.
-    odd = features.clean_keys(read.filter("movie_id % 2 = 1"), ["number"])
-    return odd.unionByName(read.filter("movie_id % 2 = 0"))
+    return v.v_movies.select("movie_id", raw.alias("raw"), S.number(raw).alias("number"))
+
+
+@query("coerce_numeric", RELEASE)
+def coerce_numeric(v):
+    return release_numbers(v)
+
+
+@query("drop_missing", f"SELECT * FROM ({RELEASE}) WHERE number IS NOT NULL")
+def drop_missing(v):
+    return features.clean_keys(release_numbers(v), ["number"])
 
 
 RAW_IDS = """raw_ids AS (SELECT event_id, CASE event_id % 4 WHEN 0 THEN CAST(user_id AS VARCHAR)

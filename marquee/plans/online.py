@@ -223,12 +223,12 @@ def canary_assign(v):
     """SELECT model_version, count(*) n, round(count(*) / CAST((SELECT count(*) FROM v_recs) AS DOUBLE), 6) AS share,
        (SELECT count(*) FILTER (model_version = 'v2') > 0
           AND abs(100.0 * count(*) FILTER (model_version = 'v2') / count(*) - 10) <= 15
-          AND CAST(e.n AS DOUBLE) / (count(*) + e.n) < 0.1 FROM v_recs, (SELECT count(*) n FROM v_error WHERE event_id % 20 = 0) e
+          AND CAST(e.n AS DOUBLE) / (count(*) + e.n) < 0.1 FROM v_recs, (SELECT count(*) n FROM v_error) e
           GROUP BY e.n) AS pass
        FROM v_recs GROUP BY 1""",
 )
 def traffic_split(v):
-    n_errors = v.v_error.filter("event_id % 20 = 0").agg(F.count(F.lit(1))).scalar()
+    n_errors = v.v_error.agg(F.count(F.lit(1))).scalar()
     return online.traffic_split(v.v_recs, n_errors, 10.0)
 
 
