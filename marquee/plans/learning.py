@@ -300,21 +300,47 @@ def model_roundtrip(v):
     return scored.select("user_id", "movie_id", "rating", "prediction")
 
 
-@query("recommend_batch")
-def recommend_batch(v):
-    """Rating model on user profile and movie features; every movie for every user."""
-    rows = training_rows(v).drop("age")
-    model, _ = models.train_rating_model(rows, SMALL)
+def movie_side(v: Views) -> DataFrame:
+    """Model features of every movie, filled as in training."""
     words = words_of(v)
     movies = features.multi_hot_side(features.movie_attributes(v.v_movies), words)
     median = features.weighted_median(v.v_rating_big, movies, "movie_id", "release_year")
     filled = features.clip_outliers(
         features.fill_constants(movies).withColumn("release_year", F.coalesce(F.col("release_year").cast("double"), median)), LAST_YEAR
     )
-    columns = ["movie_id", *features.MOVIE_NUMBERS, "release_year", "original_language", *features.hot_columns(words)]
-    side = models.model_input(filled.select(*columns))
-    profiles = features.cold_start_profiles(v.v_users, v.v_users).select(
-        "user_id", F.coalesce(S.age_bin(F.col("age")), F.lit("unknown")).alias("age_bin"),
-        F.coalesce("occupation", F.lit("unknown")).alias("occupation"), F.coalesce("gender", F.lit("unknown")).alias("gender"),
+    return filled.select(
+        "movie_id", *features.MOVIE_NUMBERS, "release_year", "original_language", *features.hot_columns(words)
+    )
+
+
+def profiles_of(v: Views) -> DataFrame:
+    known = features.cold_start_profiles(v.v_users, v.v_users)
+    return known.select(
+        "user_id",
+        F.coalesce(S.age_bin(F.col("age")), F.lit("unknown")).alias("age_bin"),
+        F.coalesce("occupation", F.lit("unknown")).alias("occupation"),
+        F.coalesce("gender", F.lit("unknown")).alias("gender"),
+    )
+
+
+def lists_by_model(v: Views, rows: DataFrame, side: DataFrame) -> DataFrame:
+    model, _ = models.train_rating_model(rows, SMALL)
+    side = materialise(models.model_input(side), "movie-side")
+    return recommend.recommend_with_model(model, side, materialise(profiles_of(v), "profiles"), PROFILE, N)
+
+
+@query("recommend_batch")
+def recommend_batch(v):
+    """Rating model on user profile and movie features; every movie for every user."""
+    return lists_by_model(v, training_rows(v).drop("age"), movie_side(v))
+
+
+@query("recommend_embedded")
+def recommend_embedded(v):
+    """The same with factors: a movie brings its own, every user the mean of all users."""
+    exp = explicit(v)
+    rows = feature_rows(v, factors={"exp_user": exp.users, "exp_movie": exp.movies}, rebalance=True)
+    side = features.attach_factors(movie_side(v), exp.movies, "exp_movie").withColumns(
+        {"exp_user": features.mean_vector(exp.users, "features"), "has_exp_user": F.lit(0)}
     )
-    return recommend.recommend_with_model(model, materialise(side, "movie-side", rebalance=True), materialise(profiles, "profiles"), PROFILE, N)
+    return lists_by_model(v, materialise(rows.drop("age"), "training"), side)

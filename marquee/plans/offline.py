@@ -191,5 +191,9 @@ def refresh_delta(v):
     REFRESH,
 )
 def retrain_gate(v):
-    state = _stats(v, 5000).select(F.col("users").alias("users_seen"), F.col("interactions").alias("interactions_seen"))
-    return rollout.retrain_gate(_stats(v), state)
+    path = scratch_path(v.spark, "retrain-state")
+    for before, at in ((2500, "2024-01-01 00:00:00"), (5000, "2024-01-02 00:00:00")):
+        state = refresh.retrain_state(_stats(v, before), F.lit(at).cast("timestamp"))
+        sinks.append_table(state, path, schemas.RETRAIN_STATE)
+    stored = v.spark.read.schema(schemas.RETRAIN_STATE).parquet(path)
+    return rollout.retrain_gate(_stats(v), refresh.latest_state(stored))

@@ -5,19 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marquee import schemas
 from marquee.operators.online import click_attribution
 from marquee.sources.files import optional_table
 from marquee.streaming.ingest import run_available
 
-SERVED_STATE = "user_id BIGINT, ts TIMESTAMP, event_id BIGINT, items ARRAY<STRING>, model_version STRING, batch BIGINT"
+SERVED_STATE = "user_id BIGINT, ts TIMESTAMP, event_id BIGINT, items ARRAY<STRING>, model_version STRING"
 
 
 def attribute_clicks(events: DataFrame, out: str, state: str, checkpoint: str, keep: str = "24 hours") -> None:
     """Match each click of a stream with the list last served to its user.
 
     ``events`` holds served rows (``items`` set) and click rows (``item_id`` set).
-    The state is one row per user served within ``keep`` of the newest event: a
+    The state is one row per user served within ``keep`` of the newest list: a
     table written per micro-batch next to the results, so both can be repeated
     after a failure. Lists that arrive after a click are left to the batch job.
     """
@@ -25,7 +24,8 @@ def attribute_clicks(events: DataFrame, out: str, state: str, checkpoint: str, k
 
     def store(batch: DataFrame, number: int) -> None:
         columns = ["user_id", "ts", "event_id", "items", "model_version"]
-        before = optional_table(spark, state, SERVED_STATE).filter(F.col("batch") == number - 1)
+        batch.persist()
+        before = optional_table(spark, f"{state}/batch={number - 1}", SERVED_STATE)
         served = before.select(columns).unionByName(batch.filter(F.col("items").isNotNull()).select(columns))
         clicks = batch.filter(F.col("item_id").isNotNull()).select("user_id", "ts", "event_id", "item_id")
         click_attribution(served, clicks).write.mode("overwrite").parquet(f"{out}/batch={number}")
@@ -33,5 +33,6 @@ def attribute_clicks(events: DataFrame, out: str, state: str, checkpoint: str, k
         newest = served.groupBy("user_id").agg(F.max_by(F.struct(*columns), F.struct("ts", "event_id")).alias("s"))
         horizon = newest.agg(F.max("s.ts")).scalar() - F.expr(f"INTERVAL {keep}")
         newest.select("s.*").filter(F.col("ts") >= horizon).write.mode("overwrite").parquet(f"{state}/batch={number}")
+        batch.unpersist()
 
     run_available(events.writeStream.foreachBatch(store), checkpoint)

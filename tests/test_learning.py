@@ -163,3 +163,15 @@ def test_similarity_lists_skip_seen_movies(spark, rows):
     seen = spark.createDataFrame([(7, 1), (7, 4), (7, 1), (8, 1)], "user_id BIGINT, movie_id BIGINT")
     got = recommend.recommend_by_similarity(similar, seen, 1).select("user_id", "movie_id", "rank")
     assert rows(got) == [(7, 3, 1), (8, 2, 1)]
+
+
+def test_rating_model_takes_factor_arrays(spark, feature_rows, explicit):
+    from marquee.operators.features import attach_factors
+
+    known = [r["user_id"] for r in explicit.users.select("user_id").orderBy("user_id").limit(5).collect()]
+    moved = feature_rows.withColumn("user_id", F.when(F.col("user_id") < 400, F.lit(known[0])).otherwise(F.lit(-1)))
+    rows = attach_factors(moved, explicit.users, "exp_user")
+    model, report = models.train_rating_model(rows, PARAMS)
+    plain, _ = models.train_rating_model(moved, {"n_estimators": 1})
+    assert model.stages[-1].numFeatures == plain.stages[-1].numFeatures + 4 + 1
+    assert report.first()["rmse"] < 1
