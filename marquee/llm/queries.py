@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import bagminhash, line_spread, packing, phrase_index, quality, wavelet
+from marquee.llm import bagminhash, line_spread, packing, phrase_index, quality, radix_windows, wavelet
 from marquee.llm.tables import documents, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -146,6 +146,18 @@ FROM j
 """
 
 
+@query
+def op8_radix_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = radix_windows.without_repeats(documents(spark, sf_dir))
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).cast("bigint").alias("n_removed"),
+        F.size("spans").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 @query
 def op9_bagminhash_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bagminhash.classes(documents(spark, sf_dir)).select("doc_id", "class_id")
