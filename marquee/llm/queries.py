@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import bagminhash, line_spread, packing, phrase_index, quality, radix_windows, wavelet
+from marquee.llm import bagminhash, compression, line_spread, packing, phrase_index, quality, radix_windows, wavelet
 from marquee.llm.tables import documents, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -161,3 +161,18 @@ def op8_radix_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_bagminhash_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bagminhash.classes(documents(spark, sf_dir)).select("doc_id", "class_id")
+
+
+@query
+def op10_compression_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = compression.train(compression.training_sample(docs, table(spark, sf_dir, "labels")))
+    held_out = F.coalesce(~compression.training_row(F.col("doc_id")), F.lit(False))
+    return compression.scored(docs, model).select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "score",
+        (F.col("score") >= compression.PREDICTED).cast("int").alias("predicted"),
+        "n_windows",
+        "largest",
+    )
