@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import bagminhash, compression, line_spread, packing, phrase_index, quality, radix_windows, wavelet
+from marquee.llm import bagminhash, compression, line_spread, packing, phrase_index, pseudo_likelihood, quality, radix_windows, wavelet
 from marquee.llm.tables import documents, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -146,6 +146,13 @@ FROM j
 """
 
 
+@query
+def op7_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pseudo_likelihood.pseudo_likelihood(documents(spark, sf_dir))
+    per_word = F.when(F.col("n_words") > 0, F.col("log_likelihood") / F.col("n_words"))
+    return found.withColumn("per_word", per_word)
+
+
 @query
 def op8_radix_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = radix_windows.without_repeats(documents(spark, sf_dir))
