@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import bagminhash, compression, line_spread, packing, phrase_index, pseudo_likelihood, quality, radix_windows, wavelet
+from marquee.llm import bagminhash, compression, line_spread, packing, phrase_index, pseudo_likelihood, quality, radix_windows, template, wavelet
 from marquee.llm.tables import documents, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -146,6 +146,12 @@ FROM j
 """
 
 
+@query
+def op6_template_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = template.extracted(table(spark, sf_dir, "pages"))
+    return found.withColumn("n_chars", F.char_length("text").cast("bigint"))
+
+
 @query
 def op7_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pseudo_likelihood.pseudo_likelihood(documents(spark, sf_dir))
