@@ -62,7 +62,7 @@ MARKUP = re.compile(
 ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 HIDDEN = re.compile(r"""(?:^|\s)hidden(?:[\s=/]|$)""", re.I)
 SPACE = re.compile(r"\s+")
-NUMBER = re.compile(r"\d+")
+NUMBER = re.compile(r"\d{2,}")
 NAME_PART = re.compile(r"[a-z]+")
 SITE = r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)"
 
