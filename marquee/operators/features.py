@@ -235,10 +235,10 @@ def cold_start_profiles(requests: DataFrame, users: DataFrame) -> DataFrame:
     )
 
 
-def hash_split(df: DataFrame, test_share: float = 0.1, buckets: int = 10) -> DataFrame:
-    """Mark each (user, movie) row 'train' or 'test' by its keys."""
-    bucket = S.stable_bucket(F.col("user_id"), F.col("movie_id"), buckets=buckets)
-    return df.withColumn("split", F.when(bucket < round(test_share * buckets), "test").otherwise("train"))
+def hash_split(df: DataFrame, test_share: float = 0.1, seed: int = 42) -> DataFrame:
+    """Mark each (user, movie) row 'train' or 'test' by its keys and the seed."""
+    test = S.in_share(test_share, F.col("user_id"), F.col("movie_id"), seed=seed)
+    return df.withColumn("split", F.when(test, "test").otherwise("train"))
 
 
 def minmax_scale(df: DataFrame, value: str, train: DataFrame, out: str = "scaled") -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marquee.functions.scalars import number, ratio, stable_bucket
+from marquee.functions.scalars import in_share, number, ratio
 from marquee.operators.asof import attach_latest
 from marquee.operators.quantiles import exact_quantile
 from marquee.operators.summary import report_row
@@ -190,10 +190,9 @@ def online_error(quality: DataFrame) -> DataFrame:
     )
 
 
-def canary_assign(requests: DataFrame, percent: float, key: str, has_canary: bool = True, buckets: int = 100) -> DataFrame:
+def canary_assign(requests: DataFrame, percent: float, key: str, has_canary: bool = True, seed: int = 42) -> DataFrame:
     """Model of every request: a sticky share of the keys goes to v2."""
-    bucket = stable_bucket(F.col(key), buckets=buckets)
-    to_canary = (bucket < percent) & F.lit(has_canary)
+    to_canary = in_share(percent / 100, F.col(key), seed=seed) & F.lit(has_canary)
     return requests.withColumn("model", F.when(to_canary, "v2").otherwise("v1"))
 
 

@@ -257,16 +257,14 @@ def mean_embedding(v):
 
 @query(
     "attach_mean_embedding",
-    "SELECT vec_id, "
-    + ", ".join(f"round((SELECT value FROM em WHERE pos = {i}), 5) m{i}" for i in range(4))
-    + " FROM embeddings",
+    "SELECT vec_id, pos, round(value, 5) AS value FROM embeddings, em",
     EMBED_MEAN,
 )
 def attach_mean_embedding(v):
     mean = features.mean_vector(v.embeddings, "embedding")
-    return v.embeddings.select("vec_id", mean.alias("m")).select(
-        "vec_id", *[F.round(F.col("m")[i].cast("double"), 5).alias(f"m{i}") for i in range(4)]
-    )
+    attached = v.embeddings.select("vec_id", mean.alias("mean"))
+    every = attached.select("vec_id", F.posexplode("mean").alias("pos", "value"))
+    return every.withColumn("value", F.round(F.col("value").cast("double"), 5))
 
 
 @query(
@@ -293,8 +291,8 @@ def holdout_split(v):
 
 @query(
     "split_hash",
-    """SELECT CASE WHEN (user_id % 10 * 31 + movie_id % 10 * 17) % 10 < 1 THEN 'test' ELSE 'train' END split, count(*) n_rows,
-       count(DISTINCT user_id) n_users FROM v_rating_big GROUP BY 1""",
+    f"""SELECT CASE WHEN substr(md5(concat('42:', CAST(user_id AS VARCHAR), ':', CAST(movie_id AS VARCHAR))), 1, 8) < '{S.share_limit(0.1)}'
+       THEN 'test' ELSE 'train' END split, count(*) n_rows, count(DISTINCT user_id) n_users FROM v_rating_big GROUP BY 1""",
 )
 def split_hash(v):
     return _split_sizes(features.hash_split(v.v_rating_big.select("user_id", "movie_id"), 0.1))

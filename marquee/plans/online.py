@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marquee import schemas
+from marquee.functions.scalars import share_limit
 from marquee.operators import lineage, metrics, online, rollout, windows
 from marquee.plans.registry import query
 from marquee.plans.views import Views
@@ -114,17 +115,19 @@ def rollout_staircase(v):
 
 
 LINEAR = """stepped AS (SELECT *, CASE WHEN current_pct < 10 THEN 10 ELSE least(100, current_pct + 10) END raised FROM state),
-  decided AS (SELECT *, CASE WHEN issue IS NOT NULL THEN 'abort' WHEN ctr_v2 IS NULL THEN 'no_canary' WHEN n_inter < 10 THEN 'too_few'
+  chosen AS (SELECT *, CASE WHEN issue IS NOT NULL THEN 'abort' WHEN ctr_v2 IS NULL THEN 'no_canary' WHEN n_inter < 10 THEN 'too_few'
     WHEN n_inter % 10 <> 0 THEN 'waiting' WHEN raised = current_pct THEN 'unchanged' WHEN raised >= 100 THEN 'promote' ELSE 'ramp' END step
     FROM stepped),
-  linear AS (SELECT day, current_pct, n_inter, issue, step, CASE step WHEN 'abort' THEN 'ABORT' WHEN 'promote' THEN 'PROMOTE_AND_RESET'
+  decided AS (SELECT * FROM chosen UNION ALL SELECT * REPLACE ('reach' AS step) FROM chosen WHERE step = 'promote'),
+  linear AS (SELECT day, current_pct, n_inter, issue, step, raised, CASE step WHEN 'abort' THEN 'ABORT' WHEN 'promote' THEN 'PROMOTE_AND_RESET'
     ELSE 'RAMP' END AS action, CASE step WHEN 'abort' THEN 'canary_abort' WHEN 'promote' THEN 'promotion' ELSE 'canary_check' END event_type,
-    CASE WHEN step IN ('abort', 'promote') THEN 0 WHEN step = 'ramp' THEN raised ELSE current_pct END new_pct,
+    CASE WHEN step IN ('abort', 'promote') THEN 0 WHEN step IN ('ramp', 'reach') THEN raised ELSE current_pct END new_pct,
     CASE step WHEN 'abort' THEN concat('Issue detected: ', issue, '. Canary release aborted and traffic returned to v1 exclusively.')
       WHEN 'no_canary' THEN 'No canary traffic observed.'
       WHEN 'too_few' THEN concat('Insufficient interactions (', n_inter, '); need >= 10.')
       WHEN 'waiting' THEN concat('Waiting for interaction count multiple of 10 (have ', n_inter, ').')
       WHEN 'unchanged' THEN 'Canary percentage unchanged.'
+      WHEN 'reach' THEN 'All metrics healthy. Ramping to 100% for promotion.'
       WHEN 'promote' THEN concat('Canary reached 100% with sustained performance (CTR[v2]=', printf('%.3f', ctr_v2), ' > 70% of v1=',
         printf('%.3f', ctr_v1), '). Promotion successful.')
       ELSE concat('CTR[v2]=', printf('%.3f', ctr_v2), ' > 70% of CTR[v1]=', printf('%.3f', ctr_v1), '. Ramping to ',
@@ -146,7 +149,7 @@ def rollout_linear(v):
 @query(
     "feedback_event",
     """SELECT CAST(day AS TIMESTAMP) AS "timestamp", event_type, issue, action action_taken,
-       CAST(current_pct AS DOUBLE) canary_percentage_before, CAST(new_pct AS DOUBLE) canary_percentage_after, reason FROM linear""",
+       CAST(CASE step WHEN 'promote' THEN raised ELSE current_pct END AS DOUBLE) canary_percentage_before, CAST(new_pct AS DOUBLE) canary_percentage_after, reason FROM linear""",
     DAILY, LINEAR,
 )
 def feedback_event(v):
@@ -213,9 +216,14 @@ def online_error(v):
     return online.online_error(v.v_quality)
 
 
-@query("canary_assign", "SELECT event_id, CASE WHEN (event_id % 100) * 31 % 100 < 10 THEN 'v2' ELSE 'v1' END model FROM v_request")
+@query(
+    "canary_assign",
+    f"""SELECT event_id, user_id, CASE WHEN substr(md5(concat('42:', CAST(user_id AS VARCHAR))), 1, 8) < '{share_limit(0.1)}'
+        THEN 'v2' ELSE 'v1' END model FROM v_request""",
+)
 def canary_assign(v):
-    return online.canary_assign(v.v_request, 10, "event_id").select("event_id", "model")
+    """Sticky: every request of a user goes to the same model."""
+    return online.canary_assign(v.v_request, 10, "user_id").select("event_id", "user_id", "model")
 
 
 @query(
@@ -379,10 +387,10 @@ def trace_evaluation(v):
 @query(
     "recent_predictions",
     """SELECT model_version, request_id, row_number() OVER (PARTITION BY model_version ORDER BY seq) AS "position" FROM
-       (SELECT * FROM v_prediction_events QUALIFY row_number() OVER (PARTITION BY model_version ORDER BY seq DESC) <= 5)""",
+       (SELECT * FROM v_prediction_events QUALIFY row_number() OVER (PARTITION BY model_version ORDER BY seq DESC) <= 100)""",
 )
 def recent_predictions(v):
-    return lineage.recent_events(v.v_prediction_events, n=5).select(
+    return lineage.recent_events(v.v_prediction_events, n=100).select(
         "model_version", "request_id", F.col("position").cast("bigint").alias("position")
     )
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
-def broker_messages(spark: SparkSession, servers: str, topic: str, group: str = "recsys") -> DataFrame:
+def broker_messages(spark: SparkSession, servers: str, topic: str, group: str) -> DataFrame:
     """Kafka messages from the earliest offset; needs the Kafka connector on the classpath."""
     return (
         spark.readStream.format("kafka")

@@ -142,3 +142,12 @@ def test_factors_use_mean_where_missing(spark):
 def test_minmax_of_constant_column(spark):
     frame = spark.createDataFrame([(5,), (5,)], "x INT")
     assert [r["scaled"] for r in features.minmax_scale(frame, "x", frame).collect()] == [0.0, 0.0]
+
+
+@pytest.mark.parametrize("users, movies", [(range(0, 10_000, 10), [20]), ([3], range(7, 50_007, 50)), (range(3, 10_003, 10), [7])])
+def test_split_share_holds_for_ids_in_steps(spark, users, movies):
+    pairs = spark.createDataFrame([(u, m) for u in users for m in movies], "user_id BIGINT, movie_id BIGINT")
+    split = features.hash_split(pairs, 0.1)
+    assert split.filter("split = 'test'").count() == pytest.approx(0.1 * pairs.count(), rel=0.35)
+    other = features.hash_split(pairs, 0.1, seed=7)
+    assert split.filter("split = 'test'").exceptAll(other.filter("split = 'test'")).count() > 0

@@ -111,9 +111,11 @@ def test_staircase(spark, current, issue, expected):
 )
 def test_linear_rollout(spark, state, event, action, pct):
     frame = spark.createDataFrame([state], "current_pct DOUBLE, issue STRING, n_inter BIGINT, ctr_v1 DOUBLE, ctr_v2 DOUBLE")
-    got = rollout.linear_rollout(frame).first()
+    *ramp, got = rollout.linear_rollout(frame).collect()
     assert (got["event_type"], got["action"], got["new_pct"]) == (event, action, pct)
     assert got["reason"]
+    # Full rollout logs the ramp to 100 first.
+    assert [(r["event_type"], r["action"], r["new_pct"]) for r in ramp] == [("canary_check", "RAMP", 100.0)] * (event == "promotion")
 
 
 @pytest.mark.parametrize(
@@ -171,7 +173,10 @@ def test_traffic_split(spark):
 def test_canary_share_and_stickiness(spark):
     requests = spark.range(10_000).withColumnRenamed("id", "user_id")
     first = online.canary_assign(requests, 30, "user_id")
-    assert first.filter("model = 'v2'").count() == 3000
+    assert first.filter("model = 'v2'").count() == pytest.approx(3000, rel=0.1)
+    tens = online.canary_assign(requests.filter("user_id % 10 = 0"), 30, "user_id")
+    assert tens.filter("model = 'v2'").count() == pytest.approx(300, rel=0.2)
+    assert tens.exceptAll(first).count() == 0
     assert online.canary_assign(requests, 30, "user_id", has_canary=False).filter("model = 'v2'").count() == 0
 
 
