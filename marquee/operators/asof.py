@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from marquee.operators.slots import SLOTS, Slots
+from marquee.session import materialise
 
 
 def attach_latest(
@@ -37,6 +38,7 @@ def attach_latest(
         F.struct(*[F.col(c) for c in events.columns]).alias("_event"),
     )
     both = seen.unionByName(asked, allowMissingColumns=True)
+    both = materialise(both, "asof")  # read for the borders, the carried rows and the windows
     borders = Slots.of(both.withColumn("_at", F.col("_at").cast("double")), "_at", slots)
     both = both.withColumn("_slot", borders.number(F.col("_at")))
 

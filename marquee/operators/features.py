@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from marquee.functions import scalars as S
 from marquee.operators.ranking import first_per_key
+from marquee.session import materialise
 
 FIXED_COLUMNS = [
     "user_id", "age", "age_bin", "occupation", "gender",
@@ -153,7 +154,8 @@ def feature_table(
     ``users`` and ``movies`` hold one row per key. ``rebalance`` evens out the
     partitions while the rows are still narrow, for a table that is read often.
     """
-    rated = clean_keys(ratings, ["user_id", "movie_id"]).select("user_id", "movie_id", "rating")
+    # The rows and both medians come from one narrow table.
+    rated = materialise(clean_keys(ratings, ["user_id", "movie_id"]).select("user_id", "movie_id", "rating"), "rated")
     user_side, movie_side = user_attributes(users), movie_attributes(movies)
     filled = fill_and_bin(
         enrich(rated.hint("rebalance") if rebalance else rated, user_side, multi_hot_side(movie_side, words)),

@@ -114,7 +114,7 @@ def tune(
     folds: int = 2,
     target: str = "rating",
     test_share: float = 0.1,
-    parallelism: int = 2,
+    parallelism: int = 4,
     seed: int = 42,
 ) -> DataFrame:
     """Cross-validated RMSE of each candidate: (candidate, params, cv_rmse, best)."""

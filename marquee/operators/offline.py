@@ -77,8 +77,7 @@ def genre_diversity(ratings: DataFrame, movies: DataFrame) -> DataFrame:
     )
 
 
-def _per_key(ratings: DataFrame, key: str, name: str) -> DataFrame:
-    counts = ratings.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+def _per_key(counts: DataFrame, name: str) -> DataFrame:
     median = quantiles_of_counts(counts, "n", [0.5])[0]
     return counts.agg(F.count(F.lit(1)).alias(f"n_{name}s"), F.avg("n").alias(f"mean_interactions_per_{name}")).withColumn(
         f"median_interactions_per_{name}", median
@@ -86,17 +85,26 @@ def _per_key(ratings: DataFrame, key: str, name: str) -> DataFrame:
 
 
 def log_overview(ratings: DataFrame) -> DataFrame:
-    """Row, user and movie counts, rating statistics and interactions per user and movie."""
-    overall = ratings.agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.avg("rating").alias("mean_rating"),
-        F.stddev_samp("rating").alias("std_rating"),
-        F.min("rating").alias("min_rating"),
-        F.max("rating").alias("max_rating"),
-    )
-    return report_row(
-        ratings.sparkSession, overall, _per_key(ratings, "user_id", "user"), _per_key(ratings, "movie_id", "movie")
+    """Row, user and movie counts, rating statistics and interactions per user and movie.
+
+    One pass over the ratings makes a table with a row per user and one per movie; every figure comes
+    from that table.
+    """
+    sums = [F.count(F.lit(1)).alias("n"), F.count("rating").alias("rated"), F.sum("rating").alias("total")]
+    sums += [F.sum(F.col("rating") * F.col("rating")).alias("squares"), F.min("rating").alias("low"), F.max("rating").alias("high")]
+    sides = ratings.groupingSets([["user_id"], ["movie_id"]], "user_id", "movie_id").agg(F.grouping_id().alias("side"), *sums)
+    sides = materialise(sides, "per-key")
+    users, movies = sides.filter("side = 1"), sides.filter("side = 2")
+    rated, total = F.sum("rated"), F.sum("total")
+    variance = F.try_divide(F.sum("squares") - F.try_divide(total * total, rated), rated - 1)
+    overall = users.agg(
+        F.sum("n").alias("n_rows"),
+        F.try_divide(total, rated).alias("mean_rating"),
+        F.sqrt(F.greatest(variance, F.lit(0.0))).alias("std_rating"),
+        F.min("low").alias("min_rating"),
+        F.max("high").alias("max_rating"),
     )
+    return report_row(ratings.sparkSession, overall, _per_key(users, "user"), _per_key(movies, "movie"))
 
 
 def feedback_report(ratings: DataFrame, movies: DataFrame, rated_groups: DataFrame, group: str = "gender") -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.ml import Pipeline
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -9,18 +11,19 @@ from pyspark.sql import functions as F
 from marquee import schemas
 from marquee.functions import scalars as S
 from marquee.operators import factors, features, metrics, models, offline, ranking, recommend, similarity
-from marquee.plans.features import LAST_YEAR, feature_rows, watch_with_duration, words_of
+from marquee.plans.features import DURATION, LAST_YEAR, feature_rows, watch_with_duration, words_of
+from marquee.plans.ingest import P_WATCH, W_AGG
 from marquee.plans.offline import TOTALS, totals_of
 from marquee.plans.registry import query
 from marquee.plans.views import Views
 from marquee.session import materialise, scratch_path
 from marquee.sources import registry, sinks
 
-N = 10
+N = 20
 PROFILE = ["age_bin", "occupation", "gender"]
-# Sizes of the registered training runs; the library defaults are larger.
-RANK, ITERATIONS, TREES = 8, 3, 5
-SMALL = {"n_estimators": TREES, "max_depth": 3, "learning_rate": 0.1, "subsample": 0.8, "colsample_bytree": 0.8}
+#: The search tunes on this share of the training rows, which bounds the labelled rows it reads many times.
+TUNING_SHARE = 0.2
+CANDIDATES = 10
 
 LIKED = """liked AS (SELECT DISTINCT r.user_id, unnest(str_split(m.genres, ',')) g FROM v_rating r JOIN v_movies m
     ON r.movie_id = m.movie_id WHERE r.rating = 5),
@@ -28,7 +31,10 @@ LIKED = """liked AS (SELECT DISTINCT r.user_id, unnest(str_split(m.genres, ','))
   genre_scores AS (SELECT l.user_id, m.movie_id, count(*) * any_value(m.popularity) score FROM liked l JOIN movie_genres m ON l.g = m.g
     GROUP BY 1, 2),
   topn AS (SELECT user_id, movie_id, round(score, 6) score, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, movie_id) AS rank
-    FROM genre_scores QUALIFY rank <= 10)"""
+    FROM genre_scores QUALIFY rank <= 20)"""
+LAST_RATINGS = """last_ratings AS (SELECT user_id, movie_id, rating FROM v_rating_big
+    QUALIFY row_number() OVER (PARTITION BY user_id, movie_id ORDER BY ts DESC, l_orderkey DESC, l_linenumber DESC) = 1),
+  train_ratings AS (SELECT * FROM last_ratings WHERE user_id NOT IN (SELECT user_id FROM v_holdout))"""
 POSITIONS = """positions AS (SELECT movie_id, row_number() OVER (ORDER BY count(*) DESC, movie_id) AS "position"
   FROM v_rating_big GROUP BY 1)"""
 
@@ -59,7 +65,7 @@ def recommend_csv(v):
 @query(
     "recommend_unseen",
     """SELECT u.user_id, p.movie_id, row_number() OVER (PARTITION BY u.user_id ORDER BY p."position") AS rank FROM v_users u, positions p
-       WHERE NOT EXISTS (SELECT 1 FROM v_rating_big r WHERE r.user_id = u.user_id AND r.movie_id = p.movie_id) QUALIFY rank <= 10""",
+       WHERE NOT EXISTS (SELECT 1 FROM v_rating_big r WHERE r.user_id = u.user_id AND r.movie_id = p.movie_id) QUALIFY rank <= 20""",
     POSITIONS,
 )
 def recommend_unseen(v):
@@ -72,7 +78,7 @@ def popularity_position(v):
     return recommend.popularity_positions(v.v_rating_big).select("movie_id", "position")
 
 
-POPULAR = """popular AS (SELECT movie_id, row_number() OVER (ORDER BY minutes DESC, movie_id) AS rank FROM totals QUALIFY rank <= 10)"""
+POPULAR = """popular AS (SELECT movie_id, row_number() OVER (ORDER BY minutes DESC, movie_id) AS rank FROM totals QUALIFY rank <= 20)"""
 
 
 @query(
@@ -139,7 +145,22 @@ def item_item_top(v):
     return long_rank(top.select(F.col("i").cast("int"), F.col("j").cast("int"), "cosine", "rank"))
 
 
-@query("ranking_item_item")
+@query(
+    "ranking_item_item",
+    """SELECT round(avg(CAST(hits > 0 AS INT)), 6) hit, round(avg(hits / 20.0), 6) AS precision,
+       round(avg(hits / CAST(n_true AS DOUBLE)), 6) recall, round(avg(dcg / idcg), 6) ndcg FROM per_user JOIN ideals USING (n_true)""",
+    SIMILAR,
+    TOP_SIMILAR,
+    """suggested AS (SELECT user_id, movie_id, row_number() OVER (PARTITION BY user_id ORDER BY round(score, 9) DESC, movie_id) AS rank
+         FROM (SELECT p.user_id, t.j movie_id, sum(t.cosine) score FROM pairs p JOIN top_similar t ON t.i = p.movie_id GROUP BY 1, 2) s
+         WHERE NOT EXISTS (SELECT 1 FROM pairs q WHERE q.user_id = s.user_id AND q.movie_id = s.movie_id) QUALIFY rank <= 20),
+       truth AS (SELECT DISTINCT user_id, item_id movie_id FROM v_inter),
+       per_user AS (SELECT user_id, count(*) n_true, count(rank) hits,
+         sum(CASE WHEN rank IS NOT NULL THEN 1 / log2(rank + 1) ELSE 0 END) dcg FROM truth LEFT JOIN suggested USING (user_id, movie_id)
+         GROUP BY 1),
+       ideals AS (SELECT n_true, sum(1 / log2(i + 1)) idcg FROM (SELECT DISTINCT n_true FROM per_user), range(1, 21) t(i)
+         WHERE i <= n_true GROUP BY 1)""",
+)
 def ranking_item_item(v):
     """The item-item ranker judged like the popularity ranker, on items not yet watched."""
     similar = materialise(similarity.item_similarity(v.v_watch, top_n=20), "similar")
@@ -160,18 +181,41 @@ def sample_fraction(v):
     return ranking.sample_fraction(v.v_rating_big, keys, 0.2)
 
 
+def last_ratings(v: Views) -> DataFrame:
+    """The newest rating of every user and movie."""
+    newest = [F.col(c).desc() for c in ("ts", "l_orderkey", "l_linenumber")]
+    return ranking.best_per_key(v.v_rating_big, ["user_id", "movie_id"], newest).select("user_id", "movie_id", "rating")
+
+
+def training_ratings(v: Views) -> DataFrame:
+    return features.exclude_holdout(last_ratings(v), v.v_holdout)
+
+
+TRAINED: dict[tuple[str, str, str], object] = {}
+
+
+def once(v: Views, kind: str, build):
+    """A model trained once in a session for a folder of tables; several queries use it."""
+    key = (v.spark.sparkContext.applicationId, v.folder, kind)
+    if key not in TRAINED:
+        TRAINED[key] = build()
+    return TRAINED[key]
+
+
 def explicit(v: Views) -> factors.Factors:
-    ratings = materialise(v.v_rating_big.select("user_id", "movie_id", "rating"), "ratings")
-    return factors.train_explicit(ratings, rank=RANK, iterations=ITERATIONS)
+    return once(v, "explicit", lambda: factors.train_explicit(materialise(training_ratings(v), "ratings")))
 
 
-def implicit(v: Views) -> factors.Factors:
-    watched = features.confidence(watch_with_duration(v)).select(
+def watch_scores(v: Views) -> DataFrame:
+    return features.confidence(watch_with_duration(v)).select(
         F.col("user_id").cast("bigint").alias("user_id"),
         F.substring("movie_id", 2, 20).cast("bigint").alias("movie_id"),
         "score",
     )
-    return factors.train_implicit(materialise(watched, "watch-scores"), rank=RANK, iterations=ITERATIONS)
+
+
+def implicit(v: Views) -> factors.Factors:
+    return once(v, "implicit", lambda: factors.train_implicit(materialise(watch_scores(v), "watch-scores")))
 
 
 def _stored(found: factors.Factors) -> DataFrame:
@@ -191,6 +235,32 @@ def mf_explicit(v):
     return _stored(explicit(v))
 
 
+def _keys(found: factors.Factors) -> DataFrame:
+    """What is exact about trained factors: whom they cover, their index, and their length."""
+    return _stored(found).select("kind", "raw_id", "idx", F.size("features").cast("bigint").alias("n_factors"))
+
+
+def _keys_sql(pairs: str) -> str:
+    return " UNION ALL ".join(
+        f"""SELECT '{kind}' kind, CAST(k AS VARCHAR) raw_id, row_number() OVER (ORDER BY k) - 1 idx, 50::BIGINT n_factors
+        FROM (SELECT DISTINCT {kind}_id k FROM {pairs})"""
+        for kind in ("user", "movie")
+    )
+
+
+@query("mf_explicit_keys", _keys_sql("train_ratings"), LAST_RATINGS)
+def mf_explicit_keys(v):
+    return _keys(explicit(v))
+
+
+WATCH_PAIRS = """watch_pairs AS (SELECT CAST(user_id AS BIGINT) user_id, CAST(substr(movie_id, 2) AS BIGINT) movie_id FROM w_dur)"""
+
+
+@query("mf_implicit_keys", _keys_sql("watch_pairs"), P_WATCH, W_AGG, DURATION, WATCH_PAIRS)
+def mf_implicit_keys(v):
+    return _keys(implicit(v))
+
+
 @query("mf_implicit")
 def mf_implicit(v):
     return _stored(implicit(v))
@@ -209,18 +279,55 @@ def recommend_factors(v):
     return recommend.recommend_with_factors(explicit(v), N)
 
 
+@query(
+    "recommend_factors_ranks",
+    """SELECT user_id, 20::BIGINT n, 20::BIGINT n_movies, 210::BIGINT rank_sum FROM (SELECT DISTINCT user_id FROM train_ratings)""",
+    LAST_RATINGS,
+)
+def recommend_factors_ranks(v):
+    """Every user of the factors has a list of N different movies with ranks 1 to N."""
+    return _list_shape(recommend.recommend_with_factors(explicit(v), N))
+
+
+def _list_shape(lists: DataFrame) -> DataFrame:
+    return lists.groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("movie_id").alias("n_movies"), F.sum("rank").cast("bigint").alias("rank_sum")
+    )
+
+
+FLAGS = [f"has_{k}" for k in ("exp_user", "exp_movie", "imp_user", "imp_movie")]
+
+
+@query(
+    "feature_embedding_flags",
+    """SELECT user_id, movie_id, rating, CAST(user_id IN (SELECT user_id FROM train_ratings) AS INT) has_exp_user,
+       CAST(movie_id IN (SELECT movie_id FROM train_ratings) AS INT) has_exp_movie,
+       CAST(user_id IN (SELECT user_id FROM watch_pairs) AS INT) has_imp_user,
+       CAST(movie_id IN (SELECT movie_id FROM watch_pairs) AS INT) has_imp_movie FROM v_rating_big""",
+    LAST_RATINGS, P_WATCH, W_AGG, DURATION, WATCH_PAIRS,
+)
+def feature_embedding_flags(v):
+    return feature_embeddings(v).select("user_id", "movie_id", "rating", *FLAGS)
+
+
 @query("feature_embeddings")
 def feature_embeddings(v):
     exp, imp = explicit(v), implicit(v)
     rows = feature_rows(
         v, factors={"exp_user": exp.users, "exp_movie": exp.movies, "imp_user": imp.users, "imp_movie": imp.movies}
     )
-    flags = [f"has_{k}" for k in ("exp_user", "exp_movie", "imp_user", "imp_movie")]
+    flags = FLAGS
     return rows.select("user_id", "movie_id", "rating", "exp_user", "exp_movie", "imp_user", "imp_movie", *flags)
 
 
 def training_rows(v: Views) -> DataFrame:
-    return materialise(feature_rows(v, rebalance=True), "training")
+    """Features of the newest ratings of all users outside the holdout."""
+    return once(v, "rows", lambda: materialise(feature_rows(v, training_ratings(v), rebalance=True), "training"))
+
+
+def rating_model_of(v: Views):
+    """The rating model at its full size, and its test metrics."""
+    return once(v, "rating", lambda: models.train_rating_model(training_rows(v)))
 
 
 @query("feature_vector")
@@ -232,14 +339,31 @@ def feature_vector(v):
 
 @query("rating_model")
 def rating_model(v):
-    return models.train_rating_model(training_rows(v), SMALL)[1]
+    return rating_model_of(v)[1]
+
+
+@query(
+    "rating_model_sizes",
+    f"""SELECT count(*) FILTER (NOT test) train_samples, count(*) FILTER (test) test_samples, true AS beats_mean FROM (
+        SELECT substr(md5(concat('42:', CAST(user_id AS VARCHAR), ':', CAST(movie_id AS VARCHAR))), 1, 8) < '{S.share_limit(0.1)}' test
+        FROM train_ratings)""",
+    LAST_RATINGS,
+)
+def rating_model_sizes(v):
+    """The rows it trained and tested on, and whether it is better than the mean by more than noise."""
+    return rating_model_of(v)[1].select("train_samples", "test_samples", (F.col("r2") > -0.01).alias("beats_mean"))
+
+
+def searched(v: Views, seed: int) -> tuple[DataFrame, float]:
+    """The random search over CANDIDATES settings, and the seconds it took."""
+    rows = materialise(ranking.sample_fraction(training_rows(v), ["user_id", "movie_id"], TUNING_SHARE), "tuning")
+    started = time.perf_counter()
+    return models.tune(rows, models.sampled_params(models.LIGHT_SEARCH, CANDIDATES, seed)), time.perf_counter() - started
 
 
 @query("tune_search")
 def tune_search(v):
-    rows = ranking.sample_fraction(training_rows(v), ["user_id", "movie_id"], 0.2)
-    light = {**models.LIGHT_SEARCH, "n_estimators": range(2, TREES)}
-    return models.tune(materialise(rows, "tuning"), models.sampled_params(light, 2), folds=2)
+    return once(v, "search", lambda: searched(v, 42))[0]
 
 
 def watched_time(v: Views) -> DataFrame:
@@ -250,17 +374,16 @@ def watched_time(v: Views) -> DataFrame:
 @query("tune_latest")
 def tune_latest(v):
     """The parameters a training run would use after a search was logged."""
-    rows = materialise(ranking.sample_fraction(training_rows(v), ["user_id", "movie_id"], 0.2), "tuning")
-    candidates = models.sampled_params({**models.LIGHT_SEARCH, "n_estimators": range(2, TREES)}, 2, seed=7)
+    results, seconds = once(v, "search", lambda: searched(v, 42))
     path = scratch_path(v.spark, "tuning-log")
-    sinks.append_table(models.tuning_record(v.spark, models.tune(rows, candidates), 0.0, 2), path, schemas.TUNING_RESULTS)
+    sinks.append_table(models.tuning_record(v.spark, results, seconds, 2), path, schemas.TUNING_RESULTS)
     chosen = models.latest_params(v.spark.read.schema(schemas.TUNING_RESULTS).parquet(path))
     return v.spark.createDataFrame(sorted(chosen.items()), "parameter STRING, value DOUBLE")
 
 
 @query("watchtime_model")
 def watchtime_model(v):
-    return models.watchtime_model(watched_time(v), trees=TREES, depth=4)[1]
+    return models.watchtime_model(watched_time(v))[1]
 
 
 @query("longwatch_model")
@@ -268,35 +391,55 @@ def longwatch_model(v):
     return models.longwatch_model(watched_time(v))[1]
 
 
-@query("offline_eval")
-def offline_eval(v):
-    """Evaluate, and record the result in the evaluation registry."""
-    rows = training_rows(v)
-    model, _ = models.train_rating_model(rows, SMALL)
+def stored_model(v: Views) -> str:
+    def build() -> str:
+        path = scratch_path(v.spark, "model")
+        models.save_model(rating_model_of(v)[0], path)
+        return path
+
+    return once(v, "stored", build)
+
+
+def evaluated(v: Views) -> DataFrame:
+    """Evaluate the stored model on the holdout users, and record it in the registries."""
+    held = last_ratings(v).join(v.v_holdout, "user_id", "left_semi")
+    rows = materialise(feature_rows(v, held), "holdout")
+    path = stored_model(v)
     expected = [c for c in rows.columns if c != "rating"]
-    result = models.evaluate(model, rows, expected)
+    result = models.evaluate(models.load_model(path), rows, expected)
     folder = scratch_path(v.spark, "registry")
     trained = registry.register_candidate(
         v.spark, folder,
-        v.spark.createDataFrame([("ratings", folder)], "data_source STRING, file_path STRING"),
-        result, "models/candidate",
+        v.spark.createDataFrame([("ratings", v.folder)], "data_source STRING, file_path STRING"),
+        result, path,
     )
     version = trained.select("model_version").scalar()
     event = result.select(
-        "*", version.alias("model_version"), F.lit("offline").alias("eval_type"), F.lit("models/candidate").alias("model_path"),
-        F.lit("models/candidate").alias("preproc_path"), F.lit(folder).alias("eval_data_path"),
+        "*", version.alias("model_version"), F.lit("offline").alias("eval_type"), F.lit(path).alias("model_path"),
+        F.lit(path).alias("preproc_path"), F.lit(folder).alias("eval_data_path"),
     )
-    path = registry.append_registry(event, folder, "evaluations")
-    return v.spark.read.parquet(path).drop("metrics_json", "eval_data_path", "timestamp", "eval_id", "model_version")
+    stored = v.spark.read.parquet(registry.append_registry(event, folder, "evaluations"))
+    return stored.join(trained.select("model_version", "artifact_path"), "model_version")
+
+
+@query("offline_eval")
+def offline_eval(v):
+    return evaluated(v).drop("metrics_json", "eval_data_path", "timestamp", "eval_id", "model_version", "model_path", "preproc_path", "artifact_path")
+
+
+@query(
+    "offline_eval_sizes",
+    """SELECT count(*) test_set_size, true hashed FROM last_ratings WHERE user_id IN (SELECT user_id FROM v_holdout)""",
+    LAST_RATINGS,
+)
+def offline_eval_sizes(v):
+    """The holdout rows it judged, and whether the candidate was registered under its artifact's hash."""
+    return evaluated(v).select("test_set_size", F.col("artifact_path").rlike("sha256=[0-9a-f]{64}").alias("hashed"))
 
 
 @query("model_roundtrip")
 def model_roundtrip(v):
-    rows = training_rows(v)
-    model, _ = models.train_rating_model(rows, SMALL)
-    path = scratch_path(v.spark, "model")
-    models.save_model(model, path)
-    scored = models.load_model(path).transform(models.model_input(rows))
+    scored = models.load_model(stored_model(v)).transform(models.model_input(training_rows(v)))
     return scored.select("user_id", "movie_id", "rating", "prediction")
 
 
@@ -324,22 +467,31 @@ def profiles_of(v: Views) -> DataFrame:
 
 
 def lists_by_model(v: Views, rows: DataFrame, side: DataFrame) -> DataFrame:
-    model, _ = models.train_rating_model(rows, SMALL)
+    model, _ = models.train_rating_model(rows)
     side = materialise(models.model_input(side), "movie-side")
     return recommend.recommend_with_model(model, side, materialise(profiles_of(v), "profiles"), PROFILE, N)
 
 
+def batch_lists(v: Views) -> DataFrame:
+    return once(v, "lists", lambda: materialise(lists_by_model(v, training_rows(v).drop("age"), movie_side(v)), "lists"))
+
+
 @query("recommend_batch")
 def recommend_batch(v):
     """Rating model on user profile and movie features; every movie for every user."""
-    return lists_by_model(v, training_rows(v).drop("age"), movie_side(v))
+    return batch_lists(v)
+
+
+@query("recommend_batch_ranks", "SELECT user_id, 20::BIGINT n, 20::BIGINT n_movies, 210::BIGINT rank_sum FROM v_users")
+def recommend_batch_ranks(v):
+    return _list_shape(batch_lists(v))
 
 
 @query("recommend_embedded")
 def recommend_embedded(v):
     """The same with factors: a movie brings its own, every user the mean of all users."""
     exp = explicit(v)
-    rows = feature_rows(v, factors={"exp_user": exp.users, "exp_movie": exp.movies}, rebalance=True)
+    rows = feature_rows(v, training_ratings(v), factors={"exp_user": exp.users, "exp_movie": exp.movies}, rebalance=True)
     side = features.attach_factors(movie_side(v), exp.movies, "exp_movie").withColumns(
         {"exp_user": features.mean_vector(exp.users, "features"), "has_exp_user": F.lit(0)}
     )

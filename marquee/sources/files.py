@@ -77,7 +77,7 @@ def telemetry_document(spark: SparkSession, path: str, one_per_file: bool = True
 def file_fingerprints(spark: SparkSession, path: str) -> DataFrame:
     """SHA-256 of every file under ``path``; a single row 'unknown' when there is none."""
     try:
-        files = spark.read.format("binaryFile").load(path)
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
         return files.select("path", F.sha2("content", 256).alias("file_hash"))
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":

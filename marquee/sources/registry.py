@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marquee import schemas
+from marquee.sources.files import file_fingerprints
 from marquee.sources.sinks import append_table, conform, new_id
 
 PIPELINE_VERSION = "pipeline_v1.0"
@@ -91,13 +92,16 @@ def append_registry(rows: DataFrame, folder: str, kind: str, **options) -> str:
 def register_candidate(spark, folder: str, data: DataFrame, metrics: DataFrame, artifact_path: str) -> DataFrame:
     """Register training data and the model trained on it; returns the model row.
 
-    ``data`` is one row (data_source, file_path, ...), ``metrics`` one row of figures.
+    ``data`` is one row (data_source, file_path, ...), ``metrics`` one row of figures. The artifact is
+    recorded with the hash of its files, or of none where there is nothing at the path.
     """
     stored = data_rows(data).collect()  # one row; fixes its generated id
     data_row = spark.createDataFrame(stored, schemas.DATA_REGISTRY)
     append_table(data_row, f"{folder}/data")
+    files = file_fingerprints(spark, artifact_path).agg(F.sort_array(F.collect_list("file_hash")).alias("h"))
+    digest = files.select(F.sha2(F.concat_ws(",", "h"), 256)).scalar()  # over the files of one model
     model = metrics.select(
-        F.lit(artifact_path).alias("artifact_path"),
+        F.concat(F.lit(f"{artifact_path} (sha256="), digest, F.lit(")")).alias("artifact_path"),
         F.lit(stored[0]["data_id"]).alias("training_data_id"),
         F.to_json(F.struct(*metrics.columns)).alias("metrics_json"),
     )

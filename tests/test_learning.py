@@ -40,9 +40,7 @@ def test_explicit_factors_beat_the_mean(planted, explicit):
     assert explicit.ids.groupBy("kind").agg(F.max("idx")).count() == 2
 
 
-@pytest.mark.parametrize("limit", [recommend.MAX_BROADCAST_CELLS, 0])
-def test_factor_search_is_exact_both_ways(explicit, monkeypatch, limit):
-    monkeypatch.setattr(recommend, "MAX_BROADCAST_CELLS", limit)
+def test_factor_search_is_exact(explicit):
     got = recommend.recommend_with_factors(explicit, 5).collect()
     users = {r["user_id"]: np.array(r["features"], dtype=np.float32) for r in explicit.users.collect()}
     movies = {r["movie_id"]: np.array(r["features"], dtype=np.float32) for r in explicit.movies.collect()}
