@@ -414,6 +414,22 @@ def recent_overall(v):
     return lineage.recent_events_overall(v.v_prediction_events).select("request_id", "model_version")
 
 
+@query(
+    "recent_evaluations",
+    """SELECT model_version, eval_id, row_number() OVER (PARTITION BY model_version ORDER BY seq) AS "position" FROM
+       (SELECT * FROM v_evaluation_events QUALIFY row_number() OVER (PARTITION BY model_version ORDER BY seq DESC) <= 50)""",
+)
+def recent_evaluations(v):
+    return lineage.recent_events(v.v_evaluation_events, n=50).select(
+        "model_version", "eval_id", F.col("position").cast("bigint").alias("position")
+    )
+
+
+@query("recent_evaluations_overall", "SELECT eval_id, model_version FROM v_evaluation_events ORDER BY seq DESC LIMIT 100")
+def recent_evaluations_overall(v):
+    return lineage.recent_events_overall(v.v_evaluation_events, n=100).select("eval_id", "model_version")
+
+
 @query("model_by_version", "SELECT model_version, training_data_id, artifact_path FROM v_model_registry")
 def model_by_version(v):
     return lineage.model_by_version(v.v_model_registry).drop("seq")
@@ -461,3 +477,22 @@ def model_compare(v):
 def promote_decision(v):
     return rollout.promotion(metrics.regression_metrics(v.v_scored, "model"))
 
+
+@query(
+    "stage_pointers",
+    """SELECT stage, model_version FROM (
+         SELECT 'v1' stage, 'old-v2' model_version, d.decision = 'promote_v2' AS held FROM decided_model d
+         UNION ALL SELECT CASE d.decision WHEN 'promote_v2' THEN 'v2' ELSE 'v1' END, 'candidate', d.decision <> 'reject' FROM decided_model d)
+       WHERE held""",
+    SCORES,
+    """decided_model AS (SELECT CASE WHEN b IS NULL OR c < b - 1e-6 THEN 'promote_v2' WHEN a IS NULL OR c < a - 1e-6 THEN 'promote_v1'
+       ELSE 'reject' END decision FROM (SELECT sqrt(max(mse) FILTER (model = 'candidate')) c, sqrt(max(mse) FILTER (model = 'v1')) a,
+        sqrt(max(mse) FILTER (model = 'v2')) b FROM model_scores))""",
+)
+def stage_pointers(v):
+    """The rows a promotion appends to the stage table, read back from it."""
+    decision = rollout.promotion(metrics.regression_metrics(v.v_scored, "model"))
+    stages = v.spark.createDataFrame([("v1", "old-v1"), ("v2", "old-v2")], "stage STRING, model_version STRING")
+    path = scratch_path(v.spark, "stages")
+    sinks.append_table(rollout.stage_pointers(stages, decision, "candidate", F.current_timestamp()), path)
+    return v.spark.read.schema("stage STRING, model_version STRING").parquet(path)
