@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marquee.operators.windows import LATENCY_BOUNDS
-from marquee.plans.ingest import P_RATING, P_WATCH, W_AGG
+from marquee.plans.ingest import P_RATING
 from marquee.plans.online import ATTRIBUTED, N_BOUNDS, _quantile_sql
 from marquee.plans.registry import query
 from marquee.plans.views import Views
@@ -15,9 +15,20 @@ from marquee.sources.streams import parquet_stream
 from marquee.streaming import attribution, counters, ingest
 
 
+PARTS = 4
+PART_SQL = f"""spanned AS (SELECT min(epoch_us(ts)) lo, max(epoch_us(ts)) hi FROM v_event),
+  parted AS (SELECT e.*, (epoch_us(e.ts) - lo) * {PARTS} // (hi - lo + 1) part FROM v_event e, spanned)"""
+
+
 def live(v: Views) -> Views:
-    """The adapter views over the events as a stream."""
-    stream = parquet_stream(v.spark, f"{v.folder}/events.parquet", v.events.schema)
+    """The adapter views over the events as a stream of PARTS micro-batches, each a stretch of time."""
+    folder = scratch_path(v.spark, "event-parts")
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    span = v.events.agg(F.struct(F.min(at).alias("lo"), F.max(at).alias("hi")).alias("s")).scalar()
+    part = F.floor((at - span["lo"]) * PARTS / (span["hi"] - span["lo"] + 1))
+    for k in range(PARTS):  # one after the other: the file source reads in the order of writing
+        v.events.filter(part == k).coalesce(1).write.parquet(f"{folder}/part={k}")
+    stream = parquet_stream(v.spark, f"{folder}/*", v.events.schema, files_per_batch=1)
     return Views(v.spark, v.folder, events=stream)
 
 
@@ -33,8 +44,15 @@ def stream_ingest(v):
     return v.spark.read.schema("value STRING").parquet(out)
 
 
-@query("stream_watch", "SELECT * FROM w_agg", P_WATCH, W_AGG)
+@query(
+    "stream_watch",
+    """SELECT concat('', CAST(user_id AS VARCHAR)) user_id, concat('m', CAST(item AS VARCHAR)) movie_id,
+       count(DISTINCT CAST(floor(value) AS INT)) interaction_count, max(CAST(floor(value) AS INT)) max_minute_reached FROM parted p WHERE event_type = 'view'
+       AND part = (SELECT min(part) FROM parted q WHERE q.event_type = 'view' AND q.user_id = p.user_id AND q.item = p.item) GROUP BY 1, 2""",
+    PART_SQL,
+)
 def stream_watch(v):
+    """Counts of the micro-batch in which a pair first occurs; later minutes are ignored."""
     out = scratch_path(v.spark, "watch")
     nothing = v.spark.createDataFrame([], "movie_id STRING")
     ingest.collect_watch_pairs(live(v).v_log, out, checkpoint(v), nothing)
@@ -70,7 +88,7 @@ def served_and_clicked(v: Views) -> DataFrame:
 @query("stream_attribution", "SELECT * FROM attributed", ATTRIBUTED)
 def stream_attribution(v):
     out, state = scratch_path(v.spark, "attributed"), scratch_path(v.spark, "served-state")
-    attribution.attribute_clicks(served_and_clicked(live(v)), out, state, checkpoint(v))
+    attribution.attribute_clicks(served_and_clicked(live(v)), out, state, checkpoint(v), keep="36500 DAYS")
     return v.spark.read.parquet(out).drop("batch")
 
 

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marquee.operators.online import click_attribution
-from marquee.sources.files import optional_table
 from marquee.streaming.ingest import run_available
 
 SERVED_STATE = "user_id BIGINT, ts TIMESTAMP, event_id BIGINT, items ARRAY<STRING>, model_version STRING"
@@ -25,7 +24,9 @@ def attribute_clicks(events: DataFrame, out: str, state: str, checkpoint: str, k
     def store(batch: DataFrame, number: int) -> None:
         columns = ["user_id", "ts", "event_id", "items", "model_version"]
         batch.persist()
-        before = optional_table(spark, f"{state}/batch={number - 1}", SERVED_STATE)
+        # Only the first batch has no state before it; a folder that is lost later must not pass unseen.
+        path = f"{state}/batch={number - 1}"
+        before = spark.read.schema(SERVED_STATE).parquet(path) if number else spark.createDataFrame([], SERVED_STATE)
         served = before.select(columns).unionByName(batch.filter(F.col("items").isNotNull()).select(columns))
         clicks = batch.filter(F.col("item_id").isNotNull()).select("user_id", "ts", "event_id", "item_id")
         click_attribution(served, clicks).write.mode("overwrite").parquet(f"{out}/batch={number}")
