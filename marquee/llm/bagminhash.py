@@ -26,8 +26,11 @@ BANDS, ROWS = 32, 5
 REGISTERS = BANDS * ROWS
 #: Links are tried when so many registers agree: the threshold less four standard errors.
 AGREE = int(REGISTERS * (SIMILARITY - 4 * (SIMILARITY * (1 - SIMILARITY) / REGISTERS) ** 0.5))
-#: Members of a bucket that are compared with each other at a time.
-BLOCK = 256
+#: Bands whose buckets are tried in turn: first by a star around one member, where one round links most of
+#: a large class, then every pair that is still apart.
+ROUNDS = ((0, 1, "star"), (1, BANDS, "star"), (0, BANDS, "open"))
+#: Members of a bucket that are compared with as many others at a time.
+BLOCK = 64
 
 SIGNATURE_SCHEMA = "doc_id bigint, text_key binary, n_shingles bigint, bands array<bigint>, signature binary"
 
@@ -125,17 +128,28 @@ def signed(docs: DataFrame) -> DataFrame:
     return id_and_text(docs).mapInArrow(_signed, SIGNATURE_SCHEMA)
 
 
+def overlap(value: np.ndarray, weight: np.ndarray, one: slice, two: slice) -> float:
+    """Weighted Jaccard similarity of two texts' shingles, each ascending."""
+    _, left, right = np.intersect1d(value[one], value[two], assume_unique=True, return_indices=True)
+    both = int(np.minimum(weight[one][left], weight[two][right]).sum())
+    return both / max(1, int(weight[one].sum() + weight[two].sum()) - both)
+
+
 def similarity(a: bytes, b: bytes, span_hash: words.SpanHash) -> float:
-    """Weighted Jaccard similarity of the two texts' shingles."""
     owner, value, weight = shingles([a, b], span_hash)
     split = int(np.searchsorted(owner, 1))
-    _, left, right = np.intersect1d(value[:split], value[split:], assume_unique=True, return_indices=True)
-    both = int(np.minimum(weight[:split][left], weight[split:][right]).sum())
-    return both / max(1, int(weight.sum()) - both)
+    return overlap(value, weight, slice(0, split), slice(split, len(owner)))
 
 
-def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) of nodes whose texts reach SIMILARITY."""
+def star_links(buckets: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links of members (band, hash, node, weight, label) to the member of their bucket that shares most
+    buckets with others, where labels differ and the texts reach SIMILARITY."""
+    centers = buckets.groupBy("band", "hash").agg(
+        F.max(F.struct("weight", "node", "label")).alias("center"), F.min("label").alias("low"), F.max("label").alias("high")
+    )
+    centers = centers.where(F.col("low") < F.col("high")).select("band", "hash", F.col("center.node").alias("a"), F.col("center.label").alias("_label"))
+    found = buckets.join(centers, ["band", "hash"]).where(F.col("label") != F.col("_label"))
+    pairs = found.select("a", F.col("node").alias("b")).distinct()
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         span_hash = words.SpanHash()
@@ -168,42 +182,71 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def star_pairs(buckets: DataFrame) -> DataFrame:
-    """Every member (band, hash, node, label) with the first member of its bucket, where labels differ."""
-    centers = buckets.groupBy("band", "hash").agg(F.min(F.struct("node", "label")).alias("center"), F.min("label").alias("low"), F.max("label").alias("high"))
-    centers = centers.where(F.col("low") < F.col("high")).select("band", "hash", F.col("center.node").alias("a"), F.col("center.label").alias("_label"))
-    found = buckets.join(centers, ["band", "hash"]).where(F.col("label") != F.col("_label"))
-    return found.select("a", F.col("node").alias("b")).distinct()
-
-
-def open_pairs(buckets: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Pairs inside a bucket whose labels differ and whose signatures agree enough.
+def open_links(buckets: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links between all members of a bucket whose labels differ and whose texts reach SIMILARITY.
 
-    Buckets are cut into blocks; two blocks meet in one row, and only agreeing pairs leave it.
+    Buckets are cut into blocks and two blocks meet in one row. There a pair is tried in its first common
+    band only, if sizes and signatures allow the threshold, and only links leave the task.
     """
     mixed = buckets.groupBy("band", "hash").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("size"))
     mixed = mixed.where(F.col("low") < F.col("high")).withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
-    held = buckets.join(mixed.select("band", "hash", "blocks"), ["band", "hash"]).join(nodes.select("node", "signature"), "node")
+    held = buckets.join(mixed.select("band", "hash", "blocks"), ["band", "hash"])
+    held = held.join(nodes.select("node", "n_shingles", "signature", "bands"), "node").join(texts, "node")
     held = held.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    blocks = held.groupBy("band", "hash", "blocks", "block").agg(F.collect_list(F.struct("node", "label", "signature")).alias("members"))
+    member = F.struct("node", "label", "n_shingles", "signature", "bands", F.col("text").cast("binary").alias("text"))
+    blocks = held.groupBy("band", "hash", "blocks", "block").agg(F.collect_list(member).alias("members"))  # about BLOCK of them
     blocks = materialise(blocks, "blocks")
     left = blocks.withColumn("other", F.explode(F.sequence(F.col("block"), F.col("blocks") - 1)))
     right = blocks.select("band", "hash", F.col("block").alias("other"), F.col("members").alias("others"))
-    met = left.join(right, ["band", "hash", "other"]).select("members", "others")
+    met = left.join(right, ["band", "hash", "other"])
+    met = met.select("band", "members", F.when(F.col("block") != F.col("other"), F.col("others")).alias("others"))
 
     def run(batches) -> Iterator[pa.RecordBatch]:
+        span_hash = words.SpanHash()
         for batch in batches:
-            for one, two in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                a, b = (np.array([x["node"] for x in side]) for side in (one, two))
-                la, lb = (np.array([x["label"] for x in side]) for side in (one, two))
-                sa, sb = (np.frombuffer(b"".join(x["signature"] for x in side), np.uint8).reshape(-1, REGISTERS) for side in (one, two))
-                for k in range(len(a)):
-                    good = np.flatnonzero((lb != la[k]) & (a[k] < b) & ((sb == sa[k]).sum(axis=1) >= AGREE))
-                    back = np.flatnonzero((lb != la[k]) & (a[k] > b) & ((sb == sa[k]).sum(axis=1) >= AGREE))
-                    if len(good) + len(back):
-                        yield pa.record_batch([np.concatenate((np.full(len(good), a[k]), b[back])), np.concatenate((b[good], np.full(len(back), a[k])))], ["a", "b"])
-
-    return met.mapInArrow(run, "a bigint, b bigint").distinct()
+            for row in range(batch.num_rows):
+                band, one, two = (batch.column(k)[row].as_py() for k in range(3))
+                links = block_links(one, two, band, span_hash)
+                if links:
+                    yield pa.record_batch([pa.array(x, pa.int64()) for x in zip(*links)], ["a", "b"])
+
+    return met.mapInArrow(run, "a bigint, b bigint")
+
+
+def block_links(one: list[dict], two: list[dict] | None, band: int, span_hash: words.SpanHash) -> list[tuple[int, int]]:
+    """Links between two blocks, or inside one; a pair that earlier links have joined is not tried again."""
+    members = one + (two or [])
+    node, label, size, bands = (np.array([x[c] for x in members]) for c in ("node", "label", "n_shingles", "bands"))
+    signature = np.frombuffer(b"".join(x["signature"] for x in members), np.uint8).reshape(-1, REGISTERS)
+    places = np.arange(len(members))
+    edges = value = weight = None
+    group = label.copy()
+    links = []
+    for k in range(len(one)):
+        at = places[len(one) :] if two else places[k + 1 :]
+        at = at[(group[at] != group[k]) & (np.minimum(size[at], size[k]) >= SIMILARITY * np.maximum(size[at], size[k]))]
+        at = at[(signature[at] == signature[k]).sum(axis=1) >= AGREE]
+        at = at[(bands[at] == bands[k]).argmax(axis=1) == band]
+        if len(at) and edges is None:
+            owner, value, weight = shingles([x["text"] for x in members], span_hash)
+            edges = np.searchsorted(owner, np.arange(len(members) + 1))
+        for j in at:
+            if group[j] != group[k] and overlap(value, weight, slice(edges[k], edges[k + 1]), slice(edges[j], edges[j + 1])) >= SIMILARITY:
+                links.append((int(node[k]), int(node[j])))
+                group[group == group[j]] = group[k]
+    return links
+
+
+def joined_labels(labels: DataFrame | None, links: DataFrame) -> DataFrame:
+    """Labels (node, label) after links (a, b) between nodes; only the components that a link touches move."""
+    if labels is None:
+        return components(links)
+    of_a, of_b = (labels.select(F.col("node").alias(c), F.col("label").alias(f"label_{c}")) for c in "ab")
+    raised = links.join(of_a, "a", "left").join(of_b, "b", "left")
+    step = components(raised.select(F.coalesce("label_a", "a").alias("a"), F.coalesce("label_b", "b").alias("b")).distinct())
+    moved = labels.join(step.select(F.col("node").alias("label"), F.col("label").alias("next")), "label", "left")
+    moved = moved.select("node", F.coalesce("next", "label").alias("label"))
+    return materialise(moved.unionByName(step.join(labels, "node", "left_anti")), "labels")
 
 
 def classes(docs: DataFrame) -> DataFrame:
@@ -213,26 +256,31 @@ def classes(docs: DataFrame) -> DataFrame:
     shingles and meet only their equals. A class whose ids are all null has a null class_id.
     """
     found = materialise(signed(docs), "signatures")
-    nodes = found.groupBy("text_key").agg(F.min("doc_id").alias("first_id"), F.first("bands").alias("bands"), F.first("signature").alias("signature"))
+    nodes = found.groupBy("text_key").agg(
+        F.min("doc_id").alias("first_id"),
+        F.first("n_shingles").alias("n_shingles"),
+        F.first("bands").alias("bands"),
+        F.first("signature").alias("signature"),
+    )
     nodes = materialise(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
     every = nodes.select("node", F.posexplode("bands").alias("band", "hash"))
-    shared = every.groupBy("band", "hash").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).drop("_n")
+    shared = every.groupBy("band", "hash").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > 1)
     buckets = materialise(every.join(shared, ["band", "hash"]), "buckets")
+    weights = buckets.groupBy("node").agg(F.sum("size").alias("weight"))
+    buckets = materialise(buckets.drop("size").join(weights, "node"), "buckets")
 
     candidates = buckets.select("node").distinct().join(nodes.select("node", "text_key"), "node")
     keyed = docs.select(F.unhex(F.md5(F.coalesce(F.col("text"), F.lit("")))).alias("text_key"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
     texts = keyed.join(candidates, "text_key").groupBy("node").agg(F.first("text").alias("text"))
     texts = materialise(texts, "texts")
 
-    links = None
-    labelled = buckets.withColumn("label", F.col("node"))
     labels = None
-    for bands, propose in ((4, star_pairs), (BANDS, star_pairs), (BANDS, lambda x: open_pairs(x, nodes))):
-        fresh = materialise(verified(propose(labelled.where(F.col("band") < bands)), texts), "verified")
-        links = fresh if links is None else links.unionByName(fresh)
-        labels = components(links)
-        known = buckets.join(labels, "node", "left")
-        labelled = known.withColumn("label", F.coalesce("label", "node"))
+    labelled = buckets.withColumn("label", F.col("node"))
+    for first, last, propose in ROUNDS:
+        some = labelled.where((F.col("band") >= first) & (F.col("band") < last))
+        links = star_links(some, texts) if propose == "star" else open_links(some, nodes, texts)
+        labels = joined_labels(labels, materialise(links, "links"))
+        labelled = buckets.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
 
     named = nodes.select("node", "text_key", "first_id").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     ids = named.groupBy("label").agg(F.min("first_id").alias("class_id"))
@@ -247,6 +295,10 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     found = classes(docs)
     best = found.groupBy("class_id", F.when(F.col("class_id").isNull(), F.col("text_key")).alias("_none")).agg(F.min(F.struct(lead.alias("id"), F.hex("text_key").alias("key"))).alias("best"))
     best = best.select(F.col("best.id").alias("_id"), F.col("best.key").alias("_key")).distinct()
-    own = docs.withColumn("_id", lead).withColumn("_key", F.upper(F.md5(F.coalesce(F.col("text"), F.lit("")))))
-    kept = own.join(best, ["_id", "_key"], "left_semi")
-    return kept.dropDuplicates(["_id", "_key"]).drop("_id", "_key")
+    own = docs.select(
+        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_doc"),
+        lead.alias("_id"),
+        F.upper(F.md5(F.coalesce(F.col("text"), F.lit("")))).alias("_key"),
+    )
+    kept = own.join(best, ["_id", "_key"], "left_semi").dropDuplicates(["_id", "_key"])
+    return kept.select(*(F.col("_doc").getField(c).alias(c) for c in docs.columns))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from marquee.session import configure
 
 BATCH_BYTES = "8m"
+BATCH_ROWS = "512"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,8 +18,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def prepared(spark: SparkSession) -> SparkSession:
-    """Session settings of the library, and Arrow batches cut by size so that long texts stay bounded."""
+    """Session settings of the library, and batches cut by size so that rows with long values stay bounded."""
     configure(spark)
+    spark.conf.set("spark.sql.parquet.columnarReaderBatchSize", BATCH_ROWS)
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     return spark
 
