@@ -24,7 +24,7 @@ from marquee.session import materialise
 LENGTH = 200
 GRAM = 64
 #: Bytes handled at a time; longer texts are cut into pieces that overlap by a window.
-PIECE = 1 << 20
+PIECE = 1 << 17
 #: Suffixes that one row of a further pass stands for, from the first of them to the last.
 RUNS = (16, 4, 1)
 #: Keys up to which a list of them is broadcast; beyond, the same join shuffles.
@@ -76,7 +76,7 @@ def runs_of(data: np.ndarray, begins: np.ndarray, roll: Rolling) -> tuple[np.nda
     roll.load(data)
     anchor = anchors(roll.grams(GRAM), LENGTH - GRAM + 1)
     at = np.arange(len(anchor))
-    text = words.owner(begins, at)
+    text = np.repeat(np.arange(len(begins) - 1), np.diff(begins))[: len(anchor)]
     whole = at + LENGTH <= begins[text + 1] - 1
     at, anchor, text = at[whole], anchor[whole], text[whole]
     if not len(at):
@@ -123,34 +123,48 @@ def _anchored(batches) -> Iterator[pa.RecordBatch]:
                 )
 
 
-def _unit_hashes(run: int):
-    """Maps (unit, content, low, anchor, units) to a row for each unit: the hash of what its suffixes share.
+def unit_hashes(
+    buffer: np.ndarray, begins: np.ndarray, at: np.ndarray, gram: np.ndarray, which: np.ndarray, unit: np.ndarray, run: int, roll: Rolling
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(representative, unit, digit): the hash of what the suffixes of each unit share.
 
-    Unit u holds the suffixes that begin u * run to u * run + run - 1 bytes before the anchor; all of
-    them read the bytes from the last's beginning to the first's end.
+    Unit u of a representative holds the suffixes that begin u * run to u * run + run - 1 bytes before its
+    anchor; all of them read the bytes from the last's beginning to the first's end. Units that reach
+    beyond the representative's bytes, at begins[k] to begins[k + 1], hold none of its suffixes.
     """
+    roll.load(buffer)
+    begin = begins[which] + at[which] - unit * run
+    end = begin - (run - 1) + LENGTH
+    inside = (begin >= begins[which]) & (end <= begins[which + 1])
+    which, unit, begin, end = which[inside], unit[inside], begin[inside], end[inside]
+    shared = words.mix(roll(begin, end) + unit.astype(np.uint64) * np.uint64(words.BASE))
+    return which, unit, (shared ^ words.mix(gram[which].view(np.uint64))).view(np.int64)
+
+
+def _units(run: int):
+    """Task of one pass over rows (rep, gram, at, content, units)."""
 
     def work(batches) -> Iterator[pa.RecordBatch]:
-        roll = Rolling(4 * LENGTH)
+        roll = None
         for batch in batches:
-            rep, gram, at, content, units = (batch.column(k).to_pylist() for k in range(5))
-            out_rep, out_unit, out_hash = [], [], []
-            for k in range(len(rep)):
-                data = np.frombuffer(content[k], np.uint8)
-                if len(data) > 4 * LENGTH:
-                    raise ValueError("a run of suffixes is longer than its anchor allows")
-                roll.load(data)
-                unit = np.array(units[k], np.int64)
-                begin = at[k] - unit * run
-                end = begin - (run - 1) + LENGTH
-                inside = (begin >= 0) & (end <= len(data))
-                unit, begin, end = unit[inside], begin[inside], end[inside]
-                shared = words.mix(roll(begin, end) + unit.astype(np.uint64) * np.uint64(words.BASE)) ^ words.mix(np.uint64([gram[k] % (1 << 64)]))
-                out_rep.append(np.full(len(unit), rep[k]))
-                out_unit.append(unit)
-                out_hash.append(shared.view(np.int64))
-            if out_rep:
-                yield pa.record_batch([np.concatenate(x) for x in (out_rep, out_unit, out_hash)], ["rep", "unit", "digit"])
+            rep, gram, at = (batch.column(k).to_numpy() for k in range(3))
+            lists = batch.column(4)
+            edges, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
+            contents = batch.column(3).to_pylist()
+            sizes = np.fromiter(map(len, contents), np.int64, len(contents))
+            group = np.cumsum(sizes) // PIECE
+            for number in np.unique(group):
+                some = np.flatnonzero(group == number)
+                first, last = int(some[0]), int(some[-1]) + 1
+                begins = np.concatenate(([0], np.cumsum(sizes[first:last])))
+                if roll is None or len(roll.up) < begins[-1]:
+                    roll = Rolling(max(2 * PIECE, int(begins[-1])))
+                data = np.frombuffer(b"".join(contents[first:last]), np.uint8)
+                counts = np.diff(edges[first : last + 1])
+                which = np.repeat(np.arange(last - first), counts)
+                unit = flat[edges[first] : edges[last]]
+                which, unit, digit = unit_hashes(data, begins, at[first:last], gram[first:last], which, unit, run, roll)
+                yield pa.record_batch([rep[first:last][which], unit, digit], ["rep", "unit", "digit"])
 
     return work
 
@@ -165,7 +179,7 @@ def _text() -> Column:
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
-    """(d, t, spans): the begin and end bytes of runs of repeated suffixes of every row that has any."""
+    """(d, t, runs, starts): runs (low, high) and single starts of repeated suffixes of every row that has any."""
     prepared(docs.sparkSession)
     scanned = docs.select(*_row(), _text().cast("binary").alias("text"))
     found = scanned.mapInArrow(_anchored, ANCHORS)
@@ -177,7 +191,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     kinds = found.groupBy("gram", "around").agg(F.count(F.lit(1)).alias("n"), one)
     kinds = materialise(kinds.withColumn("rep", F.monotonically_increasing_id()), "kinds")
     equal = found.join(small(kinds.where(F.col("n") > 1).select("gram", "around"), SMALL_KEYS), ["gram", "around"], "left_semi")
-    equal = equal.select("d", "t", F.struct("low", "high").alias("run"))
+    equal = equal.select("d", "t", F.struct("low", "high").alias("run"), F.lit(None).cast("array<bigint>").alias("starts"))
 
     several = kinds.groupBy("gram").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).select("gram")
     reps = kinds.join(several, "gram").select("rep", "gram", "n", "first.*")
@@ -189,7 +203,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     alive = reps.select("rep", units.alias("units"))
     for k, run in enumerate(RUNS):
         held = reps.join(alive, "rep").select("rep", "gram", F.col("at").alias("at"), "content", "units")
-        digits = materialise(held.mapInArrow(_unit_hashes(run), "rep bigint, unit bigint, digit bigint"), "digits")
+        digits = materialise(held.mapInArrow(_units(run), "rep bigint, unit bigint, digit bigint"), "digits")
         shared = digits.groupBy("digit").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).select("digit")
         kept = digits.join(shared, "digit", "left_semi")
         if run > 1:
@@ -198,11 +212,10 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
         alive = kept.groupBy("rep").agg(F.collect_list("unit").alias("units"))  # at most LENGTH of them
 
     single = reps.where(F.col("n") == 1).join(alive, "rep")
-    each = single.select("d", "t", "anchor", F.explode("units").alias("unit"))
-    begin = F.col("anchor") - F.col("unit")
-    partly = each.select("d", "t", F.struct(begin.alias("low"), begin.alias("high")).alias("run"))
-    spans = equal.unionByName(partly)
-    return materialise(spans.groupBy("d", "t").agg(F.collect_list("run").alias("runs")), "spans")  # of one text
+    starts = F.transform("units", lambda u: F.col("anchor") - u).alias("starts")
+    spans = equal.unionByName(single.select("d", "t", F.lit(None).cast(equal.schema["run"].dataType).alias("run"), starts))
+    of_text = spans.groupBy("d", "t").agg(F.collect_list("run").alias("runs"), F.flatten(F.collect_list("starts")).alias("starts"))
+    return materialise(of_text, "spans")
 
 
 def _with_content(scanned: DataFrame, reps: DataFrame) -> DataFrame:
@@ -218,19 +231,23 @@ def _with_content(scanned: DataFrame, reps: DataFrame) -> DataFrame:
 
 def _cut(batches) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        ids, texts, runs = batch.column(0), batch.column(1).to_pylist(), batch.column(2).to_pylist()
+        texts, runs, starts = batch.column(1).to_pylist(), batch.column(2), batch.column(3)
+        low, high = (runs.values.field(k).to_numpy() for k in range(2))
+        single = starts.values.to_numpy()
+        run_edges, start_edges = runs.offsets.to_numpy(), starts.offsets.to_numpy()
         kept, spans = [], []
-        for text, own in zip(texts, runs):
-            edge = np.zeros(len(text) + 1, np.int32)
-            np.add.at(edge, np.array([r["low"] for r in own]), 1)
-            np.add.at(edge, np.array([r["high"] for r in own]) + LENGTH, -1)
+        for k, text in enumerate(texts):
+            own, alone = slice(run_edges[k], run_edges[k + 1]), slice(start_edges[k], start_edges[k + 1])
+            size = len(text) + 1
+            edge = np.bincount(low[own], minlength=size) + np.bincount(single[alone], minlength=size)
+            edge -= np.bincount(high[own] + LENGTH, minlength=size) + np.bincount(single[alone] + LENGTH, minlength=size)
             gone = np.cumsum(edge[:-1]) > 0
-            kept.append(np.frombuffer(text, np.uint8)[~gone].tobytes())
-            starts, ends = words.runs(gone)
-            spans.append([{"begin": int(a), "end": int(b)} for a, b in zip(starts, ends)])
+            kept.append(np.frombuffer(text, np.uint8).take(np.flatnonzero(~gone)).tobytes())
+            begins, ends = words.runs(gone)
+            spans.append([{"begin": int(a), "end": int(b)} for a, b in zip(begins, ends)])
         kind = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
         sizes = pa.array([len(t) for t in texts], pa.int64())
-        yield pa.record_batch([ids, sizes, pa.array(spans, kind), pa.array(kept, pa.binary())], ["doc_id", "n_bytes", "spans", "kept"])
+        yield pa.record_batch([batch.column(0), sizes, pa.array(spans, kind), pa.array(kept, pa.binary())], ["doc_id", "n_bytes", "spans", "kept"])
 
 
 CUT = "doc_id bigint, n_bytes bigint, spans array<struct<begin: bigint, end: bigint>>, kept binary"
@@ -246,7 +263,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     spans = repeated_spans(docs)
     scanned = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), *_row(), _text().cast("binary").alias("text"))
     rows = small(spans.select("d", "t"), SMALL_KEYS)
-    hit = scanned.join(rows, ["d", "t"], "left_semi").join(spans, ["d", "t"]).select("doc_id", "text", "runs").mapInArrow(_cut, CUT)
+    hit = scanned.join(rows, ["d", "t"], "left_semi").join(spans, ["d", "t"]).select("doc_id", "text", "runs", "starts").mapInArrow(_cut, CUT)
     none = F.array().cast("array<struct<begin: bigint, end: bigint>>")
     clean = scanned.join(rows, ["d", "t"], "left_anti")
     clean = clean.select("doc_id", F.octet_length("text").cast("bigint").alias("n_bytes"), none.alias("spans"), F.col("text").alias("kept"))
