@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marquee.llm.tables import prepared, small
+from marquee.session import materialise
 
 #: A class counts from so many pages on, and from this share of its site's pages.
 MIN_PAGES, MIN_SHARE = 8, 0.5
@@ -269,7 +270,7 @@ def classes(pages: DataFrame) -> DataFrame:
     found = tokens.groupBy("site", "token", "path", "is_path").agg(
         F.bit_xor(F.xxhash64("page", "n")).alias("vector"), F.count(F.lit(1)).alias("n_pages"), F.sum("chars").alias("chars")
     )
-    found = found.where(F.col("n_pages") >= MIN_PAGES)
+    found = materialise(found.where(F.col("n_pages") >= MIN_PAGES), "page-tokens")  # used more than once; pages are parsed once
     sizes = numbered.groupBy("site").agg(F.count(F.lit(1)).alias("site_pages"))
     found = found.join(sizes, "site").where(F.col("n_pages") >= MIN_SHARE * F.col("site_pages"))
     held = found.where("is_path").select("site", "vector", "n_pages").distinct()
