@@ -45,6 +45,22 @@ TABLE = frozenset({"table"})
 #: Elements, roles and words of class or id names that mark what is not the article.
 NOT_TEXT = frozenset("head script style noscript template iframe object svg canvas button select textarea dialog menu nav footer aside form search".split())
 NOT_ARTICLE_ROLES = frozenset("navigation banner contentinfo complementary search alert alertdialog dialog form menu menubar status toolbar".split())
+NOT_ARTICLE_WORDS = frozenset(
+    "ad ads adsense advert adverts advertisement advertising announcement aside banner breadcrumb breadcrumbs comment comments "
+    "commentlist consent cookie cookies copyright crumbs disclaimer disqus foot footer gdpr legal login menu modal nav navbar "
+    "navigation newsletter notice notices alert overlay pager pagination popup promo promoted promotion recommendations recommended "
+    "related replies reply respond responses search share sharing sidebar signup skip social sponsor sponsored subscribe "
+    "subscription toast toolbar widget widgets".split()
+)
+#: Words that mark a page's header, outside its article and not together with a word for an article.
+HEADER_WORDS = frozenset("header masthead topbar".split())
+ARTICLE_WORDS = frozenset("article content entry main post story text".split())
+#: A word after one of these says what a page has, not what the element is.
+HAVING_WORDS = frozenset("has no with without".split())
+#: Elements whose names say nothing about their content being the article or not.
+WHOLE = frozenset("html body article main".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+ARTICLE_ROLES = frozenset("navigation banner contentinfo complementary search alert alertdialog dialog form menu menubar status toolbar".split())
 NOT_ARTICLE_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion sidebar menu nav navbar navigation "
     "breadcrumb breadcrumbs footer comment comments commentlist respond reply replies disqus notice notices cookie cookies consent "
@@ -64,7 +80,7 @@ ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>
 HIDDEN = re.compile(r"""(?:^|\s)hidden(?:[\s=/]|$)""", re.I)
 SPACE = re.compile(r"\s+")
 NUMBER = re.compile(r"\d{2,}")
-NAME_PART = re.compile(r"[a-z]+")
+NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 SITE = r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)"
 
 
@@ -77,17 +93,26 @@ class Node:
         self.tag, self.path, self.out, self.main, self.link, self.block = tag, path, out, main, link, block
 
 
+def marked(label: str, main: bool) -> bool:
+    """Whether class and id names say that an element is no part of the article."""
+    parts = [p.lower() for p in NAME_PART.findall(label)]
+    own = [p for k, p in enumerate(parts) if not (k and parts[k - 1] in HAVING_WORDS)]
+    if any(p in NOT_ARTICLE_WORDS for p in own):
+        return True
+    return not main and any(p in HEADER_WORDS for p in own) and not any(p in ARTICLE_WORDS for p in own)
+
+
 def opened(tag: str, attributes: str, above: Node) -> Node:
     names = {k.lower(): a or b or c for k, a, b, c in ATTRIBUTE.findall(attributes)} if attributes.strip() else {}
     role = names.get("role", "").lower().strip()
-    label = f"{names.get('class', '')} {names.get('id', '')}".lower()
+    label = f"{names.get('class', '')} {names.get('id', '')}"
     main = above.main or tag in ARTICLES or role in ARTICLE_ROLES
     out = above.out or tag in NOT_TEXT or role in NOT_ARTICLE_ROLES or (tag == "header" and not main)
     if not out and attributes:
-        out = any(part in NOT_ARTICLE_WORDS for part in NAME_PART.findall(label)) or HIDDEN.search(attributes) is not None
+        out = HIDDEN.search(attributes) is not None or (tag not in WHOLE and marked(label, main))
     if tag not in BLOCK:
         return Node(tag, above.path, out, main, above.link or tag == "a", False)
-    mark = "." + ".".join(sorted(NUMBER.sub("0", label).split())) if label.strip() else ""
+    mark = "." + ".".join(sorted(NUMBER.sub("0", label.lower()).split())) if label.strip() else ""
     return Node(tag, f"{above.path}/{tag}{mark}", out, main, above.link, True)
 
 
@@ -200,8 +225,12 @@ def best_container(chars: dict[str, int], total: int, main: set[str]) -> str:
     return max(large, key=lambda p: (p.count("/"), chars[p], p), default="")
 
 
+def _tag(path: str) -> str:
+    return path.rsplit("/", 1)[-1].split(".")[0]
+
+
 def _is_main(path: str) -> bool:
-    return path.rsplit("/", 1)[-1].split(".")[0] in ARTICLES
+    return _tag(path) in ARTICLES
 
 
 def page_containers(blocks) -> tuple[dict[str, int], int]:
@@ -219,7 +248,13 @@ def page_containers(blocks) -> tuple[dict[str, int], int]:
 
 def main_text(blocks, root: str, template: frozenset[str] | set[str] = frozenset()) -> str:
     """Blocks of the content slot in page order, one to a line."""
-    inside = [b for b in blocks if not b[2] and (b[0] == root or b[0].startswith(root + "/"))]
+    above = root.rsplit("/", 1)[0]
+    title = "" if _is_main(root) or _tag(above) in WHOLE else above  # headings beside the slot belong to it
+
+    def held(path: str) -> bool:
+        return path == root or path.startswith(root + "/") or bool(title) and _tag(path) in HEADINGS and path.rsplit("/", 1)[0] == title
+
+    inside = [b for b in blocks if not b[2] and held(b[0])]
     own = [b for b in inside if text_token(b[0], b[1]) not in template] if template else inside
     return "\n".join(b[1] for b in (own or inside))
 

@@ -126,9 +126,12 @@ PAGES = {
     '<article><header><h1>T</h1></header><p>x</p><form>f<input></form><script>if (a<b) "</p>"</script><aside>q</aside></article>after': "T\nx",
     "<article><p>a &lt; b < c</p></article>": "a < b < c",
     '<article><p title="x>y">q</p><!-- c --><table><tr><td>1<td>2<tr><td>3</table></article>': "q\n1\n2\n3",
-    '<article><p>a<span class="ad">buy</span>b</p><div role="alert">stop</div><p>&eacute;&#233;&#x1F600;</p></article>': "ab\néé😀",
+    '<article><p>a<span class="ad">buy</span>b</p><div role="alert">stop</div><div class="cookieNotice">ok?</div><p>&eacute;&#233;&#x1F600;</p></article>': "ab\néé😀",
     "<article><p>open <b>bold<p>next</article><footer>x</footer>": "open bold\nnext",
     "<nav>only</nav><script>": "",
+    '<body class="has-sidebar nav-open"><div id="header">Top</div><div class="post"><h1>Head</h1><div class="text with-sidebar"><p>One two three four.</p>'
+    '<p>Five six seven eight.</p></div></div><div class="page-footer">f</div></body>': "Head\nOne two three four.\nFive six seven eight.",
+    '<main><div class="entry-header"><h1>T</h1></div><p>x</p><section class="reader-comments"><p>c</p></section></main>': "T\nx",
 }
 
 
