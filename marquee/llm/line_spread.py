@@ -48,7 +48,8 @@ def spread_lines(lines: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
     sketched = sketched.select("key", F.hll_sketch_estimate("sketch").alias("sites"))
     likely = sketched.where(F.col("sites") >= min_sites / BAND)
     near = likely.where(F.col("sites") <= min_sites * BAND).select("key")
-    counted = lines.select("key", "_site").join(near, "key", "left_semi").distinct()
+    # Distinct pairs first: a line of a third of all rows is then as many rows as it has sites.
+    counted = lines.select("key", "_site").distinct().join(near, "key", "left_semi")
     counted = counted.groupBy("key").agg(F.count("_site").alias("sites")).where(F.col("sites") >= min_sites)
     return likely.where(F.col("sites") > min_sites * BAND).select("key").unionByName(counted.select("key"))
 
