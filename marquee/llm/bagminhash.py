@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marquee.llm import words
-from marquee.llm.tables import chunks, id_and_text, prepared
+from marquee.llm.tables import chunks, id_and_text, prepared, release_memory
 from marquee.session import materialise
 
 SHINGLE = 5
@@ -100,6 +100,7 @@ def signatures(n: int, owner: np.ndarray, value: np.ndarray, weight: np.ndarray)
 
 
 def _signed(batches) -> Iterator[pa.RecordBatch]:
+    release_memory()
     span_hash = words.SpanHash()
     for ids, texts in chunks(batches):
         owner, value, weight = shingles(texts, span_hash)
@@ -202,6 +203,7 @@ def open_links(buckets: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFr
     met = met.select("band", "members", F.when(F.col("block") != F.col("other"), F.col("others")).alias("others"))
 
     def run(batches) -> Iterator[pa.RecordBatch]:
+        release_memory()
         span_hash = words.SpanHash()
         for batch in batches:
             for row in range(batch.num_rows):

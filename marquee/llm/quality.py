@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marquee.llm import words
-from marquee.llm.tables import chunks, id_and_text, prepared
+from marquee.llm.tables import chunks, id_and_text, prepared, release_memory
 
 #: The published repetition limits of web-text rule sets, as shares of the characters in words.
 GRAM_LIMITS = {5: 0.15, 6: 0.14, 7: 0.13, 8: 0.12, 9: 0.11, 10: 0.10}
@@ -125,6 +125,7 @@ def keep_good(docs: DataFrame) -> DataFrame:
     types = docs.schema
 
     def passing(batches):
+        release_memory()
         span_hash = words.SpanHash()
         for batch in batches:
             texts = [t or b"" for t in batch.column(position).cast("binary").to_pylist()]

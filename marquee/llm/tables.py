@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
+import sys
 from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,6 +57,17 @@ def chunks(batches, size: int = 2_000_000) -> Iterator[tuple[list, list[bytes]]]
         yield ids, texts
 
 
+def release_memory() -> None:
+    """Give back what earlier tasks of this worker process have kept: encoders' word tables and freed pages."""
+    encoders = sys.modules.get("tokenizers")
+    if encoders is not None:
+        encoders.__dict__.pop("_word_encoders", None)
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # another C library has no such call
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def small(df: DataFrame, most_rows: int) -> DataFrame:
     """``df`` marked for broadcast if a count proves it to have few rows; otherwise as it is."""
     return F.broadcast(df) if df.limit(most_rows + 1).count() <= most_rows else df
