@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from marquee.llm.tables import chunks, id_and_text, prepared
-from marquee.llm.tokens import encoder
+from marquee.llm.tokens import ENCODED_BYTES, encoder, with_end
 
 END_ID = 1
 CONTEXTS = (256, 512, 1024, 2048)
@@ -99,9 +99,9 @@ def packed(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) -> DataFr
         parts: list[np.ndarray] = []
         sizes: list[np.ndarray] = []
         held = 0
-        for ids, texts in chunks(batches):
+        for ids, texts in chunks(batches, ENCODED_BYTES):
             flat, counts = encode([t.decode() for t in texts])
-            parts.append(np.insert(flat, np.cumsum(counts), end_id))
+            parts.append(with_end(flat, counts, end_id))
             sizes.append(counts + 1)
             keys += ids
             held += len(parts[-1])

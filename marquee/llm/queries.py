@@ -119,7 +119,8 @@ def piece_digest(pieces: DataFrame) -> DataFrame:
 @query
 def op4_wavelet_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = wavelet.write(documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json"))
-    return wavelet.read(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+    digest = wavelet.decoded(spark, path).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return wavelet.placed(digest, path).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
 @query

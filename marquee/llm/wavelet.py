@@ -17,8 +17,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from marquee.llm.tables import chunks, id_and_text, prepared
-from marquee.llm.tokens import encoder
+from marquee.llm.tables import chunks, id_and_text, prepared, small
+from marquee.llm.tokens import ENCODED_BYTES, encoder, with_end
 from marquee.session import scratch_path
 
 END_ID = 2
@@ -26,6 +26,8 @@ LEVELS = 16
 SHARD_TOKENS = 1 << 20
 BLOCK_WORDS = 8  # 64-bit words between two sampled ranks
 MAGIC = b"WMX1"
+#: Shards up to which the table of their starts is broadcast.
+SMALL_SHARDS = 500_000
 
 SHARD_SCHEMA = "part bigint, shard bigint, n_docs bigint, n_tokens bigint, payload binary"
 
@@ -39,14 +41,15 @@ class WaveletMatrix:
     @classmethod
     def of(cls, values: np.ndarray, levels: int = LEVELS) -> "WaveletMatrix":
         planes, zeros, samples = [], [], []
-        current = values.astype(np.uint32)
+        kind = np.uint16 if levels <= 16 else np.uint32
+        current = values.astype(kind)
         for level in range(levels - 1, -1, -1):
-            bits = (current >> np.uint32(level)) & np.uint32(1)
-            ones = bits.astype(bool)
+            ones = (current & kind(1 << level)) != 0
             planes.append(cls._words(ones))
             samples.append(cls._sampled(planes[-1]))
-            zeros.append(int(len(ones) - ones.sum()))
-            current = np.concatenate((current[~ones], current[ones]))
+            low, high = np.flatnonzero(~ones), np.flatnonzero(ones)
+            zeros.append(len(low))
+            current = np.concatenate((current.take(low), current.take(high)))
         return cls(len(values), planes, zeros, samples)
 
     @staticmethod
@@ -130,12 +133,13 @@ class WaveletMatrix:
 
     def values(self) -> np.ndarray:
         """The whole sequence, undoing the partitions from the lowest plane up."""
-        current = np.zeros(self.n, np.uint32)
+        kind = np.uint16 if len(self.planes) <= 16 else np.uint32
+        current = np.zeros(self.n, kind)
         for k, level in enumerate(range(len(self.planes) - 1, -1, -1)):
             ones = np.unpackbits(self.planes[level].view(np.uint8), count=self.n, bitorder="little").astype(bool)
-            above = np.empty(self.n, np.uint32)
-            above[~ones] = current[: self.zeros[level]]
-            above[ones] = current[self.zeros[level] :] | np.uint32(1 << k)
+            above = np.empty(self.n, kind)
+            above[np.flatnonzero(~ones)] = current[: self.zeros[level]]
+            above[np.flatnonzero(ones)] = current[self.zeros[level] :] | kind(1 << k)
             current = above
         return current
 
@@ -194,9 +198,9 @@ def shards(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) -> DataFr
                 ["part", "shard", "n_docs", "n_tokens", "payload"],
             )
 
-        for ids, texts in chunks(batches):
+        for ids, texts in chunks(batches, ENCODED_BYTES):
             flat, counts = encode([t.decode() for t in texts])
-            flats.append(np.insert(flat, np.cumsum(counts), end_id))
+            flats.append(with_end(flat, counts, end_id))
             sizes.append(counts + 1)
             keys += ids
             held += len(flats[-1])
@@ -216,15 +220,13 @@ def write(docs: DataFrame, tokenizer_path: str, path: str | None = None) -> str:
     return path
 
 
-def read(spark: SparkSession, path: str) -> DataFrame:
-    """Every document of the shard files: doc_id, start among all ids, n_tokens, ids (uint32, little-endian).
-
-    Starts are joined to documents after decoding, so shard files are never shuffled.
-    """
+def decoded(spark: SparkSession, path: str) -> DataFrame:
+    """Every document of the shard files: part, shard, doc_id, local start, n_tokens, ids (uint32, little-endian)."""
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, shard, payload in zip(*(batch.column(k).to_pylist() for k in range(3))):
+            for row in range(batch.num_rows):
+                part, shard, payload = (batch.column(k)[row].as_py() for k in range(3))
                 matrix, ids, sizes = from_bytes(payload)
                 flat = matrix.values().astype("<u4")
                 ends = np.cumsum(sizes)
@@ -242,12 +244,15 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                         ["part", "shard", "doc_id", "local", "n_tokens", "ids"],
                     )
 
-    files = spark.read.schema(SHARD_SCHEMA).parquet(path)
-    found = files.select("part", "shard", "payload").mapInArrow(
-        run, "part bigint, shard bigint, doc_id bigint, local bigint, n_tokens bigint, ids binary"
-    )
-    placed = found.join(shard_starts(files), ["part", "shard"])
-    return placed.select("doc_id", (F.col("shard_start") + F.col("local")).alias("start"), "n_tokens", "ids")
+    files = spark.read.schema(SHARD_SCHEMA).parquet(path).select("part", "shard", "payload")
+    return files.mapInArrow(run, "part bigint, shard bigint, doc_id bigint, local bigint, n_tokens bigint, ids binary")
+
+
+def placed(found: DataFrame, path: str) -> DataFrame:
+    """Rows of ``decoded``, or what was made of them, with the start of each document among all ids."""
+    files = found.sparkSession.read.schema(SHARD_SCHEMA).parquet(path)
+    both = found.join(small(shard_starts(files), SMALL_SHARDS), ["part", "shard"])
+    return both.withColumn("start", F.col("shard_start") + F.col("local")).drop("part", "shard", "local", "shard_start")
 
 
 def shard_starts(files: DataFrame) -> DataFrame:

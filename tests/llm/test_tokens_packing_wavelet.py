@@ -93,7 +93,8 @@ def test_wavelet_answers_agree_with_the_sequence():
 
 def test_shards_round_trip_in_order(table, spark, monkeypatch):
     given = [(k, t) for k, t in enumerate(ODD)] + [(None, "no id"), (500, None), (501, "same"), (501, "same"), (-3, "# ## #")]
-    rows = wavelet.read(spark, wavelet.write(table(given), WORDS)).collect()
+    path = wavelet.write(table(given), WORDS)
+    rows = wavelet.placed(wavelet.decoded(spark, path), path).collect()
     encode = tokens.WordEncoder(WORDS, False)
     at, found = 0, []
     for r in sorted(rows, key=lambda r: r.start):
@@ -102,4 +103,5 @@ def test_shards_round_trip_in_order(table, spark, monkeypatch):
         found.append((r.doc_id, np.frombuffer(r.ids, "<u4").tolist()))
     ordered = sorted(given, key=lambda r: (r[0] is not None, r[0] or 0))
     assert found == [(i, encode([t or ""])[0].tolist() + [wavelet.END_ID]) for i, t in ordered]
-    assert wavelet.read(spark, wavelet.write(table([]), WORDS)).count() == 0
+    empty = wavelet.write(table([]), WORDS)
+    assert wavelet.placed(wavelet.decoded(spark, empty), empty).count() == 0
