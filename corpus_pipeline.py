@@ -26,12 +26,12 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near copies."""
-    return bagminhash.one_of_each(docs)
+    return bagminhash.one_of_each_label(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a window of a benchmark item."""
-    return phrase_index.without_contaminated(docs, table(spark, sf_dir, "benchmark"))
+    """Documents without a window of a benchmark item, judged row by row."""
+    return phrase_index.without_contaminated_rows(docs, table(spark, sf_dir, "benchmark"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marquee.llm import words
@@ -257,6 +257,11 @@ def classes(docs: DataFrame) -> DataFrame:
     Rows with equal texts share a class, empty and null ones among them. Texts without words have no
     shingles and meet only their equals. A class whose ids are all null has a null class_id.
     """
+    return labelled_rows(docs).select("doc_id", "class_id", "text_key")
+
+
+def labelled_rows(docs: DataFrame) -> DataFrame:
+    """As classes, with the label of the component, which is one for each class whatever its ids."""
     found = materialise(signed(docs), "signatures")
     nodes = found.groupBy("text_key").agg(
         F.min("doc_id").alias("first_id"),
@@ -286,8 +291,8 @@ def classes(docs: DataFrame) -> DataFrame:
 
     named = nodes.select("node", "text_key", "first_id").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     ids = named.groupBy("label").agg(F.min("first_id").alias("class_id"))
-    named = named.join(ids, "label").select("text_key", "class_id")
-    return found.select("doc_id", "text_key").join(named, "text_key").select("doc_id", "class_id", "text_key")
+    named = named.join(ids, "label").select("text_key", "class_id", "label")
+    return found.select("doc_id", "text_key").join(named, "text_key").select("doc_id", "class_id", "text_key", "label")
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
@@ -304,3 +309,18 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     )
     kept = own.join(best, ["_id", "_key"], "left_semi").dropDuplicates(["_id", "_key"])
     return kept.select(*(F.col("_doc").getField(c).alias(c) for c in docs.columns))
+
+
+def one_of_each_label(docs: DataFrame) -> DataFrame:
+    """One row of ``docs``, all columns, for each class: that of the smallest doc_id (null last), then of
+    the first text key. Classes that share their smallest id, or have none, keep a row each."""
+    def rank(key: Column) -> list[Column]:
+        return [F.col("doc_id").isNull().alias("_none"), F.coalesce("doc_id", F.lit(0)).cast("bigint").alias("_id"), key.alias("_key")]
+
+    best = labelled_rows(docs).groupBy("label").agg(F.min(F.struct(*rank(F.hex("text_key")))).alias("best")).select("best.*")
+    own = docs.select(
+        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_doc"),
+        *rank(F.upper(F.md5(F.coalesce(F.col("text"), F.lit(""))))),
+    )
+    kept = own.join(best, ["_none", "_id", "_key"], "left_semi").dropDuplicates(["_none", "_id", "_key"])
+    return kept.select(*(F.col("_doc").getField(c).alias(c) for c in docs.columns))

@@ -136,3 +136,13 @@ def without_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of ``docs``, with all their columns, whose doc_id has no row with a hit."""
     bad = contamination(docs, items).where(F.col("n_hit") > 0).select(F.col("doc_id").alias("_bad")).distinct()
     return docs.join(bad, docs["doc_id"].cast("bigint").eqNullSafe(bad["_bad"]), "left_anti")
+
+
+def without_contaminated_rows(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that have no hit themselves.
+
+    The verdict goes by doc_id and text together, so null or repeated ids share none.
+    """
+    keyed = docs.select(F.xxhash64("doc_id", "text").alias("doc_id"), "text")
+    bad = contamination(keyed, items).where(F.col("n_hit") > 0).select(F.col("doc_id").alias("_bad")).distinct()
+    return docs.join(bad, F.xxhash64(docs["doc_id"], docs["text"]) == bad["_bad"], "left_anti")

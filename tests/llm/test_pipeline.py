@@ -56,3 +56,18 @@ def test_queries_agree_with_sql(spark, name):
         connection.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{TINY}/{t}.parquet')")
     good, note = compare(spark, connection, TINY, name, queries.QUERIES[name], queries.ORACLES[name])
     assert good, note
+
+
+def test_ids_that_are_null_or_shared_cost_no_clean_row(table, spark, tmp_path):
+    spark.createDataFrame([(1, "secret phrase")], "item_id bigint, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    rows = [(None, "the secret phrase"), (None, "clean and null"), (3, "a secret phrase too"), (3, "clean with a shared id"), (4, "other")]
+    kept = corpus_pipeline.decontamination(spark, table(rows), str(tmp_path))
+    assert sorted(r.text for r in kept.collect()) == ["clean and null", "clean with a shared id", "other"]
+
+
+def test_classes_that_share_their_smallest_id_keep_a_row_each(table, spark):
+    one, two, three, four = (" ".join(f"{c}{k}" for k in range(200)) for c in "abcd")
+    rows = [(7, one), (8, one + " more"), (7, two), (9, two), (7, two), (None, three), (None, three + " more"), (None, four), (10, "short"), (11, None), (12, "")]
+    kept = [(r.doc_id, r.text) for r in corpus_pipeline.near_dedup(spark, table(rows), "").collect()]
+    assert sorted((i, t) for i, t in kept if i is not None) == sorted([(7, one), (7, two), (10, "short"), (11, None)], key=lambda x: (x[0], x[1] or ""))
+    assert len([t for i, t in kept if i is None]) == 2 and (None, four) in kept
