@@ -60,13 +60,6 @@ HAVING_WORDS = frozenset("has no with without".split())
 #: Elements whose names say nothing about their content being the article or not.
 WHOLE = frozenset("html body article main".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
-ARTICLE_ROLES = frozenset("navigation banner contentinfo complementary search alert alertdialog dialog form menu menubar status toolbar".split())
-NOT_ARTICLE_WORDS = frozenset(
-    "ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion sidebar menu nav navbar navigation "
-    "breadcrumb breadcrumbs footer comment comments commentlist respond reply replies disqus notice notices cookie cookies consent "
-    "alert popup modal overlay newsletter subscribe subscription signup share sharing social related recommended recommendations "
-    "widget toolbar pagination pager login search skip copyright legal disclaimer".split()
-)
 ARTICLE_ROLES = frozenset({"main", "article"})
 ARTICLES = ("article", "main")
 #: Elements that can be a content slot; the others are single blocks or parts of one.
@@ -247,7 +240,10 @@ def page_containers(blocks) -> tuple[dict[str, int], int]:
 
 
 def main_text(blocks, root: str, template: frozenset[str] | set[str] = frozenset()) -> str:
-    """Blocks of the content slot in page order, one to a line."""
+    """Blocks of the content slot in page order, one to a line.
+
+    Blocks of an article or main element stay, however many pages share them: near copies of an article do.
+    """
     above = root.rsplit("/", 1)[0]
     title = "" if _is_main(root) or _tag(above) in WHOLE else above  # headings beside the slot belong to it
 
@@ -255,7 +251,7 @@ def main_text(blocks, root: str, template: frozenset[str] | set[str] = frozenset
         return path == root or path.startswith(root + "/") or bool(title) and _tag(path) in HEADINGS and path.rsplit("/", 1)[0] == title
 
     inside = [b for b in blocks if not b[2] and held(b[0])]
-    own = [b for b in inside if text_token(b[0], b[1]) not in template] if template else inside
+    own = [b for b in inside if b[3] or text_token(b[0], b[1]) not in template] if template else inside
     return "\n".join(b[1] for b in (own or inside))
 
 

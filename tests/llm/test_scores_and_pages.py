@@ -174,3 +174,22 @@ def test_tokens_of_a_class_share_their_vector(spark):
     assert {"/body", "/body/div.t1", "/body/div.t2", "/body/div.t2/h1", "/body/div.t3"} <= once
     root = next(r.vector for r in found if r.token == "/body")
     assert template.text_token("/body/div.t2/p", "Read our terms before you go on") in {r.token for r in found if r.vector == root}
+
+
+def test_near_copies_of_an_article_keep_their_shared_paragraphs(spark):
+    shared = [f"Shared paragraph {k} of an article that many pages of the host carry." for k in range(3)]
+    for tag in ("article", "main", 'div role="main"'):
+        rows = []
+        for k in range(20):
+            paragraphs = [*shared, f"Edited paragraph number{chr(97 + k)} of this copy alone."]
+            html = "<body><div class=top>Menu</div><" + tag + ">" + "".join(f"<p>{x}</p>" for x in paragraphs) + f"</{tag.split()[0]}></body>"
+            rows.append((k, f"https://copies.example/{k}", html, "\n".join(paragraphs)))
+        pages = spark.createDataFrame(rows, "page_id bigint, url string, html string, want string")
+        found = {r.page_id: r.text for r in template.extracted(pages).collect()}
+        assert found == {k: want for k, _, _, want in rows}, tag
+
+
+def test_all_words_for_what_is_no_article_count():
+    for word in ("adsense", "gdpr", "toast", "widgets", "crumbs", "promoted"):
+        _, blocks = template.parsed(f"<article><p>own text</p><div class={word}>not own</div></article>")
+        assert template.main_text(blocks, template.page_root(blocks)) == "own text", word
