@@ -1,9 +1,11 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are trained, one on ordinary text, one that also holds what toxic text says
-more often than ordinary text. Every word window of a document is compressed with both; the bytes that
-the toxic dictionary saves are the window's distance. A document's largest distances, and how many pass
-each threshold, are calibrated to a probability on labelled rows that trained no dictionary.
+Two pairs of zstandard dictionaries are trained. The first is for single words: one on the words of
+ordinary text, one that also holds the parts of words that toxic text says more often. The second is for
+phrases: one on whole ordinary texts, one on whole toxic texts. Every word, and every overlapping window
+of SPAN words, is compressed with both dictionaries of its pair; the bytes that the toxic one saves are
+its distance. A document's largest distances, and how many pass each threshold, are calibrated to a
+probability on labelled rows that trained no dictionary.
 """
 
 from __future__ import annotations
@@ -26,10 +28,14 @@ from marquee.llm.tables import chunks, id_and_text, prepared
 TOXIC_ROWS, ORDINARY_ROWS, TRAINING_BYTES = 2000, 4000, 1 << 15
 #: Strings of GRAM bytes count as toxic if seen in so many contexts, and so many times as often as in ordinary text.
 GRAM, MIN_CONTEXTS, RATIO = 5, 5, 6.0
+#: TOXIC_BYTES is the least size; more strings make the content larger.
 TOXIC_BYTES, ORDINARY_BYTES, LEVEL = 2048, 100_000, 4
+#: Windows of several words begin at every STEP-th word; dictionaries of whole texts have TEXT_BYTES.
+SPAN, STEP, TEXT_BYTES = 8, 4, 100_000
 #: Follows every window: zstandard looks for no match in the last bytes of its input.
 TAIL = bytes(range(1, 9)) * 2
 THRESHOLDS = (2, 3, 4, 5)
+SPAN_THRESHOLDS = (2, 4, 6, 8)
 PREDICTED = 0.7
 SCHEMA = "doc_id bigint, score double, n_windows bigint, largest bigint"
 
@@ -87,10 +93,10 @@ def telling_part(word: bytes, telling: set[bytes]) -> bytes:
     return lead[at[0] : at[-1] + GRAM] if at else b""
 
 
-def train_dictionaries(texts: list[bytes], labels: list[int], seed: int = 1) -> tuple[bytes, bytes]:
-    """(ordinary, toxic) dictionaries; the toxic one extends the ordinary one."""
-    toxic, toxic_words, toxic_total = gram_contexts([t for t, y in zip(texts, labels) if y == 1])
-    plain, plain_words, plain_total = gram_contexts([t for t, y in zip(texts, labels) if y == 0])
+def chosen_strings(toxic_texts: list[bytes], plain_texts: list[bytes]) -> tuple[Counter, Counter]:
+    """Parts of words that toxic text says more often, and the words of ordinary text, with their counts."""
+    toxic, toxic_words, toxic_total = gram_contexts(toxic_texts)
+    plain, plain_words, plain_total = gram_contexts(plain_texts)
     telling = {
         g for g, n in toxic.items() if n >= MIN_CONTEXTS and n * plain_total >= RATIO * (plain[g] + 0.5) * toxic_total
     }
@@ -99,13 +105,33 @@ def train_dictionaries(texts: list[bytes], labels: list[int], seed: int = 1) ->
         part = telling_part(word, telling)
         if part:
             parts[part] += count
+    return parts, plain_words
+
+
+def train_dictionaries(texts: list[bytes], labels: list[int], seed: int = 1) -> tuple[bytes, bytes]:
+    """(ordinary, toxic) dictionaries; the toxic one extends the ordinary one by every chosen string."""
+    parts, plain_words = chosen_strings(*([t for t, y in zip(texts, labels) if y == label] for label in (1, 0)))
     draw = random.Random(seed)
     ordinary = [b" " + w for w, n in sorted(plain_words.items()) for _ in range(min(n, 50))]
     special = [p for p, n in sorted(parts.items()) for _ in range(n)]
     draw.shuffle(ordinary)
     draw.shuffle(special)
     base = _trained(ordinary, ORDINARY_BYTES, 64)
-    return base + TAIL, base + _trained(special, TOXIC_BYTES, 16) + TAIL
+    content = _trained(special, max(TOXIC_BYTES, sum(map(len, parts))), 16)
+    missing = b"".join(p for p in sorted(parts) if p not in content)
+    return base + TAIL, base + missing + content + TAIL
+
+
+def train_on_texts(texts: list[bytes], labels: list[int]) -> tuple[bytes, bytes]:
+    """(ordinary, toxic) dictionaries trained on whole texts; too few to train on are taken whole."""
+    out = []
+    for label in (0, 1):
+        whole = [lowered(t) for t, y in zip(texts, labels) if y == label and t]
+        try:
+            out.append(zstandard.train_dictionary(TEXT_BYTES, whole, k=64, d=6).as_bytes() + TAIL)
+        except zstandard.ZstdError:
+            out.append(b" ".join(dict.fromkeys(whole)) + TAIL)
+    return out[0], out[1]
 
 
 def _trained(strings: list[bytes], size: int, segment: int) -> bytes:
@@ -137,27 +163,37 @@ class Distance:
         return np.array([len(plain(w + TAIL)) - len(toxic(w + TAIL)) for w in windows], np.int64)
 
 
-def features(texts: list[bytes], distance: Distance) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Features of every text, its number of windows and its largest distance.
+def largest_and_passed(values: np.ndarray, counts: np.ndarray, thresholds: tuple, low: int, high: int) -> tuple[np.ndarray, list]:
+    """The three largest distances of every text, clipped, and how many pass each threshold."""
+    owner = np.repeat(np.arange(len(counts)), counts)
+    order = np.lexsort((-values, owner))
+    first = np.cumsum(counts) - counts
+    ranked = values[order]
+    best = np.zeros((len(counts), 3))
+    for k in range(3):
+        has = counts > k
+        best[has, k] = np.clip(ranked[first[has] + k], low, high)
+    return best, [np.log1p(np.bincount(owner, values >= t, len(counts))) for t in thresholds]
+
+
+def features(texts: list[bytes], distance: Distance, phrases: Distance) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Features of every text, its number of words and the largest distance of a word.
 
-    Windows are words with a blank in front; equal ones are compressed once for all texts.
+    Words have a blank in front; equal ones are compressed once for all texts.
     """
     parts = [lowered(t).split() for t in texts]
     counts = np.fromiter(map(len, parts), np.int64, len(parts))
     flat = pa.array([w for own in parts for w in own], pa.large_binary()).dictionary_encode()
     saved = distance([b" " + w for w in flat.dictionary.to_pylist()])
     values = saved[flat.indices.to_numpy()] if len(saved) else np.empty(0, np.int64)
-    owner = np.repeat(np.arange(len(texts)), counts)
-    order = np.lexsort((-values, owner))
-    first = np.cumsum(counts) - counts
-    ranked = values[order]
-    best = np.zeros((len(texts), 3))
-    for k in range(3):
-        has = counts > k
-        best[has, k] = np.clip(ranked[first[has] + k], -8, 16)
-    passed = [np.log1p(np.bincount(owner, values >= t, len(texts))) for t in THRESHOLDS]
+    best, passed = largest_and_passed(values, counts, THRESHOLDS, -8, 16)
     largest = np.where(counts > 0, best[:, 0], 0).astype(np.int64)
-    return np.column_stack([best, *passed, np.log1p(counts)]), counts, largest
+
+    spans = [[b" " + b" ".join(own[at : at + SPAN]) for at in range(0, max(1, len(own) - SPAN + STEP), STEP)] if own else [] for own in parts]
+    n_spans = np.fromiter(map(len, spans), np.int64, len(spans))
+    spared = phrases([w for own in spans for w in own])
+    far, many = largest_and_passed(spared, n_spans, SPAN_THRESHOLDS, -16, 40)
+    return np.column_stack([best, *passed, far, *many, np.log1p(counts)]), counts, largest
 
 
 def calibrate(x: np.ndarray, y: np.ndarray, steps: int = 60) -> np.ndarray:
@@ -177,18 +213,19 @@ def calibrate(x: np.ndarray, y: np.ndarray, steps: int = 60) -> np.ndarray:
     return weights
 
 
-def train(sample: list[tuple[bytes, int]]) -> tuple[bytes, bytes, np.ndarray] | None:
+def train(sample: list[tuple[bytes, int]]) -> tuple[bytes, bytes, bytes, bytes, np.ndarray] | None:
     """Dictionaries and calibration; None where a class is missing from either half."""
     halves = [(sample[k::2]) for k in (0, 1)]
     if any(len({y for _, y in half}) < 2 for half in halves):
         return None
-    ordinary, toxic = train_dictionaries(*map(list, zip(*halves[0])))
+    texts, labels = map(list, zip(*halves[0]))
+    dictionaries = (*train_dictionaries(texts, labels), *train_on_texts(texts, labels))
     texts, labels = map(list, zip(*halves[1]))
-    x, _, _ = features(texts, Distance(ordinary, toxic))
-    return ordinary, toxic, calibrate(x, np.array(labels, float))
+    x, _, _ = features(texts, Distance(*dictionaries[:2]), Distance(*dictionaries[2:]))
+    return *dictionaries, calibrate(x, np.array(labels, float))
 
 
-def scored(docs: DataFrame, model: tuple[bytes, bytes, np.ndarray] | None) -> DataFrame:
+def scored(docs: DataFrame, model: tuple[bytes, bytes, bytes, bytes, np.ndarray] | None) -> DataFrame:
     """doc_id, score, n_windows and the largest distance of every row of ``docs``.
 
     Null and empty texts have no windows and the score of the calibration for that. Without a model
@@ -197,13 +234,13 @@ def scored(docs: DataFrame, model: tuple[bytes, bytes, np.ndarray] | None) -> Da
     prepared(docs.sparkSession)
 
     def run(batches) -> Iterator[pa.RecordBatch]:
-        distance = Distance(*model[:2]) if model else None
+        distance, phrases = (Distance(*model[:2]), Distance(*model[2:4])) if model else (None, None)
         for ids, texts in chunks(batches, 4_000_000):
             if distance is None:
                 score, counts, largest = np.zeros(len(ids)), np.zeros(len(ids), np.int64), np.zeros(len(ids), np.int64)
             else:
-                x, counts, largest = features(texts, distance)
-                score = 1 / (1 + np.exp(-np.clip(np.column_stack([x, np.ones(len(x))]) @ model[2], -30, 30)))
+                x, counts, largest = features(texts, distance, phrases)
+                score = 1 / (1 + np.exp(-np.clip(np.column_stack([x, np.ones(len(x))]) @ model[4], -30, 30)))
             yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(score), pa.array(counts), pa.array(largest)], ["doc_id", "score", "n_windows", "largest"])
 
     return id_and_text(docs).mapInArrow(run, SCHEMA)
