@@ -5,14 +5,16 @@ numpy: each task trains on all its documents, parameters are averaged by Spark a
 network predicts the word's class; inside its class a word has its share of the corpus count. The sum of
 the conditional log-probabilities over all positions scores a document.
 
-Words fall into 2 ** BITS hash buckets, so counts, classes and parameters have a fixed size, while the
-counts and the training cover every word of the corpus.
+Whole words are counted by 64-bit keys. 2 ** BITS hash buckets are the index from words to classes and
+context rows, whose numbers grow with the square root of the number of distinct words. Tasks hold the most
+frequent word of each bucket; the counts of all others stay in a written table that is joined by key.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from math import isqrt
 
 import numpy as np
 import pyarrow as pa
@@ -24,10 +26,8 @@ from marquee.llm.tables import chunks, id_and_text, prepared
 from marquee.session import materialise
 
 BITS = 16
-#: Rows of the context tables (0 stands for "no word here"), classes, units, and words on either side.
+#: Least rows of the context tables (0 stands for "no word here"), least classes; units, and words on either side.
 CONTEXTS, CLASSES, UNITS, SIDE = 512, 64, 16, 2
-#: The most frequent buckets have a context row, and a class, of their own; the others share the rest.
-OWN_CONTEXTS, OWN_CLASSES = 448, 48
 EPOCHS, BATCH, RATE = 1, 2048, 0.1
 FIXED = 1 << 20
 
@@ -38,30 +38,68 @@ class Vocabulary:
     word_class: np.ndarray  # bucket -> class
     inside: np.ndarray  # bucket -> log of its share of its class
     prior: np.ndarray  # class -> log of its share of the corpus
+    contexts: int  # rows of the context tables
+    lead: np.ndarray  # bucket -> key of its most frequent word
+    lead_share: np.ndarray  # bucket -> log of that word's share of the bucket
+    totals: np.ndarray  # bucket -> count
+    words: DataFrame | None = None  # key, n and log share of the bucket of all other words; stays on the driver
 
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"words": None}
+
+
+def sizes(n_words: int) -> tuple[int, int]:
+    """Context rows and classes for so many distinct words."""
+    return max(CONTEXTS, 2 * isqrt(n_words)), max(CLASSES, isqrt(n_words) // 4)
+
+
+def vocabulary(words_table: DataFrame) -> Vocabulary:
+    """Rows, classes and shares from the counts (bucket, key, n) of all words; bucket counts are smoothed by one.
+
+    The most frequent buckets have a context row, and a class, of their own; the others share the rest.
+    """
+    each = words_table.groupBy("bucket").agg(
+        F.sum("n").alias("n"), F.count(F.lit(1)).alias("n_words"), F.max(F.struct("n", "key")).alias("lead")
+    )
+    each = materialise(each.select("bucket", "n", "n_words", F.col("lead.n").alias("lead_n"), F.col("lead.key").alias("lead")), "buckets")
+    found = each.toArrow()
+    at = found.column(0).to_numpy()
+    counts, lead_n = np.zeros(1 << BITS, np.int64), np.zeros(1 << BITS, np.int64)
+    lead = np.zeros(1 << BITS, np.int64)
+    counts[at], lead_n[at], lead[at] = (found.column(k).to_numpy() for k in (1, 3, 4))
+    contexts, classes = sizes(int(found.column(2).to_numpy().sum()))
+    own_contexts, own_classes = contexts - contexts // 8, classes * 3 // 4
 
-def vocabulary(counts: np.ndarray) -> Vocabulary:
-    """Rows, classes and shares from the corpus counts of all buckets, smoothed by one."""
     total = counts + 1.0
     order = np.lexsort((np.arange(len(counts)), -counts))
     rank = np.empty(len(counts), np.int64)
     rank[order] = np.arange(len(counts))
     spread = words.mix(np.arange(len(counts), dtype=np.uint64)).astype(np.int64) & 0xFFFF
-    context = np.where(rank < OWN_CONTEXTS, 1 + rank, 1 + OWN_CONTEXTS + spread % (CONTEXTS - 1 - OWN_CONTEXTS))
-    word_class = np.where(rank < OWN_CLASSES, rank, OWN_CLASSES + spread % (CLASSES - OWN_CLASSES))
-    mass = np.bincount(word_class, total, CLASSES)
+    context = np.where(rank < own_contexts, 1 + rank, 1 + own_contexts + spread % (contexts - 1 - own_contexts))
+    word_class = np.where(rank < own_classes, rank, own_classes + spread % (classes - own_classes))
+    mass = np.bincount(word_class, total, classes)
+    others = words_table.join(F.broadcast(each.select("bucket", F.col("n").alias("total"), "lead")), "bucket")
+    others = others.where(F.col("key") != F.col("lead")).select("key", F.log(F.col("n") / F.col("total")).alias("share"))
     return Vocabulary(
-        context.astype(np.int16), word_class.astype(np.int16), np.log(total / mass[word_class]).astype(np.float32), np.log(mass / mass.sum())
+        context.astype(np.int32),
+        word_class.astype(np.int32),
+        np.log(total / mass[word_class]).astype(np.float32),
+        np.log(mass / mass.sum()),
+        contexts,
+        lead.view(np.uint64),
+        np.log(np.maximum(lead_n, 1) / np.maximum(counts, 1)),
+        counts,
+        materialise(others, "words"),
     )
 
 
 class Network:
     """tanh(sum of a context row for each neighbour) times output weights, softmax over classes."""
 
-    def __init__(self, prior: np.ndarray):
+    def __init__(self, prior: np.ndarray, contexts: int = CONTEXTS):
         draw = np.random.default_rng(1)
-        self.tables = (draw.standard_normal((2 * SIDE * CONTEXTS, UNITS)) * 0.1).astype(np.float32)
-        self.out = (draw.standard_normal((UNITS, CLASSES)) * 0.1).astype(np.float32)
+        self.tables = (draw.standard_normal((2 * SIDE * contexts, UNITS)) * 0.1).astype(np.float32)
+        self.out = (draw.standard_normal((UNITS, len(prior))) * 0.1).astype(np.float32)
         self.bias = prior.astype(np.float32)
 
     def parameters(self) -> list[np.ndarray]:
@@ -77,34 +115,49 @@ class Network:
             at += p.size
         return self
 
-    def forward(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Units and class probabilities; rows has a table row for each neighbour of each word."""
+    def exponents(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Units, class probabilities times a factor of each word, and their sums; rows has a table row for
+        each neighbour of each word."""
         units = self.tables[rows[:, 0]]
         for k in range(1, rows.shape[1]):
             units += self.tables[rows[:, k]]
         np.tanh(units, out=units)
         scores = units @ self.out
         scores += self.bias
-        scores -= scores.max(axis=1, keepdims=True)
+        top = scores.max()
+        if top - scores.min() > 80:  # one factor for all words would lose the small ones
+            top = scores.max(axis=1, keepdims=True)
+        scores -= top
         np.exp(scores, out=scores)
-        scores /= scores.sum(axis=1, keepdims=True)
+        return units, scores, scores @ np.ones(scores.shape[1], scores.dtype)
+
+    def forward(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Units and class probabilities."""
+        units, scores, sums = self.exponents(rows)
+        scores /= sums[:, None]
         return units, scores
 
-    def gradients(self, rows: np.ndarray, target: np.ndarray) -> list[np.ndarray]:
-        units, error = self.forward(rows)
-        error[np.arange(len(target)), target] -= 1
-        error /= len(target)
+    def touched_gradients(self, rows: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+        """Table rows in use, and the gradients of those rows, the output weights and the bias."""
+        units, error, sums = self.exponents(rows)
+        error *= (1 / (sums * len(target)))[:, None]
+        error[np.arange(len(target)), target] -= 1 / len(target)
         back = (error @ self.out.T) * (1 - units * units)
         place = rows.T.reshape(-1)
-        order = np.argsort(place.astype(np.uint16), kind="stable")
+        order = np.argsort(place.astype(np.uint16) if len(self.tables) <= 1 << 16 else place, kind="stable")
         ranked = place[order]
         first = np.flatnonzero(np.concatenate(([True], ranked[1:] != ranked[:-1])))
+        tables = np.add.reduceat(back[order % len(target)], first, axis=0)
+        return ranked[first], [tables, units.T @ error, np.ones(len(error), error.dtype) @ error]
+
+    def gradients(self, rows: np.ndarray, target: np.ndarray) -> list[np.ndarray]:
+        at, (some, out, bias) = self.touched_gradients(rows, target)
         tables = np.zeros_like(self.tables)
-        tables[ranked[first]] = np.add.reduceat(back[order % len(target)], first, axis=0)
-        return [tables, units.T @ error, error.sum(axis=0)]
+        tables[at] = some
+        return [tables, out, bias]
 
 
-def neighbours(context: np.ndarray, owner: np.ndarray) -> np.ndarray:
+def neighbours(context: np.ndarray, owner: np.ndarray, contexts: int = CONTEXTS) -> np.ndarray:
     """Table rows of the words SIDE places to the left and right, 0 beyond the document."""
     n = len(context)
     out = np.empty((n, 2 * SIDE), np.int32)
@@ -113,7 +166,7 @@ def neighbours(context: np.ndarray, owner: np.ndarray) -> np.ndarray:
         inside = (at >= 0) & (at < n)
         at = np.clip(at, 0, max(0, n - 1))
         inside &= owner[at] == owner
-        out[:, k] = np.where(inside, context[at], 0) + k * CONTEXTS
+        out[:, k] = np.where(inside, context[at], 0) + k * contexts
     return out
 
 
@@ -123,29 +176,30 @@ def _tokenised(batches) -> Iterator[pa.RecordBatch]:
         buffer, begins = words.joined(texts)
         buffer = words.lower_table()[buffer]
         starts, ends = words.runs(words.letters_and_digits()[buffer])
-        tokens = (span_hash(buffer, starts, ends) >> np.uint64(64 - BITS)).astype("<u2")
+        keys = span_hash(buffer, starts, ends).astype("<u8")
+        tokens = (keys >> np.uint64(64 - BITS)).astype("<u2")
         edges = np.searchsorted(starts, begins)
         yield pa.record_batch(
-            [pa.array(ids, pa.int64()), pa.array([tokens[a:b].tobytes() for a, b in zip(edges, edges[1:])], pa.binary())],
-            ["doc_id", "tokens"],
+            [pa.array(ids, pa.int64()), *(pa.array([x[a:b].tobytes() for a, b in zip(edges, edges[1:])], pa.binary()) for x in (tokens, keys))],
+            ["doc_id", "tokens", "keys"],
         )
 
 
 def tokenised(docs: DataFrame) -> DataFrame:
-    """doc_id and the hash buckets of the words (uint16, little-endian), written to the shared folder."""
+    """doc_id, the hash buckets of the words (uint16) and their keys (uint64, little-endian), written to the shared folder."""
     prepared(docs.sparkSession)
-    return materialise(id_and_text(docs).mapInArrow(_tokenised, "doc_id bigint, tokens binary"), "tokens")
+    return materialise(id_and_text(docs).mapInArrow(_tokenised, "doc_id bigint, tokens binary, keys binary"), "tokens")
 
 
-def _groups(batches, size: int) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
-    """(ids, buckets, owner) of whole documents, about ``size`` words at a time."""
+def _groups(batches, size: int, kind: str = "<u2") -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
+    """(ids, buckets or keys, owner) of whole documents, about ``size`` words at a time; first column id, second words."""
     ids: list = []
     parts: list[np.ndarray] = []
     held = 0
     for batch in batches:
         for key, tokens in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             ids.append(key)
-            parts.append(np.frombuffer(tokens, "<u2"))
+            parts.append(np.frombuffer(tokens, kind))
             held += len(parts[-1]) + 16
             if held >= size:
                 yield ids, np.concatenate(parts), np.repeat(np.arange(len(ids)), [len(p) for p in parts])
@@ -154,6 +208,18 @@ def _groups(batches, size: int) -> Iterator[tuple[list, np.ndarray, np.ndarray]]
         yield ids, np.concatenate(parts), np.repeat(np.arange(len(ids)), [len(p) for p in parts])
 
 
+def word_counts(tokens: DataFrame) -> DataFrame:
+    """(bucket, key, n) of every distinct word of the corpus, written to the shared folder."""
+
+    def run(batches) -> Iterator[pa.RecordBatch]:
+        for _, keys, _ in _groups(batches, 1 << 20, "<u8"):
+            some, n = np.unique(keys, return_counts=True)
+            yield pa.record_batch([pa.array(some.view(np.int64)), pa.array(n.astype(np.int64))], ["key", "n"])
+
+    found = tokens.select("doc_id", "keys").mapInArrow(run, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
+    return materialise(found.select(F.shiftrightunsigned("key", 64 - BITS).cast("int").alias("bucket"), "key", "n"), "word-counts")
+
+
 def bucket_counts(tokens: DataFrame) -> np.ndarray:
     """Occurrences of every bucket in the whole corpus: 2 ** BITS numbers, whatever its size."""
 
@@ -164,7 +230,7 @@ def bucket_counts(tokens: DataFrame) -> np.ndarray:
         seen = np.flatnonzero(total)
         yield pa.record_batch([pa.array(seen), pa.array(total[seen])], ["bucket", "n"])
 
-    found = tokens.mapInArrow(run, "bucket bigint, n bigint").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+    found = tokens.select("doc_id", "tokens").mapInArrow(run, "bucket bigint, n bigint").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros(1 << BITS, np.int64)
     out[found.column(0).to_numpy()] = found.column(1).to_numpy()
     return out
@@ -173,28 +239,29 @@ def bucket_counts(tokens: DataFrame) -> np.ndarray:
 def train(tokens: DataFrame, epochs: int = EPOCHS) -> tuple[Vocabulary, np.ndarray]:
     """Vocabulary and network parameters. Averages are sums of fixed-point numbers, so they do not
     depend on the order in which tasks end; an empty corpus leaves the network at its start."""
-    vocab = vocabulary(bucket_counts(tokens))
-    flat = Network(vocab.prior).flat()
+    vocab = vocabulary(word_counts(tokens))
+    flat = Network(vocab.prior, vocab.contexts).flat()
     for _ in range(epochs):
 
         def run(batches, flat=flat) -> Iterator[pa.RecordBatch]:
-            network = Network(vocab.prior).load(flat)
+            network = Network(vocab.prior, vocab.contexts).load(flat)
             squares = [np.full_like(p, 1e-4) for p in network.parameters()]
             seen = 0
             for _, buckets, owner in _groups(batches, 1 << 18):
-                rows, target = neighbours(vocab.context[buckets], owner), vocab.word_class[buckets]
+                rows, target = neighbours(vocab.context[buckets], owner, vocab.contexts), vocab.word_class[buckets]
                 for at in range(0, len(buckets), BATCH):
                     some = slice(at, at + BATCH)
-                    for p, g, s in zip(network.parameters(), network.gradients(rows[some], target[some]), squares):
-                        s += g * g
-                        p -= RATE * g / np.sqrt(s)
+                    used, gradients = network.touched_gradients(rows[some], target[some])
+                    for p, g, s, place in zip(network.parameters(), gradients, squares, (used, ..., ...)):
+                        s[place] += g * g
+                        p[place] -= RATE * g / np.sqrt(s[place])
                 seen += len(buckets)
             weight = seen + 1023 >> 10
             if weight:
                 fixed = np.round(network.flat().astype(np.float64) * FIXED).astype(np.int64) * weight
                 yield pa.record_batch([pa.array(np.arange(len(fixed) + 1)), pa.array(np.append(fixed, weight))], ["place", "total"])
 
-        sums = tokens.mapInArrow(run, "place bigint, total bigint").groupBy("place").agg(F.sum("total").alias("total")).toArrow()
+        sums = tokens.select("doc_id", "tokens").mapInArrow(run, "place bigint, total bigint").groupBy("place").agg(F.sum("total").alias("total")).toArrow()
         if sums.num_rows:
             totals = np.zeros(len(flat) + 1, np.int64)
             totals[sums.column(0).to_numpy()] = sums.column(1).to_numpy()
@@ -203,28 +270,44 @@ def train(tokens: DataFrame, epochs: int = EPOCHS) -> tuple[Vocabulary, np.ndarr
 
 
 def scored(tokens: DataFrame, model: tuple[Vocabulary, np.ndarray]) -> DataFrame:
-    """doc_id, n_words, log_likelihood (sum over all words) of every row. Texts without words score 0."""
+    """doc_id, n_words, log_likelihood (sum over all words) of every row. Texts without words score 0.
+
+    A word that training has not seen counts as one more in its bucket. Sums over the words that are
+    joined are in fixed point, so they do not depend on task order.
+    """
     vocab, flat = model
 
     def run(batches) -> Iterator[pa.RecordBatch]:
-        network = Network(vocab.prior).load(flat)
-        for ids, buckets, owner in _groups(batches, 1 << 18):
-            rows, target = neighbours(vocab.context[buckets], owner), vocab.word_class[buckets]
-            logs = vocab.inside[buckets].astype(np.float64)
-            for at in range(0, len(buckets), BATCH):
-                some = slice(at, at + BATCH)
-                chance = network.forward(rows[some])[1]
-                logs[some] += np.log(chance[np.arange(len(chance)), target[some]] + 1e-12)
+        network = Network(vocab.prior, vocab.contexts).load(flat)
+        for ids, keys, owner in _groups(batches, 1 << 18, "<u8"):
+            buckets = (keys >> np.uint64(64 - BITS)).astype(np.int64)
+            rows, target = neighbours(vocab.context[buckets], owner, vocab.contexts), vocab.word_class[buckets]
+            led = (vocab.lead[buckets] == keys) & (vocab.totals[buckets] > 0)
+            logs = vocab.inside[buckets] + np.where(led, vocab.lead_share[buckets], 0.0)
+            for at in range(0, len(buckets), BATCH // 4):
+                some = slice(at, at + BATCH // 4)
+                _, chance, sums = network.exponents(rows[some])
+                logs[some] += np.log(chance[np.arange(len(chance)), target[some]] / sums + 1e-12)
+            edges = np.concatenate(([0], np.cumsum(np.bincount(owner[~led], minlength=len(ids)))))
             yield pa.record_batch(
                 [
                     pa.array(ids, pa.int64()),
                     pa.array(np.bincount(owner, minlength=len(ids)).astype(np.int64)),
                     pa.array(np.bincount(owner, logs, len(ids)).astype(np.float64)),
+                    pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), pa.array(keys[~led].view(np.int64))),
+                    pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), pa.array(-np.log(vocab.totals[buckets[~led]] + 1.0))),
                 ],
-                ["doc_id", "n_words", "log_likelihood"],
+                ["doc_id", "n_words", "log_likelihood", "others", "unseen"],
             )
 
-    return tokens.mapInArrow(run, "doc_id bigint, n_words bigint, log_likelihood double")
+    schema = "doc_id bigint, n_words bigint, log_likelihood double, others array<bigint>, unseen array<double>"
+    found = tokens.select("doc_id", "keys").mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id())
+    found = materialise(found, "part-scores")
+    each = found.select("row", F.explode(F.arrays_zip("others", "unseen")).alias("word")).select("row", F.col("word.others").alias("key"), "word.unseen")
+    share = F.round(F.coalesce("share", "unseen") * FIXED).cast("bigint")
+    joined = each.join(vocab.words, "key", "left").groupBy("row").agg((F.sum(share) / FIXED).alias("rest"))
+    total = F.col("log_likelihood") + F.coalesce("rest", F.lit(0.0))
+    return found.join(joined, "row", "left").select("doc_id", "n_words", total.alias("log_likelihood"))
 
 
 def pseudo_likelihood(docs: DataFrame) -> DataFrame:

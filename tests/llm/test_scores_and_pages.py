@@ -232,3 +232,30 @@ def test_a_phrase_of_ordinary_words_is_found(table, spark):
     scores = {r.doc_id: r.score for r in compression.scored(docs, model).collect()}
     held = [(scores[i], y) for i, _, y in labels if zlib.crc32(str(i).encode()) % 3 == 1]
     assert np.mean([(s >= 0.5) == bool(y) for s, y in held]) > 0.8  # 0.69 without phrases
+
+
+def test_words_of_one_bucket_keep_their_own_counts(table):
+    rng = random.Random(5)
+    pool = [f"w{k}" for k in range(150_000)]
+    rows = [(k, " ".join(rng.choices(pool, k=400) + ["often"] * 20)) for k in range(500)]
+    tokens = pseudo_likelihood.tokenised(table(rows))
+    model = pseudo_likelihood.train(tokens, 0)
+    vocab, flat = model
+    counts = {}
+    keys = {r.doc_id: np.frombuffer(r["keys"], "<u8") for r in tokens.collect()}
+    for own in keys.values():
+        for key in own.tolist():
+            counts[key] = counts.get(key, 0) + 1
+    assert len(counts) == len({w for _, t in rows for w in t.split()})
+    assert len(vocab.prior) > pseudo_likelihood.CLASSES and vocab.contexts > pseudo_likelihood.CONTEXTS
+    network = pseudo_likelihood.Network(vocab.prior, vocab.contexts).load(flat)
+    found = {r.doc_id: r.log_likelihood for r in pseudo_likelihood.scored(tokens, model).collect()}
+    totals = np.zeros(1 << pseudo_likelihood.BITS)
+    for key, n in counts.items():
+        totals[key >> 48] += n
+    for k in (0, 7):
+        bucket = (keys[k] >> np.uint64(48)).astype(int)
+        chance = network.forward(pseudo_likelihood.neighbours(vocab.context[bucket], np.zeros(len(bucket), int), vocab.contexts))[1]
+        share = np.array([counts[x] for x in keys[k].tolist()]) / totals[bucket]
+        want = np.log(chance[np.arange(len(bucket)), vocab.word_class[bucket]]) + vocab.inside[bucket] + np.log(share)
+        assert (share < 1).any() and found[k] == pytest.approx(want.sum(), rel=1e-5)
