@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import bagminhash, compression, line_spread, packing, phrase_index, pseudo_likelihood, quality, radix_windows, template, wavelet
+from marquee.llm import (
+    bagminhash,
+    compression,
+    hard_negatives,
+    line_spread,
+    neighbour_vote,
+    packing,
+    phrase_index,
+    prefix_trie,
+    pseudo_likelihood,
+    quality,
+    radix_windows,
+    template,
+    wavelet,
+)
 from marquee.llm.tables import documents, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -190,3 +204,75 @@ def op10_compression_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_windows",
         "largest",
     )
+
+
+@query
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+#: DuckDB has no crc32: one step per bit, reflected polynomial 0xEDB88320.
+_CRC_STEPS = "flatten(list_transform(string_split(c::VARCHAR, ''), lambda ch: [ord(ch)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))"
+_CRC = (
+    f"xor(list_reduce(list_concat([4294967295::BIGINT], {_CRC_STEPS}), "
+    "lambda h, x: CASE WHEN x >= 0 THEN xor(h, x) ELSE xor(h >> 1, 3988292384 * (h & 1)) END), 4294967295)"
+)
+
+ORACLES["op11_prefix_trie"] = rf"""
+WITH t AS (SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+        row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS k
+      FROM conversations WHERE conv_id IS NOT NULL),
+h AS (SELECT c, {_CRC} % {prefix_trie.OPENINGS} AS h FROM (SELECT DISTINCT c FROM t)),
+r AS (SELECT h.c, 0 AS own, t.k, role, text FROM h JOIN t ON t.c = h.c - h.c % {prefix_trie.BLOCK} AND t.k <= h.h
+      UNION ALL SELECT h.c, 1, t.k, role, text FROM h JOIN t ON t.c = h.c AND t.k > h.h),
+w AS (SELECT c, row_number() OVER (PARTITION BY c ORDER BY own, k) AS pos, role, text FROM r),
+p AS (SELECT c, pos AS depth, list(role || chr(1) || text) OVER (PARTITION BY c ORDER BY pos) AS path,
+        len(regexp_extract_all(text, '{prefix_trie.WORD}')) AS n_words FROM w
+      UNION ALL SELECT c, 0, []::VARCHAR[], 0 FROM h),
+e AS (SELECT c, max(depth) AS last FROM p GROUP BY c),
+x AS (SELECT depth, path, min(c) AS conv_id, count(*) AS n_convs, max(n_words) AS n_words,
+        string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (depth = e.last) AS ends
+      FROM p JOIN e USING (c) GROUP BY depth, path),
+k AS (SELECT depth - 1 AS depth, path[1:depth - 1] AS path, count(*) AS n_children FROM x WHERE depth > 0 GROUP BY ALL),
+y AS (SELECT x.*, coalesce(k.n_children, 0) AS n_children FROM x LEFT JOIN k USING (depth, path)),
+s AS (SELECT top.depth, top.path, count(*) FILTER (low.n_children = 0) AS n_leaves,
+        sum((low.n_convs - 1) * low.n_words) AS saved_tokens
+      FROM y top JOIN y low ON low.path[1:top.depth] = top.path AND low.depth >= top.depth GROUP BY ALL)
+SELECT y.conv_id, y.depth::BIGINT AS depth, up.conv_id AS parent_conv_id, y.n_convs::BIGINT AS n_convs,
+  y.n_children::BIGINT AS n_children, n_leaves::BIGINT AS n_leaves, saved_tokens::BIGINT AS saved_tokens,
+  sha256(coalesce(y.ends, '')) AS ends_sha256
+FROM y JOIN s USING (depth, path) LEFT JOIN y up ON up.depth = y.depth - 1 AND up.path = y.path[1:y.depth - 1]
+"""
+
+
+@query
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op12_hard_negatives"] = f"""
+WITH e AS (SELECT row_number() OVER () AS r, vec_id,
+        CASE WHEN vec_id % {hard_negatives.MOVED_STEP} = 0 THEN (label + 1) % {hard_negatives.CLASSES} ELSE label END AS label,
+        list_transform(embedding, lambda x: floor({hard_negatives.SCALE} * x::DOUBLE)) AS v
+      FROM embeddings
+      WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.r AS anchor, a.vec_id AS anchor_id, b.vec_id AS id, b.r, a.label = b.label AS same,
+        list_inner_product(a.v, b.v)::BIGINT AS score
+      FROM e a JOIN e b ON a.vec_id % {hard_negatives.ANCHOR_STEP} = 0 AND a.r <> b.r),
+p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, id, r) <= {hard_negatives.POSITIVES}),
+n AS (SELECT p.anchor_id, p.id AS positive_id, s.id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+        row_number() OVER (PARTITION BY p.anchor, p.r ORDER BY s.score DESC, s.id, s.r) AS rank
+      FROM p JOIN s ON s.anchor = p.anchor AND NOT s.same
+        AND {hard_negatives.LOW} * p.score <= 100 * s.score AND 100 * s.score <= {hard_negatives.HIGH} * p.score)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= {hard_negatives.NEGATIVES}
+"""
+
+
+@query
+def op13_neighbour_vote(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    space = neighbour_vote.train(docs, table(spark, sf_dir, "labels"))
+    held_out = F.coalesce(~neighbour_vote.training_row(F.col("doc_id")), F.lit(False))
+    predicted = (F.col("score") >= neighbour_vote.PREDICTED).cast("int").alias("predicted")
+    return neighbour_vote.scored(docs, space).select("doc_id", held_out.alias("held_out"), "score", predicted, "similarity")
