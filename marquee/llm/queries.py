@@ -143,21 +143,18 @@ def op5_site_spread_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op5_site_spread_lines"] = f"""
-WITH d AS (SELECT doc_id, text, source, n_chars, string_split(text, chr(10)) AS x FROM documents),
-l AS (SELECT doc_id, source, unnest(x) AS line, generate_subscripts(x, 1) AS pos FROM d),
-counted AS (SELECT doc_id, source, pos, line, trim(line) AS key FROM l WHERE length(trim(line)) >= {line_spread.MIN_CHARACTERS}),
-spread AS (SELECT key FROM counted GROUP BY key HAVING count(DISTINCT source) >= {line_spread.MIN_SITES}),
-gone AS (SELECT doc_id, pos FROM counted SEMI JOIN spread USING (key)),
-cut AS (SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY pos), '') AS cut_text
-        FROM l ANTI JOIN gone USING (doc_id, pos) GROUP BY doc_id),
-n AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id),
-j AS (SELECT d.*, n.n, coalesce(cut_text, '') AS cut_text,
-        n.n IS NOT NULL AND length(text) - length(coalesce(cut_text, '')) <= {line_spread.MAX_SHARE} * length(text) AS changed
-      FROM d LEFT JOIN n USING (doc_id) LEFT JOIN cut USING (doc_id))
-SELECT doc_id, CASE WHEN changed THEN cut_text ELSE text END AS text,
-  (CASE WHEN changed THEN length(cut_text) ELSE n_chars END)::BIGINT AS n_chars,
-  (CASE WHEN changed THEN n ELSE 0 END)::BIGINT AS n_removed_lines
-FROM j
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, text, source, n_chars, string_split(text, chr(10)) AS x FROM documents),
+l AS (SELECT r, text, source, unnest(x) AS line, generate_subscripts(x, 1) AS pos FROM d),
+counted AS (SELECT r, text, source, pos, trim(line) AS key FROM l WHERE length(trim(line)) >= {line_spread.MIN_CHARACTERS}),
+firsts AS (SELECT key, text, min(source) AS site FROM counted GROUP BY key, text),
+spread AS (SELECT key FROM firsts GROUP BY key HAVING count(DISTINCT site) >= {line_spread.MIN_SITES}),
+gone AS (SELECT r, pos FROM counted SEMI JOIN spread USING (key)),
+cut AS (SELECT r, string_agg(line, chr(10) ORDER BY pos) AS cut_text FROM l ANTI JOIN gone USING (r, pos) GROUP BY r),
+n AS (SELECT r, count(*) AS n FROM gone GROUP BY r)
+SELECT doc_id, CASE WHEN n.n IS NULL THEN text ELSE coalesce(cut_text, '') END AS text,
+  (CASE WHEN n.n IS NULL THEN n_chars ELSE length(coalesce(cut_text, '')) END)::BIGINT AS n_chars,
+  coalesce(n.n, 0)::BIGINT AS n_removed_lines
+FROM d LEFT JOIN n USING (r) LEFT JOIN cut USING (r)
 """
 
 

@@ -70,18 +70,20 @@ def test_proximity(table, items):
     assert exact == {1} and near >= {1, 2} and 4 not in near
 
 
-def test_boilerplate_lines_go_and_copies_stay(table):
+def test_boilerplate_lines_go_and_lines_of_copies_stay(table):
     notice = "all rights are reserved by the owner"
     own = lambda k: f"own text of document {k} that nobody else has in any line at all, with more words"
     rows = [(k, f"{own(k)}\n  {notice} \nshort\n\n{own(k + 100)}", f"s{k % 12}") for k in range(24)]
-    rows += [(200 + k, f"{notice}\n{notice}", f"s{k}") for k in range(12)]  # nothing but boilerplate: left to document dedup
+    rows += [(200 + k, f"{notice}\n{notice}", f"s{k}") for k in range(12)]  # nothing but boilerplate
+    copied = "\n".join(own(1000 + k) for k in range(5))
+    rows += [(400 + k, copied, f"s{k}") for k in range(12)]  # one text on twelve sites: left to document dedup
     rows += [(300, None, "s1"), (301, "", None), (302, notice, None), (303, own(7), "s1"), (303, own(7), "s2")]
     found = {(r.doc_id, r.text, r.n_chars): r.n_removed_lines for r in line_spread.removed(table(rows)).collect()}
     for k in range(24):
         text = f"{own(k)}\nshort\n\n{own(k + 100)}"
         assert found[k, text, len(text)] == 1
-    assert all(found[200 + k, f"{notice}\n{notice}", len(notice) * 2 + 1] == 0 for k in range(12))
-    assert found[300, None, 0] == found[301, "", 0] == found[302, notice, len(notice)] == 0
+    assert all(found[200 + k, "", 0] == 2 and found[400 + k, copied, len(copied)] == 0 for k in range(12))
+    assert found[300, None, 0] == found[301, "", 0] == 0 and found[302, "", 0] == 1
     assert line_spread.without_boilerplate(table(rows)).count() == len(rows)
 
 
@@ -97,6 +99,16 @@ def test_threshold_is_exact(table):
     assert changed == {i for i, t, _ in rows if not t.startswith((line(8), line(9)))}
 
 
+def test_lines_of_a_long_text_and_of_nobody(table):
+    notice = "all rights are reserved by the owner"
+    long = "\n".join(f"{notice}\nline {k} of a very long text stands only here" for k in range(30_000))
+    rows = [(k, f"{notice}\ntext {k}", f"s{k}") for k in range(10)] + [(50, long, "s1")]
+    rows += [(60 + k, f"on many sites that have no name\n{k}", None) for k in range(20)]
+    found = {r.doc_id: r for r in line_spread.removed(table(rows)).collect()}
+    assert found[50].n_removed_lines == 30_000 and notice not in found[50].text and found[50].text.count("\n") == 29_999
+    assert all(found[60 + k].n_removed_lines == 0 for k in range(20)) and found[3].text == "text 3"
+
+
 def test_other_columns_pass(table, clashing):
     given = clashing([(1, "x"), (None, None)])
     found = line_spread.without_boilerplate(given)
