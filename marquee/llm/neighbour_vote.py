@@ -49,7 +49,7 @@ def _classes() -> np.ndarray:
 
 
 def term_counts(texts: list[bytes], span_hash: words.SpanHash) -> np.ndarray:
-    """Counts of the terms of every text, a row each; shapes first, then trigrams."""
+    """Counts of the terms of every text, a row each; shapes first, then trigrams. A text without words has none."""
     out = np.zeros((len(texts), SHAPES + TRIGRAMS), np.float32)
     buffer, begins = words.joined(texts)
     starts, ends = words.runs(words.not_space()[buffer])
@@ -69,10 +69,13 @@ def term_counts(texts: list[bytes], span_hash: words.SpanHash) -> np.ndarray:
     again = pair & (exact[1:] == exact[:-1])
     _count(out, doc[1:][again], np.full(int(again.sum()), 1, np.uint64))
 
-    wide = buffer.astype(np.uint32)
-    grams = words.mix((wide[:-2] << np.uint32(16) | wide[1:-1] << np.uint32(8) | wide[2:]).astype(np.uint64)) % np.uint64(TRIGRAMS)
-    own = words.owner(begins, np.arange(len(grams)))
-    _count(out, own, grams + np.uint64(SHAPES))
+    wide, inside = buffer.astype(np.uint32), words.not_space()[buffer]
+    at = np.flatnonzero(inside[:-2] | inside[1:-1] | inside[2:])
+    own = words.owner(begins, at)
+    whole = at + 2 < begins[own + 1]
+    at, own = at[whole], own[whole]
+    grams = words.mix((wide[at] << np.uint32(16) | wide[at + 1] << np.uint32(8) | wide[at + 2]).astype(np.uint64))
+    _count(out, own, grams % np.uint64(TRIGRAMS) + np.uint64(SHAPES))
     return out
 
 
@@ -106,7 +109,7 @@ class Space:
         self.axes = axes.astype(np.float32)
         self.labels = labels.astype(np.float64)
         self.known = self.latent(terms)
-        self.prior = float(self.labels.mean())
+        self.prior = round(float(self.labels.mean()), 6)
 
     def latent(self, terms: np.ndarray) -> np.ndarray:
         """Unit vectors; zero for a text without terms."""
@@ -123,7 +126,7 @@ class Space:
         weight = best**SHARPNESS
         total = weight.sum(axis=1)
         score = np.where(total > 0, (weight * self.labels[at]).sum(axis=1) / np.maximum(total, 1e-300), self.prior)
-        return np.clip(score, 0, 1), best.max(axis=1)
+        return np.round(np.clip(score, 0, 1), 6), np.round(best.max(axis=1), 6)  # products differ by block in the last digits
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> tuple[np.ndarray, np.ndarray]:
