@@ -30,6 +30,8 @@ OPENINGS = 4
 RUN = 1024
 #: Member ids of a node are joined in runs of 2 ** RUN_BITS consecutive ids.
 RUN_BITS = 12
+#: Rows of a task in a round of the contraction.
+ROUND_ROWS = 100_000
 WORD = r"[^\x20\x09-\x0D]+"
 ROOT = "named_struct('a', 0L, 'b', 0L)"
 
@@ -79,22 +81,22 @@ def numbering(turns: DataFrame) -> DataFrame:
 def rebuilt(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Turns (conv_id, pos, digest, n_words) and lengths (conv_id, length) of the rebuilt conversations.
 
-    Conversation c is made of the first ``openings`` turns of conversation c - c % BLOCK, all if it has
-    fewer and none if there is no such conversation, and of its own turns after as many.
+    Conversation c is made of the first ``openings`` turns of conversation c - c % BLOCK (a remainder is
+    never below zero), all if it has fewer and none if there is no such conversation, and of its own turns after as many.
     """
     held = numbered_turns(turns)
     pieces = materialise(numbering(held), "numbering")
     placed = held.join(pieces, ["conv_id", "part"]).withColumn("k", F.col("before") + F.col("at") - F.col("first_at") + 1)
-    first = pieces.where((F.col("before") < OPENINGS) & (F.col("conv_id") % BLOCK == 0)).select("conv_id", "part")
+    first = pieces.where((F.col("before") < OPENINGS) & (F.pmod("conv_id", F.lit(BLOCK)) == 0)).select("conv_id", "part")
     heads = placed.join(first, ["conv_id", "part"], "left_semi").where(F.col("k") < OPENINGS)
-    heads = materialise(heads.select(F.col("conv_id").alias("block"), F.col("k").alias("pos"), "digest", "n_words"), "heads")
+    heads = heads.select(F.col("conv_id").alias("block"), F.col("k").alias("pos"), "digest", "n_words")
 
     takes = openings(F.col("conv_id")).alias("takes")
-    convs = pieces.select("conv_id", "total").distinct().select("conv_id", "total", takes, (F.col("conv_id") - F.col("conv_id") % BLOCK).alias("block"))
+    convs = pieces.select("conv_id", "total").distinct().select("conv_id", "total", takes, (F.col("conv_id") - F.pmod("conv_id", F.lit(BLOCK))).alias("block"))
     known = heads.groupBy("block").agg(F.count(F.lit(1)).alias("known"))
     taken = F.least(F.col("takes"), F.coalesce("known", F.lit(0)))
     convs = convs.join(known, "block", "left").select("conv_id", "block", "takes", "total", taken.alias("taken"))
-    convs = materialise(convs.withColumn("length", F.col("taken") + F.greatest(F.col("total") - F.col("takes"), F.lit(0))), "conversations")
+    convs = convs.withColumn("length", F.col("taken") + F.greatest(F.col("total") - F.col("takes"), F.lit(0)))
 
     opening = convs.select("conv_id", "block", "taken").join(heads, "block").where(F.col("pos") <= F.col("taken"))
     shift = pieces.join(convs.select("conv_id", "takes", "taken"), "conv_id")
@@ -142,7 +144,7 @@ def nodes_of(paths: DataFrame) -> DataFrame:
     found = paths.groupBy("depth", "node").agg(
         F.min("conv_id").alias("conv_id"), F.count(F.lit(1)).alias("n_convs"), F.min("parent").alias("parent"), F.min("n_words").alias("n_words")
     )
-    found = materialise(found.withColumn("weight", (F.col("n_convs") - 1) * F.col("n_words")).drop("n_words"), "nodes")
+    found = found.withColumn("weight", (F.col("n_convs") - 1) * F.col("n_words")).drop("n_words")
     children = found.where(F.col("parent").isNotNull()).groupBy(F.col("parent").alias("node")).agg(F.count(F.lit(1)).alias("n_children"))
     return materialise(found.join(children, "node", "left").fillna(0, ["n_children"]), "trie")
 
@@ -152,6 +154,11 @@ def _rank(turn: int, node: str) -> Column:
     return F.xxhash64(F.lit(turn), F.col(f"{node}.a"), F.col(f"{node}.b"))
 
 
+def _in_tasks(df: DataFrame, rows: int) -> DataFrame:
+    """Rounds shrink geometrically, and their tasks with them: at least ROUND_ROWS rows each."""
+    return df.coalesce(max(1, -(-rows // ROUND_ROWS)))
+
+
 def contraction_round(alive: DataFrame, turn: int) -> DataFrame:
     """One rake and one compress. ``alive``: (node, up, leaves, saved, edge_leaves, edge_saved, kids).
 
@@ -214,9 +221,10 @@ def subtree_totals(tree: DataFrame) -> DataFrame:
     totals, spliced, turn = [], [], 0
     while True:
         totals.append(alive.where(F.col("kids") == 0).select("node", "leaves", "saved"))
-        if alive.where(F.col("kids") > 0).isEmpty():
+        inner = alive.where(F.col("kids") > 0).count()
+        if not inner:
             break
-        after = materialise(contraction_round(alive, turn), f"round-{turn}")
+        after = materialise(_in_tasks(contraction_round(alive, turn), inner), f"round-{turn}")
         spliced.append(after.where("gone").select("node", "child", "leaves", "saved"))
         alive = after.where(~F.col("gone"))
         turn += 1
@@ -224,18 +232,17 @@ def subtree_totals(tree: DataFrame) -> DataFrame:
     if not spliced:
         return known
     links = reduce(DataFrame.unionByName, spliced)
+    n_links = links.count()
     # A compressed node's child was compressed in a later round, if at all, so there are at most ``turn``
     # links in a row. Each pass halves them.
     for step in range((turn - 1).bit_length()):
         then = links.select(F.col("node").alias("child"), F.col("child").alias("next"), *(F.col(c).alias(f"more_{c}") for c in ("leaves", "saved")))
-        links = materialise(
-            links.join(then, "child", "left").select(
-                "node",
-                F.coalesce("next", "child").alias("child"),
-                *((F.col(c) + F.coalesce(f"more_{c}", F.lit(0))).alias(c) for c in ("leaves", "saved")),
-            ),
-            f"expanded-{step}",
+        halved = links.join(then, "child", "left").select(
+            "node",
+            F.coalesce("next", "child").alias("child"),
+            *((F.col(c) + F.coalesce(f"more_{c}", F.lit(0))).alias(c) for c in ("leaves", "saved")),
         )
+        links = materialise(_in_tasks(halved, n_links), f"expanded-{step}")
     ends = known.select(F.col("node").alias("child"), *(F.col(c).alias(f"more_{c}") for c in ("leaves", "saved")))
     expanded = links.join(ends, "child").select("node", *((F.col(c) + F.col(f"more_{c}")).alias(c) for c in ("leaves", "saved")))
     return known.unionByName(expanded)

@@ -220,7 +220,7 @@ WITH t AS (SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') A
         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS k
       FROM conversations WHERE conv_id IS NOT NULL),
 h AS (SELECT c, {_CRC} % {prefix_trie.OPENINGS} AS h FROM (SELECT DISTINCT c FROM t)),
-r AS (SELECT h.c, 0 AS own, t.k, role, text FROM h JOIN t ON t.c = h.c - h.c % {prefix_trie.BLOCK} AND t.k <= h.h
+r AS (SELECT h.c, 0 AS own, t.k, role, text FROM h JOIN t ON t.c = floor(h.c / {prefix_trie.BLOCK}) * {prefix_trie.BLOCK} AND t.k <= h.h
       UNION ALL SELECT h.c, 1, t.k, role, text FROM h JOIN t ON t.c = h.c AND t.k > h.h),
 w AS (SELECT c, row_number() OVER (PARTITION BY c ORDER BY own, k) AS pos, role, text FROM r),
 p AS (SELECT c, pos AS depth, list(role || chr(1) || text) OVER (PARTITION BY c ORDER BY pos) AS path,
