@@ -5,12 +5,15 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import VectorUDT
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marquee.functions import scalars as S
 from marquee.operators.ranking import first_per_key
+from marquee.operators.slots import numbered
 from marquee.session import materialise
 
 FIXED_COLUMNS = [
@@ -21,7 +24,8 @@ FIXED_COLUMNS = [
 MULTI_HOT = ["genre", "country", "lang"]
 MOVIE_NUMBERS = ["runtime", "popularity", "vote_average", "vote_count"]
 CATEGORIES = ["occupation", "gender", "original_language"]
-MAX_VOCABULARY = 5_000
+#: What a movie without tokens, or a rating without a movie, has instead.
+NO_TOKEN = "unknown"
 
 
 def exclude_holdout(df: DataFrame, holdout: DataFrame, key: str = "user_id") -> DataFrame:
@@ -55,25 +59,62 @@ def weighted_median(ratings: DataFrame, dimension: DataFrame, key: str, value: s
     return histogram.agg(F.percentile("_v", F.lit(0.5), F.col("_n"))).scalar()
 
 
-def vocabulary(movies: DataFrame, token_columns: dict[str, str]) -> DataFrame:
-    """Distinct tokens per kind with their position, so train and score share one schema."""
+def token_rows(movies: DataFrame, token_columns: dict[str, str], *keep: str) -> DataFrame:
+    """(kept columns, kind, token): a row for every token of the token arrays."""
 
     def labelled(kind: str, column: str) -> Column:
         return F.transform(F.col(column), lambda t: F.struct(F.lit(kind).alias("kind"), t.alias("token")))
 
     entries = [labelled(kind, column) for kind, column in token_columns.items()]
-    return movies.select(F.explode(F.concat(*entries)).alias("e")).select("e.*").distinct()
+    return movies.select(*keep, F.explode(F.concat(*entries)).alias("e")).select(*keep, "e.*")
+
+
+def vocabulary(movies: DataFrame, token_columns: dict[str, str]) -> DataFrame:
+    """Distinct tokens per kind."""
+    return token_rows(movies, token_columns).distinct()
+
+
+def token_index(words: DataFrame) -> DataFrame:
+    """(kind, token, position) of a vocabulary, from 0, in order of kind and token.
+
+    A table of any length; stored beside a model it gives train and score one layout.
+    """
+    return materialise(numbered(words.select("kind", "token"), [F.col("kind").asc(), F.col("token").asc()]), "token-index")
+
 
+def token_positions(movies: DataFrame, index: DataFrame) -> DataFrame:
+    """(movie_id, positions): the ascending positions of a movie's tokens; tokens outside the index have none."""
+    rows = token_rows(movies, {kind: f"{kind}_tokens" for kind in MULTI_HOT}, "movie_id")
+    return rows.join(index, ["kind", "token"]).groupBy("movie_id").agg(F.sort_array(F.collect_set("position")).alias("positions"))
 
-def vocabulary_lists(words: DataFrame, limit: int = MAX_VOCABULARY) -> dict[str, list[str]]:
-    """The vocabulary on the driver, where it names columns; refuses one too large for that."""
-    rows = words.limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"vocabulary exceeds {limit} tokens; keep the token arrays instead of columns")
-    lists: dict[str, list[str]] = {}
-    for row in rows:
-        lists.setdefault(row["kind"], []).append(row["token"])
-    return {kind: sorted(found) for kind, found in lists.items()}
+
+def sparse_ones(positions: Column, size: int) -> Column:
+    """A sparse vector of ``size`` with 1 at the given ascending positions.
+
+    Spark has no function that makes one, but its JSON reader builds any type.
+    """
+    parts = F.struct(
+        F.lit(0).cast("tinyint").alias("type"),
+        F.lit(size).alias("size"),
+        F.transform(positions, lambda p: p.cast("int")).alias("indices"),
+        F.transform(positions, lambda p: F.lit(1.0)).alias("values"),
+    )
+    return F.from_json(F.to_json(F.struct(parts.alias("v"))), T.StructType([T.StructField("v", VectorUDT())]))["v"]
+
+
+def token_vectors(movies: DataFrame, index: DataFrame) -> DataFrame:
+    """Movie attributes with the token arrays as one sparse vector ``tokens``, made once per movie."""
+    found = token_positions(movies, index)
+    none = F.array().cast("array<bigint>")
+    vector = sparse_ones(F.coalesce("positions", none), index.count())
+    plain = movies.drop(*[f"{kind}_tokens" for kind in MULTI_HOT])
+    return plain.join(found, "movie_id", "left").withColumn("tokens", vector).drop("positions")
+
+
+def unknown_tokens(index: DataFrame) -> Column:
+    """The tokens of a rating without a movie row, as a scalar: at most one per kind."""
+    held = index.filter(F.col("token") == NO_TOKEN).agg(F.sort_array(F.collect_list("position")).alias("p"))
+    return held.select(sparse_ones(F.col("p"), index.count()).alias("v")).scalar()
 
 
 def user_attributes(users: DataFrame) -> DataFrame:
@@ -114,18 +155,19 @@ def clip_outliers(df: DataFrame, last_year: int) -> DataFrame:
     )
 
 
-def multi_hot(df: DataFrame, kind: str, words: Sequence[str], array: str | None = None) -> list[Column]:
-    tokens = F.col(array or f"{kind}_tokens")
+def multi_hot(kind: str, words: Sequence[str]) -> list[Column]:
+    """0/1 columns for the tokens the caller names."""
+    tokens = F.col(f"{kind}_tokens")
     return [F.array_contains(tokens, w).cast("int").alias(f"{kind}_{w}") for w in words]
 
 
-def multi_hot_side(movies: DataFrame, words: dict[str, list[str]]) -> DataFrame:
-    """Movie attributes with the token arrays unfolded into 0/1 columns."""
-    hot = [c for kind in MULTI_HOT for c in multi_hot(movies, kind, words.get(kind, []))]
+def multi_hot_side(movies: DataFrame, words: dict[str, Sequence[str]]) -> DataFrame:
+    """Movie attributes with 0/1 columns for the named tokens instead of the token arrays."""
+    hot = [c for kind in MULTI_HOT for c in multi_hot(kind, words.get(kind, []))]
     return movies.select("*", *hot).drop(*[f"{kind}_tokens" for kind in MULTI_HOT])
 
 
-def hot_columns(words: dict[str, list[str]]) -> list[str]:
+def hot_columns(words: dict[str, Sequence[str]]) -> list[str]:
     return [f"{kind}_{w}" for kind in MULTI_HOT for w in words.get(kind, [])]
 
 
@@ -144,29 +186,37 @@ def feature_table(
     ratings: DataFrame,
     users: DataFrame,
     movies: DataFrame,
-    words: dict[str, list[str]],
     last_year: int,
+    index: DataFrame | None = None,
+    named: dict[str, Sequence[str]] | None = None,
     factors: dict[str, DataFrame] | None = None,
     rebalance: bool = False,
 ) -> DataFrame:
-    """Training rows: the fixed columns, the rating, multi-hot columns, optional factors.
+    """Training rows: the fixed columns, the rating, the movie's tokens, optional factors.
 
-    ``users`` and ``movies`` hold one row per key. ``rebalance`` evens out the
-    partitions while the rows are still narrow, for a table that is read often.
+    With ``index`` the tokens are one sparse vector ``tokens``, whatever their number; ``named`` lists
+    tokens that shall have 0/1 columns of their own. ``users`` and ``movies`` hold one row per key.
+    ``rebalance`` evens out the partitions while the rows are still narrow, for a table that is read often.
     """
     # The rows and both medians come from one narrow table.
     rated = materialise(clean_keys(ratings, ["user_id", "movie_id"]).select("user_id", "movie_id", "rating"), "rated")
     user_side, movie_side = user_attributes(users), movie_attributes(movies)
+    words = named or {}
+    laid_out = multi_hot_side(movie_side, words) if index is None else multi_hot_side(movie_side, words).join(
+        token_vectors(movie_side.select("movie_id", *[f"{kind}_tokens" for kind in MULTI_HOT]), index), "movie_id"
+    )
     filled = fill_and_bin(
-        enrich(rated.hint("rebalance") if rebalance else rated, user_side, multi_hot_side(movie_side, words)),
+        enrich(rated.hint("rebalance") if rebalance else rated, user_side, laid_out),
         weighted_median(rated, user_side, "user_id", "age"),
         weighted_median(rated, movie_side, "movie_id", "release_year"),
         last_year,
     )
     # A rating without a movie row carries the token 'unknown' alone.
     hot = [
-        F.coalesce(F.col(c), F.lit(1 if c.endswith("_unknown") else 0)).alias(c) for c in hot_columns(words)
+        F.coalesce(F.col(c), F.lit(1 if c.endswith(f"_{NO_TOKEN}") else 0)).alias(c) for c in hot_columns(words)
     ]
+    if index is not None:
+        hot.append(F.coalesce(F.col("tokens"), unknown_tokens(index)).alias("tokens"))
     extra: list[str] = []
     for name, table in (factors or {}).items():
         filled = attach_factors(filled, table, name)

@@ -1,91 +1,47 @@
-"""Order-preserving slicing of a table into equal shares.
+"""Order-preserving numbering of a table.
 
-A window without partitions, or one partitioned by a hot key, sorts its rows in
-one task. The operators here cut the value range into slots of about equal row
-count first, work inside the slots, and stitch the slots together through a
-table with one row per slot. Slot borders steer balance only, never the result.
+A window without partitions, or one partitioned by a hot key, sorts its rows in one task. Here the
+rows are dealt out by ranges of the whole order, ties and all, and numbered inside their partition;
+a table with one row per partition says how many rows stand before it. There are as many partitions
+as the rows need, so a key or a value with a third of all rows spreads over a third of the tasks.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from marquee.session import materialise
 
-SLOTS = 64
-
-
-class Slots:
-    """Borders of equal-share slots over a numeric column.
-
-    A value frequent enough to fill whole slots appears as a repeated border and
-    gets a slot of its own.
-    """
-
-    def __init__(self, borders: list[float]):
-        points = sorted(set(borders))
-        self.cuts: list[tuple[float, bool]] = []
-        self.single: list[int] = []
-        for point in points:
-            self.cuts.append((point, False))
-            if borders.count(point) > 1:
-                self.single.append(len(self.cuts))
-                self.cuts.append((point, True))
-
-    @classmethod
-    def of(cls, df: DataFrame, column: str, slots: int = SLOTS) -> "Slots":
-        shares = [i / slots for i in range(1, slots)]
-        return cls(df.approxQuantile(column, shares, 1.0 / (4 * slots)))
-
-    def number(self, value: Column) -> Column:
-        """Slot number of a value, as a balanced decision tree of comparisons."""
+#: monotonically_increasing_id puts the partition above so many bits and the row of the partition below.
+ROW_BITS = 33
 
-        def branch(low: int, high: int) -> Column:
-            if low == high:
-                return F.lit(low)
-            middle = (low + high) // 2
-            point, closed = self.cuts[middle]
-            below = value <= F.lit(point) if closed else value < F.lit(point)
-            return F.when(below, branch(low, middle)).otherwise(branch(middle + 1, high))
 
-        return branch(0, len(self.cuts))
+def ranged(df: DataFrame, order: Sequence[Column]) -> DataFrame:
+    """Rows in ascending ranges of ``order``, sorted inside their partition."""
+    return df.repartitionByRange(*order).sortWithinPartitions(*order)
 
 
-def global_position(
-    df: DataFrame, primary: str, tiebreak: str, descending: bool = False, out: str = "position", slots: int = SLOTS
-) -> DataFrame:
-    """1-based position of every row in the order (primary, tiebreak).
-
-    ``primary`` and ``tiebreak`` are numeric. A value of ``primary`` shared by many
-    rows is cut further along ``tiebreak``.
-    """
-    table = materialise(df, "ordered")
-    sign = -1 if descending else 1
-    keyed = table.withColumn("_key", F.col(primary).cast("double") * sign).withColumn(
-        "_tie", F.col(tiebreak).cast("double")
+def numbered(df: DataFrame, order: Sequence[Column], out: str = "position", first: int = 0) -> DataFrame:
+    """Every row with its place in ``order``, counted from ``first``; rows equal in all of it are interchangeable."""
+    table = materialise(ranged(df, order).withColumn("_at", F.monotonically_increasing_id()), "ordered")
+    part = F.shiftright("_at", ROW_BITS)
+    sizes = table.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_size"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"))
+    inside = F.col("_at").bitwiseAND(F.lit((1 << ROW_BITS) - 1))
+    # One row per partition of the table.
+    return (
+        table.withColumn("_part", part)
+        .join(F.broadcast(offsets), "_part")
+        .select(*(F.col(f"`{c}`") for c in df.columns), (F.col("_before") + inside + first).cast("bigint").alias(out))
     )
-    outer = Slots.of(keyed, "_key", slots)
-    slot = outer.number(F.col("_key"))
-    if outer.single:
-        inner = Slots.of(keyed, "_tie", slots)
-        part = F.when(slot.isin(outer.single), inner.number(F.col("_tie"))).otherwise(0)
-    else:
-        part = F.lit(0)
-    keyed = keyed.withColumn("_slot", slot).withColumn("_part", part)
 
-    sizes = keyed.groupBy("_slot", "_part").agg(F.count(F.lit(1)).alias("_size"))
-    before = Window.orderBy("_slot", "_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(
-        "_slot", "_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset")
-    )
+
+def global_position(df: DataFrame, primary: str, tiebreak: str, descending: bool = False, out: str = "position") -> DataFrame:
+    """1-based position of every row in the order (primary, tiebreak)."""
     leading = F.col(primary).desc() if descending else F.col(primary).asc()
-    inside = Window.partitionBy("_slot", "_part").orderBy(leading, F.col(tiebreak).asc())
-    # offsets holds at most slots * (slots + 2) rows, whatever the size of df.
-    return (
-        keyed.withColumn("_row", F.row_number().over(inside))
-        .join(F.broadcast(offsets), ["_slot", "_part"])
-        .withColumn(out, (F.col("_offset") + F.col("_row")).cast("bigint"))
-        .drop("_slot", "_part", "_key", "_tie", "_row", "_offset")
-    )
+    return numbered(df, [leading, F.col(tiebreak).asc()], out, first=1)

@@ -57,32 +57,62 @@ def enriched(v: Views) -> DataFrame:
     return features.enrich(rated, features.user_attributes(v.v_users), features.movie_attributes(v.v_movies))
 
 
-def words_of(v: Views) -> dict[str, list[str]]:
-    return features.vocabulary_lists(vocabulary_of(v))
-
-
 def vocabulary_of(v: Views) -> DataFrame:
     attributes = features.movie_attributes(v.v_movies)
     return features.vocabulary(attributes, {k: f"{k}_tokens" for k in features.MULTI_HOT})
 
 
+def index_of(v: Views) -> DataFrame:
+    return features.token_index(vocabulary_of(v))
+
+
 def feature_rows(v: Views, ratings: DataFrame | None = None, **options) -> DataFrame:
+    """Training rows with the tokens as a sparse vector."""
     return features.feature_table(
-        v.v_rating_big if ratings is None else ratings, v.v_users, v.v_movies, words_of(v), LAST_YEAR, **options
+        v.v_rating_big if ratings is None else ratings, v.v_users, v.v_movies, LAST_YEAR, index=index_of(v), **options
     )
 
 
-@query(
-    "vocabulary",
-    f"""SELECT DISTINCT 'genre' kind, trim(unnest(str_split(coalesce(genres, 'unknown'), ','))) token FROM v_movies
+VOCABULARY = f"""SELECT DISTINCT 'genre' kind, trim(unnest(str_split(coalesce(genres, 'unknown'), ','))) token FROM v_movies
         UNION ALL SELECT DISTINCT 'country', trim(unnest(str_split(coalesce(production_countries, 'unknown'), ','))) FROM v_movies
         UNION ALL SELECT DISTINCT 'lang', CASE t WHEN 'English' THEN 'en' WHEN 'Français' THEN 'fr' WHEN 'Deutsch' THEN 'de'
-          WHEN 'Español' THEN 'es' ELSE t END FROM (SELECT unnest(str_split({LANG_TEXT}, ',')) t FROM v_movies)""",
-)
+          WHEN 'Español' THEN 'es' ELSE t END FROM (SELECT unnest(str_split({LANG_TEXT}, ',')) t FROM v_movies)"""
+TOKEN_INDEX = f"""token_index AS (SELECT kind, token, row_number() OVER (ORDER BY kind, token) - 1 "position" FROM ({VOCABULARY}))"""
+MOVIE_TOKENS = """movie_words AS (SELECT movie_id, 'genre' kind, trim(unnest(str_split(coalesce(genres, 'unknown'), ','))) token FROM v_movies
+    UNION SELECT movie_id, 'country', trim(unnest(str_split(coalesce(production_countries, 'unknown'), ','))) FROM v_movies
+    UNION SELECT movie_id, 'lang', CASE t WHEN 'English' THEN 'en' WHEN 'Français' THEN 'fr' WHEN 'Deutsch' THEN 'de'
+      WHEN 'Español' THEN 'es' ELSE t END FROM (SELECT movie_id, unnest(str_split(LANGS, ',')) t FROM v_movies)),
+  movie_tokens AS (SELECT movie_id, concat('(', (SELECT count(*) FROM token_index), ',[', string_agg(CAST("position" AS VARCHAR), ',' ORDER BY "position"),
+    '],[', string_agg('1.0', ','), '])') tokens FROM movie_words JOIN token_index USING (kind, token) GROUP BY 1)""".replace("LANGS", LANG_TEXT)
+
+
+@query("vocabulary", VOCABULARY)
 def vocabulary(v):
     return vocabulary_of(v)
 
 
+@query("token_index", "SELECT * FROM token_index", TOKEN_INDEX)
+def token_index(v):
+    return index_of(v)
+
+
+@query("movie_tokens", "SELECT * FROM movie_tokens", TOKEN_INDEX, MOVIE_TOKENS)
+def movie_tokens(v):
+    """The multi-hot encodings of all kinds as one sparse vector per movie."""
+    found = features.token_vectors(features.movie_attributes(v.v_movies), index_of(v))
+    return found.select("movie_id", F.col("tokens").cast("string").alias("tokens"))
+
+
+@query(
+    "feature_tokens",
+    "SELECT user_id, movie_id, rating, tokens FROM v_rating_big JOIN movie_tokens USING (movie_id)",
+    TOKEN_INDEX, MOVIE_TOKENS,
+)
+def feature_tokens(v):
+    """The token part of the training rows."""
+    return feature_rows(v).select("user_id", "movie_id", "rating", F.col("tokens").cast("string").alias("tokens"))
+
+
 @query(
     "normalize_lang",
     f"""SELECT movie_id, CASE t WHEN 'English' THEN 'en' WHEN 'Français' THEN 'fr' WHEN 'Deutsch' THEN 'de' WHEN 'Español' THEN 'es'
@@ -144,9 +174,11 @@ def clip_outliers(v):
     return features.clip_outliers(enriched(v), LAST_YEAR).select("event_id", "age", "runtime", "vote_count", "release_year")
 
 
+NAMED = {"genre": GENRES, "country": COUNTRIES, "lang": LANGUAGES}
+
+
 def _hot(v: Views, kind: str) -> DataFrame:
-    movies = features.movie_attributes(v.v_movies)
-    return movies.select("movie_id", *features.multi_hot(movies, kind, words_of(v)[kind]))
+    return features.movie_attributes(v.v_movies).select("movie_id", *features.multi_hot(kind, NAMED[kind]))
 
 
 @query("multi_hot_genre", f"SELECT movie_id, {_hot_sql('genre', GENRES, 'genres')} FROM v_movies")
@@ -199,13 +231,18 @@ FEATURE_SQL = f"""SELECT user_id, CAST(least(greatest(age, 5), 100) AS DOUBLE) a
 
 @query("feature_table", FEATURE_SQL, MEDIANS, PER_RATING)
 def feature_table(v):
-    return feature_rows(v)
+    return named_rows(v)
+
+
+def named_rows(v: Views, **options) -> DataFrame:
+    """Training rows with 0/1 columns for the tokens named above."""
+    return features.feature_table(v.v_rating_big, v.v_users, v.v_movies, LAST_YEAR, named=NAMED, **options)
 
 
 @query("features_roundtrip", FEATURE_SQL, MEDIANS, PER_RATING)
 def features_roundtrip(v):
     path = scratch_path(v.spark, "features")
-    feature_rows(v, rebalance=True).write.parquet(path)
+    named_rows(v, rebalance=True).write.parquet(path)
     return v.spark.read.parquet(path)
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from marquee import schemas
 from marquee.functions import scalars as S
 from marquee.operators import factors, features, metrics, models, offline, ranking, recommend, similarity
-from marquee.plans.features import DURATION, LAST_YEAR, feature_rows, watch_with_duration, words_of
+from marquee.plans.features import DURATION, LAST_YEAR, feature_rows, index_of, watch_with_duration
 from marquee.plans.ingest import P_WATCH, W_AGG
 from marquee.plans.offline import TOTALS, totals_of
 from marquee.plans.registry import query
@@ -445,15 +445,12 @@ def model_roundtrip(v):
 
 def movie_side(v: Views) -> DataFrame:
     """Model features of every movie, filled as in training."""
-    words = words_of(v)
-    movies = features.multi_hot_side(features.movie_attributes(v.v_movies), words)
+    movies = features.token_vectors(features.movie_attributes(v.v_movies), index_of(v))
     median = features.weighted_median(v.v_rating_big, movies, "movie_id", "release_year")
     filled = features.clip_outliers(
         features.fill_constants(movies).withColumn("release_year", F.coalesce(F.col("release_year").cast("double"), median)), LAST_YEAR
     )
-    return filled.select(
-        "movie_id", *features.MOVIE_NUMBERS, "release_year", "original_language", *features.hot_columns(words)
-    )
+    return filled.select("movie_id", *features.MOVIE_NUMBERS, "release_year", "original_language", "tokens")
 
 
 def profiles_of(v: Views) -> DataFrame:

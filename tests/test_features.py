@@ -31,10 +31,12 @@ def tables(spark):
 @pytest.fixture(scope="module")
 def built(spark, tables):
     ratings, users, movies = tables
-    words = features.vocabulary_lists(
-        features.vocabulary(features.movie_attributes(movies), {k: f"{k}_tokens" for k in features.MULTI_HOT})
-    )
-    return features.feature_table(ratings, users, movies, words, last_year=2026).collect()
+    words = {
+        "genre": ["Action", "Action & Adventure", "Comedy", "Drama", "unknown"], "country": ["CA", "FR", "US"], "lang": ["en", "fr"],
+    }
+    kinds = {k: f"{k}_tokens" for k in features.MULTI_HOT}
+    index = features.token_index(features.vocabulary(features.movie_attributes(movies), kinds))
+    return features.feature_table(ratings, users, movies, 2026, index=index, named=words).collect()
 
 
 def row(built, user, movie):
@@ -93,10 +95,22 @@ def test_weighted_median_counts_ratings(spark):
     assert spark.range(1).select(median).first()[0] == 20.0
 
 
-def test_vocabulary_limit(spark):
-    words = spark.range(10).select(F.lit("genre").alias("kind"), F.col("id").cast("string").alias("token"))
-    with pytest.raises(ValueError):
-        features.vocabulary_lists(words, limit=5)
+def test_token_vectors_agree_with_named_columns(built, spark, tables):
+    kinds = {k: f"{k}_tokens" for k in features.MULTI_HOT}
+    index = features.token_index(features.vocabulary(features.movie_attributes(tables[2]), kinds)).collect()
+    assert [r["position"] for r in sorted(index, key=lambda r: (r["kind"], r["token"]))] == list(range(len(index)))
+    for r in (row(built, 1, 101), row(built, 2, 102)):
+        held = {(w["kind"], w["token"]) for w in index if r["tokens"][w["position"]] == 1.0}
+        assert {f"{k}_{t}" for k, t in held} == {c for c in r if c.startswith(("genre_", "country_", "lang_")) and r[c] == 1}
+    # A rating without a movie has the tokens named 'unknown'; here the index holds none.
+    assert row(built, 1, 999)["tokens"].numNonzeros() == 0 and row(built, 1, 999)["genre_unknown"] == 1
+
+
+def test_tokens_outside_the_index(spark, tables):
+    index = spark.createDataFrame([("genre", "Drama", 0), ("genre", "unknown", 1)], "kind STRING, token STRING, position BIGINT")
+    ratings, users, movies = tables
+    found = {r["movie_id"]: list(r["tokens"].toArray()) for r in features.feature_table(ratings, users, movies, 2026, index=index).collect()}
+    assert found == {101: [0.0, 0.0], 102: [1.0, 0.0], 999: [0.0, 1.0]}
 
 
 def test_confidence_formula(spark):

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from marquee.operators import factors, metrics, models, recommend
+from marquee.operators import bounds, factors, features, metrics, models, recommend
 
 
 @pytest.fixture(scope="module")
@@ -111,22 +111,95 @@ def test_sampled_params_repeat():
     assert all(3 <= p["max_depth"] < 8 for p in first)
 
 
-def test_model_lists_consider_every_movie(spark, feature_rows):
-    rows = feature_rows.drop("original_language")
-    model, _ = models.train_rating_model(rows, PARAMS)
-    movies = spark.createDataFrame([(m, 60.0 + 4 * m) for m in range(30)], "movie_id BIGINT, runtime DOUBLE")
+@pytest.fixture(scope="module")
+def list_model(feature_rows):
+    return models.train_rating_model(feature_rows.drop("original_language"), PARAMS)[0]
+
+
+PROFILE = ["age_bin", "occupation", "gender"]
+
+
+def catalogue(spark, n):
+    movies = spark.createDataFrame([(m, 60.0 + (37 * m) % 150) for m in range(n)], "movie_id BIGINT, runtime DOUBLE")
     users = spark.createDataFrame(
-        [(u, ["0-18", "19-25"][u % 2], "x", ["a", "b"][u % 2]) for u in range(6)], "user_id BIGINT, age_bin STRING, occupation STRING, gender STRING"
+        [(u, ["0-18", "19-25"][u % 2], "x", ["a", "b"][u // 2 % 2]) for u in range(8)], "user_id BIGINT, age_bin STRING, occupation STRING, gender STRING"
     )
-    columns = ["age_bin", "occupation", "gender"]
-    got = recommend.recommend_with_model(model, movies, users, columns, n=3)
+    return movies, users
+
+
+def brute_lists(model, movies, users, n):
     brute = model.transform(users.join(movies)).select("user_id", "movie_id", "prediction").collect()
-    for user in range(6):
-        best = sorted(((-r["prediction"], r["movie_id"]) for r in brute if r["user_id"] == user))[:3]
-        mine = [r["movie_id"] for r in got.filter(F.col("user_id") == user).orderBy("rank").collect()]
-        assert mine == [m for _, m in best]
-    with pytest.raises(ValueError):
-        recommend.candidate_rows(movies, users, columns, limit=1)
+    by_user = {}
+    for user, movie, prediction in sorted(((r["user_id"], r["movie_id"], r["prediction"]) for r in brute), key=lambda r: (r[0], -r[2], r[1])):
+        by_user.setdefault(user, []).append(movie)
+    return {user: found[:n] for user, found in by_user.items()}
+
+
+@pytest.mark.parametrize("block", [4, 256])
+def test_model_lists_consider_every_movie(spark, list_model, monkeypatch, block):
+    movies, users = catalogue(spark, 70)
+    monkeypatch.setattr(recommend, "FIRST_BLOCK", block)
+    got = recommend.recommend_with_model(list_model, movies, users, PROFILE, n=3).orderBy("user_id", "rank").collect()
+    mine = {u: [r["movie_id"] for r in got if r["user_id"] == u] for u in range(8)}
+    assert mine == brute_lists(list_model, movies, users, 3)
+    assert recommend.candidate_rows(movies, users, PROFILE).count() == 70 * 4
+
+
+def test_model_lists_of_few_movies_and_none(spark, list_model):
+    movies, users = catalogue(spark, 2)
+    got = recommend.recommend_with_model(list_model, movies, users, PROFILE, n=5)
+    assert got.groupBy("user_id").count().filter("count = 2").count() == 8
+    assert recommend.recommend_with_model(list_model, movies.limit(0), users, PROFILE, n=5).count() == 0
+
+
+def test_bounds_hold_and_spare_movies(spark, list_model, monkeypatch):
+    movies, users = catalogue(spark, 400)
+    trees = bounds.Trees.of(list_model, movies.limit(1).join(users.limit(1)))
+    most = {r["movie_id"]: r["bound"] for r in bounds.movie_bounds(trees, movies).collect()}
+    best = list_model.transform(users.join(movies)).groupBy("movie_id").agg(F.max("prediction").alias("p")).collect()
+    assert all(r["p"] <= most[r["movie_id"]] + bounds.ROUNDING for r in best)
+    seen = []
+    transform = type(list_model).transform
+    monkeypatch.setattr(type(list_model), "transform", lambda self, df, *a: (seen.append(df), transform(self, df, *a))[1])
+    monkeypatch.setattr(recommend, "FIRST_BLOCK", 20)
+    recommend.recommend_with_model(list_model, movies, users, PROFILE, n=3).collect()
+    assert sum(df.count() for df in seen) < 400 * 4  # less than the product of movies and profiles
+
+
+def test_bounds_of_sparse_tokens(spark):
+    rng = random.Random(8)
+    rows = []
+    for i in range(600):
+        words = sorted(rng.sample(range(40), 3))
+        rows.append((i, i % 60, "0-18", "x", rng.choice(["a", "b"]), words, 3.0 + (7 in words) - (9 in words) + rng.gauss(0, 0.05)))
+    schema = "user_id BIGINT, movie_id BIGINT, age_bin STRING, occupation STRING, gender STRING, words ARRAY<BIGINT>, rating DOUBLE"
+    table = spark.createDataFrame(rows, schema).withColumn("tokens", features.sparse_ones(F.col("words"), 40)).drop("words")
+    model, _ = models.train_rating_model(table, PARAMS)
+    movies = table.dropDuplicates(["movie_id"]).select("movie_id", "tokens")
+    users = table.select("user_id", *PROFILE).limit(6)
+    got = recommend.recommend_with_model(model, movies, users, PROFILE, n=4).orderBy("user_id", "rank").collect()
+    expected = brute_lists(model, movies, users, 4)
+    assert {u: [r["movie_id"] for r in got if r["user_id"] == u] for u in expected} == expected
+
+
+def test_fifty_thousand_tokens(spark):
+    """Vocabulary, vectors, feature rows and a model, with no column per token."""
+    movies = spark.range(2000).select(
+        F.col("id").alias("movie_id"), F.lit("t").alias("title"), F.lit("2000-01-01").alias("release_date"), F.lit(90).alias("runtime"),
+        F.lit(1.0).alias("popularity"), F.lit(5.0).alias("vote_average"), F.lit(3).alias("vote_count"),
+        F.concat_ws(",", F.transform(F.sequence(F.lit(0), F.lit(24)), lambda k: F.concat(F.lit("g"), (F.col("id") * 25 + k).cast("string")))).alias("genres"),
+        F.lit("US").alias("production_countries"), F.lit("English").alias("spoken_languages"), F.lit("en").alias("original_language"),
+    )
+    users = spark.createDataFrame([(u, 20 + u, "x", "M") for u in range(5)], "user_id BIGINT, age INT, occupation STRING, gender STRING")
+    ratings = spark.range(60).select((F.col("id") % 5).alias("user_id"), (F.col("id") * 30).alias("movie_id"), (1 + F.col("id") % 5).cast("double").alias("rating"))
+    kinds = {k: f"{k}_tokens" for k in features.MULTI_HOT}
+    index = features.token_index(features.vocabulary(features.movie_attributes(movies), kinds))
+    assert index.count() == 50_002
+    rows = features.feature_table(ratings, users, movies, 2026, index=index)
+    first = rows.orderBy("movie_id").first()["tokens"]
+    assert first.size == 50_002 and len(first.indices) == 27
+    model, report = models.train_rating_model(rows, {"n_estimators": 1, "max_depth": 1, "colsample_bytree": 1.0, "subsample": 1.0})
+    assert model.stages[-1].numFeatures > 50_000 and report.first()["train_samples"] + report.first()["test_samples"] == 60
 
 
 def test_genre_lists_against_brute_force(spark):

@@ -12,6 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from marquee.operators import asof, quantiles, ranking, recommend, similarity, slots
+from marquee.session import materialise
 
 
 def frame(spark, data, schema):
@@ -27,11 +28,20 @@ def test_global_position_with_a_hot_value(spark, seed):
     assert {r["id"]: r["position"] for r in got.collect()} == expected
 
 
-def test_slots_isolate_repeated_borders(spark):
-    cut = slots.Slots([1.0, 2.0, 2.0, 2.0, 3.0])
-    values = [0.5, 1.0, 1.5, 2.0, 2.5, 3.0, 9.0]
-    got = [r[0] for r in spark.createDataFrame([(x,) for x in values], "x DOUBLE").select(cut.number(F.col("x"))).collect()]
-    assert got == sorted(got) and got.count(got[3]) == 1 and got[3] in cut.single
+@pytest.mark.parametrize("parts", ["1", "7"])
+def test_numbering_of_repeated_and_missing_values(spark, parts):
+    rng = random.Random(11)
+    data = [(i % 700, rng.choice([None, "a", "a", "a", "b"])) for i in range(2000)]
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    try:
+        table = slots.numbered(frame(spark, data, "id BIGINT, s STRING"), [F.col("s").desc(), F.col("id").asc()], first=5)
+        got = sorted((r["position"], r["s"], r["id"]) for r in table.collect())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert [r[0] for r in got] == list(range(5, 2005))
+    order = sorted(data, key=lambda r: ({"b": 0, "a": 1, None: 2}[r[1]], r[0]))
+    assert [(i, s) for _, s, i in got] == order
+    assert slots.numbered(spark.createDataFrame([], "id BIGINT"), [F.col("id").asc()]).count() == 0
 
 
 @pytest.mark.parametrize("n", [1, 2, 61, 5000])
@@ -49,8 +59,8 @@ def test_quantiles_of_nothing(spark):
     assert spark.range(1).select(quantiles.exact_quantile(empty, "v", 0.5)).first()[0] is None
 
 
-@pytest.mark.parametrize("n_slots", [2, 64])
-def test_attach_latest_with_a_hot_key(spark, n_slots):
+@pytest.mark.parametrize("parts", ["2", "32"])
+def test_attach_latest_with_a_hot_key(spark, parts):
     rng = random.Random(5)
     start = datetime(2024, 1, 1)
 
@@ -62,7 +72,13 @@ def test_attach_latest_with_a_hot_key(spark, n_slots):
 
     history, events = some(600, 0), some(500, 10_000)
     schema = "event_id BIGINT, user_id BIGINT, ts TIMESTAMP"
-    got = asof.attach_latest(frame(spark, events, schema), frame(spark, history, schema), "user_id", "ts", "event_id", slots=n_slots)
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = materialise(asof.attach_latest(frame(spark, events, schema), frame(spark, history, schema), "user_id", "ts", "event_id"), "got")
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     by_user = defaultdict(list)
     for event_id, user, ts in history:
         by_user[user].append((ts, event_id))
