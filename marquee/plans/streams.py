@@ -17,18 +17,25 @@ from marquee.streaming import attribution, counters, ingest
 
 PARTS = 4
 PART_SQL = f"""spanned AS (SELECT min(epoch_us(ts)) lo, max(epoch_us(ts)) hi FROM v_event),
-  parted AS (SELECT e.*, (epoch_us(e.ts) - lo) * {PARTS} // (hi - lo + 1) part FROM v_event e, spanned)"""
+  parted AS (SELECT e.*, coalesce((epoch_us(e.ts) - lo) * {PARTS} // (hi - lo + 1), {PARTS}) part FROM v_event e, spanned)"""
 
 
 def live(v: Views) -> Views:
-    """The adapter views over the events as a stream of PARTS micro-batches, each a stretch of time."""
+    """The adapter views over the events as a stream of PARTS micro-batches, each a stretch of time.
+
+    Events without a time follow in a part of their own. Every part is written by many tasks into as many
+    files, and a micro-batch takes that number of files.
+    """
     folder = scratch_path(v.spark, "event-parts")
     at = F.unix_micros(F.col("ts").cast("timestamp"))
     span = v.events.agg(F.struct(F.min(at).alias("lo"), F.max(at).alias("hi")).alias("s")).scalar()
-    part = F.floor((at - span["lo"]) * PARTS / (span["hi"] - span["lo"] + 1))
-    for k in range(PARTS):  # one after the other: the file source reads in the order of writing
-        v.events.filter(part == k).coalesce(1).write.parquet(f"{folder}/part={k}")
-    stream = parquet_stream(v.spark, f"{folder}/*", v.events.schema, files_per_batch=1)
+    part = F.coalesce(F.floor((at - span["lo"]) * PARTS / (span["hi"] - span["lo"] + 1)), F.lit(PARTS))
+    tasks = max(1, v.events.rdd.getNumPartitions() // PARTS)
+    for k in range(PARTS + 1):  # one after the other: the file source reads in the order of writing
+        rows = v.events.filter(part == k)
+        if k < PARTS or not rows.isEmpty():
+            rows.repartition(tasks).write.parquet(f"{folder}/part={k}")
+    stream = parquet_stream(v.spark, f"{folder}/*", v.events.schema, files_per_batch=tasks)
     return Views(v.spark, v.folder, events=stream)
 
 
@@ -87,9 +94,9 @@ def served_and_clicked(v: Views) -> DataFrame:
 
 @query("stream_attribution", "SELECT * FROM attributed", ATTRIBUTED)
 def stream_attribution(v):
-    out, state = scratch_path(v.spark, "attributed"), scratch_path(v.spark, "served-state")
-    attribution.attribute_clicks(served_and_clicked(live(v)), out, state, checkpoint(v), keep="36500 DAYS")
-    return v.spark.read.parquet(out).drop("batch")
+    out = scratch_path(v.spark, "attributed")
+    attribution.attribute_clicks(served_and_clicked(live(v)), out, checkpoint(v), keep="36500 DAYS")
+    return attribution.attributed(v.spark, out)
 
 
 def health_events(v: Views) -> DataFrame:

@@ -181,42 +181,68 @@ def test_streamed_watch_pairs_are_written_once(spark, tmp_path, rows):
     assert rows(got) == sorted(expected, key=repr)
 
 
-def test_streamed_attribution_equals_batch(spark, tmp_path, rows):
-    rng = random.Random(4)
+SERVED = "event_id BIGINT, ts TIMESTAMP, user_id BIGINT, items ARRAY<STRING>, model_version STRING, item_id STRING"
+
+
+def served_events(n, seed=4, step=20):
+    rng = random.Random(seed)
     data = []
-    for i in range(300):
-        at = START + timedelta(seconds=i * 20)
+    for i in range(n):
+        at = START + timedelta(seconds=i * step)
         user = 1 if rng.random() < 0.4 else rng.randrange(8)
         if rng.random() < 0.4:
             data.append((i, at, user, [str(rng.randrange(6)) for _ in range(2)], rng.choice(["v1", "v2"]), None))
         else:
             data.append((i, at, user, None, None, str(rng.randrange(6))))
-    schema = "event_id BIGINT, ts TIMESTAMP, user_id BIGINT, items ARRAY<STRING>, model_version STRING, item_id STRING"
-    source, out, state, mark = (str(tmp_path / n) for n in ("in", "out", "state", "mark"))
-    for p in range(3):
-        spark.createDataFrame(data[p * 100 : (p + 1) * 100], schema).coalesce(1).write.parquet(f"{source}/part{p}")
-        events = streams.parquet_stream(spark, f"{source}/part*", schema, files_per_batch=1)
-        attribution.attribute_clicks(events, out, state, mark)
-    whole = spark.createDataFrame(data, schema)
-    expected = online.click_attribution(whole.filter("items IS NOT NULL"), whole.filter("item_id IS NOT NULL"))
-    assert rows(spark.read.parquet(out).drop("batch")) == rows(expected)
+    return data
+
+
+def attribute_in_runs(spark, folder, batches, **options):
+    """Each batch comes in a run of its own, which goes on from the checkpoint."""
+    source, out, mark = (f"{folder}/{n}" for n in ("in", "out", "mark"))
+    for p, data in enumerate(batches):
+        spark.createDataFrame(data, SERVED).coalesce(1).write.parquet(f"{source}/part{p}")
+        events = streams.parquet_stream(spark, f"{source}/part*", SERVED, files_per_batch=1)
+        attribution.attribute_clicks(events, out, mark, **options)
+    return attribution.attributed(spark, out), spark.read.parquet(out)
+
+
+def batch_answers(spark, data):
+    whole = spark.createDataFrame(data, SERVED)
+    return online.click_attribution(whole.filter("items IS NOT NULL"), whole.filter("item_id IS NOT NULL"))
+
+
+def test_streamed_attribution_equals_batch(spark, tmp_path, rows):
+    data = served_events(300)
+    got, _ = attribute_in_runs(spark, tmp_path, [data[p * 100 : (p + 1) * 100] for p in range(3)])
+    assert rows(got) == rows(batch_answers(spark, data))
+
+
+def test_late_lists_and_late_clicks(spark, tmp_path, rows):
+    data = served_events(240, seed=9)
+    rng = random.Random(1)
+    late = {r[0] for r in data if rng.random() < 0.3}  # lists and clicks alike come up to two batches after their time
+    batches = [[] for _ in range(6)]
+    for r in data:
+        batches[r[0] // 60 + (rng.choice((1, 2)) if r[0] in late else 0)].append(r)
+    got, answers = attribute_in_runs(spark, tmp_path, [b for b in batches if b])
+    assert rows(got) == rows(batch_answers(spark, data))
+    assert answers.count() > got.count()  # some answers were corrected
 
 
 def test_served_state_expires(spark, tmp_path):
-    schema = "event_id BIGINT, ts TIMESTAMP, user_id BIGINT, items ARRAY<STRING>, model_version STRING, item_id STRING"
     late = START + timedelta(days=3)
-    source, out, state, mark = (str(tmp_path / n) for n in ("in", "out", "state", "mark"))
     batches = [
         [(1, START, 1, ["a"], "v1", None)],
         [(2, late, 2, ["b"], "v2", None)],
         [(3, late, 1, None, None, "a"), (4, late + timedelta(seconds=1), 2, None, None, "b")],
+        [(5, late + timedelta(hours=3), 2, None, None, "x")],
     ]
-    for p, data in enumerate(batches):
-        spark.createDataFrame(data, schema).coalesce(1).write.parquet(f"{source}/part{p}")
-        events = streams.parquet_stream(spark, f"{source}/part*", schema, files_per_batch=1)
-        attribution.attribute_clicks(events, out, state, mark)
-    got = {r["event_id"]: (r["model_version"], r["matched"]) for r in spark.read.parquet(out).collect()}
-    assert got == {3: ("unknown", False), 4: ("v2", True)}
+    answers, _ = attribute_in_runs(spark, tmp_path, batches)
+    got = {r["event_id"]: (r["model_version"], r["matched"]) for r in answers.collect()}
+    assert got == {3: ("unknown", False), 4: ("v2", True), 5: ("v2", False)}
+    state = spark.read.format("statestore").option("stateVarName", "served").load(f"{tmp_path}/mark")
+    assert [r["key"]["user_id"] for r in state.collect()] == [2]  # the list of user 1 is gone
 
 
 def test_streamed_health_over_several_batches(spark, tmp_path):
