@@ -122,5 +122,9 @@ def in_share(share: float, *keys: Column, seed: int = 42) -> Column:
     The keys are mixed by MD5, so ids in steps of ten spread like any others, and any engine with MD5
     finds the same rows.
     """
-    text = F.concat_ws(":", F.lit(str(seed)), *[k.cast("string") for k in keys])
-    return F.substring(F.md5(text), 1, 8) < F.lit(share_limit(share))
+    return F.substring(mixed(*keys, seed=seed), 1, 8) < F.lit(share_limit(share))
+
+
+def mixed(*keys: Column, seed: int = 42) -> Column:
+    """MD5 of the seed and the keys, joined by colons."""
+    return F.md5(F.concat_ws(":", F.lit(str(seed)), *[k.cast("string") for k in keys]))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from marquee.functions.scalars import in_share, number, ratio
 from marquee.operators.asof import attach_latest
-from marquee.operators.quantiles import exact_quantile
+from marquee.operators.quantiles import exact_quantiles
 from marquee.operators.summary import report_row
 from marquee.session import materialise
 
@@ -40,21 +40,22 @@ def ctr(served: DataFrame, interactions: DataFrame, by: Sequence[str] = ()) -> D
     return joined.withColumn("ctr", rate)
 
 
-def group_rating(quality: DataFrame, users: DataFrame, value: str = "rating") -> DataFrame:
-    """Mean value for each gender and the ratio female to male.
+def group_rating(quality: DataFrame, users: DataFrame, value: str = "rating", count: str | None = None) -> DataFrame:
+    """Mean value for each gender and the ratio female to male; ``count`` names a column for the number of rows.
 
     Sums are taken per user first; the join then sees one row per user.
     """
-    rated = quality.select("user_id", number(F.col(value)).alias("v")).filter(F.col("v").isNotNull())
-    per_user = rated.groupBy("user_id").agg(F.sum("v").alias("total"), F.count(F.lit(1)).alias("n"))
+    rated = quality.select("user_id", number(F.col(value)).alias("v"))
+    per_user = rated.groupBy("user_id").agg(F.sum("v").alias("total"), F.count("v").alias("n"), F.count(F.lit(1)).alias("rows"))
     gender = F.coalesce("gender", F.lit("unknown"))
 
     def mean(code: str) -> Column:
         return F.try_divide(F.sum(F.when(gender == code, F.col("total"))), F.sum(F.when(gender == code, F.col("n"))))
 
+    sizes = [F.coalesce(F.sum("rows"), F.lit(0)).alias(count)] if count else []
     return (
         per_user.join(users.select("user_id", "gender"), "user_id", "left")
-        .agg(mean("M").alias("rating_m"), mean("F").alias("rating_f"))
+        .agg(mean("M").alias("rating_m"), mean("F").alias("rating_f"), *sizes)
         .withColumn("ratio", F.when(F.col("rating_m") > 0, F.try_divide("rating_f", "rating_m")))
     )
 
@@ -79,22 +80,34 @@ def issue_flags(
 
 
 def detection(served: DataFrame, interactions: DataFrame, quality: DataFrame, users: DataFrame, **thresholds) -> DataFrame:
-    """One row with every figure the rollout decision needs, and the issue found."""
-    models = ctr(served, interactions, ["model_version"]).agg(
-        F.max(F.when(F.col("model_version") == "v1", F.col("ctr"))).alias("ctr_v1"),
-        F.max(F.when(F.col("model_version") == "v2", F.col("ctr"))).alias("ctr_v2"),
+    """One row with every figure the rollout decision needs, and the issue found.
+
+    Every input is read once: lists and interactions are reduced to one row per (user, item) and met
+    there, and all rates are conditional sums over these rows.
+    """
+    models = ("v1", "v2")
+    item = F.posexplode_outer("items").alias("_place", "item_id")
+    listed = served.select("user_id", "model_version", item)
+    first = F.coalesce("_place", F.lit(0)) == 0  # one row per list, an empty or missing one too
+    shown = listed.groupBy("user_id", "item_id").agg(
+        F.count("_place").alias("shown"),
+        F.count_if(first).alias("lists"),
+        *[F.count_if((F.col("model_version") == m) & F.col("_place").isNotNull()).alias(f"shown_{m}") for m in models],
     )
-    counts = [
-        df.agg(F.count(F.lit(1)).alias(name))
-        for df, name in (
-            (served, "n_rec_events"),
-            (interactions, "n_interaction_events"),
-            (quality, "n_quality_events"),
-        )
-    ]
-    row = report_row(
-        served.sparkSession, ctr(served, interactions), models, group_rating(quality, users), *counts
+    clicked = interactions.groupBy("user_id", "item_id").agg(F.count(F.lit(1)).alias("n"))
+    met = shown.join(clicked, ["user_id", "item_id"], "full")
+
+    def rate(column: str) -> Column:
+        hits = F.sum(F.when(F.col(column) > 0, F.col("n")))
+        return ratio(F.coalesce(hits, F.lit(0)), F.sum(column))
+
+    figures = met.agg(
+        F.when(F.sum("shown") > 0, rate("shown")).otherwise(0.0).alias("ctr"),
+        *[F.when(F.sum(f"shown_{m}") > 0, rate(f"shown_{m}")).alias(f"ctr_{m}") for m in models],
+        F.coalesce(F.sum("lists"), F.lit(0)).alias("n_rec_events"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n_interaction_events"),
     )
+    row = report_row(served.sparkSession, figures, group_rating(quality, users, count="n_quality_events"))
     flags = issue_flags(F.col("ctr"), F.col("ctr_v1"), F.col("ctr_v2"), F.col("ratio"), **thresholds)
     return row.withColumn("issue", flags)
 
@@ -132,51 +145,60 @@ def hits_against(lists: DataFrame, interactions: DataFrame) -> DataFrame:
     return interactions.join(lists, "user_id", "left").withColumn("hit", hit).drop("list")
 
 
-def _hit_rate(lists: DataFrame, interactions: DataFrame) -> DataFrame:
-    """Mean hit, with repeated (user, item) interactions merged before the join."""
-    grouped = interactions.groupBy("user_id", "item_id").agg(F.count(F.lit(1)).alias("n"))
-    return hits_against(lists, grouped).agg(
-        F.coalesce(F.try_divide(F.sum(F.col("hit") * F.col("n")), F.sum("n")), F.lit(0.0)).alias("hit_rate")
-    )
-
-
-def online_metrics(served: DataFrame, interactions: DataFrame, errors: DataFrame, as_of: Column, hours: int = 24) -> DataFrame:
-    """Health metrics over the last ``hours`` before ``as_of``; one row.
+def online_metrics(
+    served: DataFrame, interactions: DataFrame, errors: DataFrame, as_of: Column, hours: int | Sequence[int] = 24
+) -> DataFrame:
+    """Health metrics over the last ``hours`` before ``as_of``; one row for each number of hours.
 
-    The lists of that time are read once and kept as a table for the five figures
-    computed from them.
+    Every input is read once, for all spans together: a row counts in each span it lies in. Lists are
+    reduced to one row per user and interactions to one per (user, item) before they meet.
     """
-    cutoff = as_of - F.expr(f"INTERVAL {int(hours)} HOURS")
-    served, interactions, errors = (df.filter(F.col("ts") > cutoff) for df in (served, interactions, errors))
-    served = materialise(served.select("event_id", "ts", "user_id", "items", "response_time"), "served")
+    spans = sorted({int(hours)} if isinstance(hours, int) else {int(h) for h in hours})
     spark = served.sparkSession
-    counts = served.agg(
-        F.count(F.lit(1)).alias("num_recommendations"),
-        F.coalesce(F.avg("response_time"), F.lit(0.0)).alias("avg_response_time"),
+
+    def inside(df: DataFrame, *columns: str) -> DataFrame:
+        recent = df.filter(F.col("ts") > as_of - F.expr(f"INTERVAL {spans[-1]} HOURS"))
+        age = F.unix_micros(as_of.cast("timestamp")) - F.unix_micros(F.col("ts").cast("timestamp"))
+        aged = recent.select(age.alias("_age"), *columns)
+        held = F.filter(F.array(*[F.lit(h) for h in spans]), lambda h: F.col("_age") < h.cast("bigint") * 3_600_000_000)
+        return aged.select(F.explode(held).alias("hours"), *columns)
+
+    lists = materialise(inside(served, "ts", "event_id", "user_id", "items", "response_time"), "served")
+    users = lists.groupBy("hours", "user_id").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum("response_time").alias("time"),
+        F.count("response_time").alias("timed"),
+        F.min_by("items", F.struct("ts", "event_id")).alias("list"),
+    )
+    clicked = inside(interactions, "user_id", "item_id").groupBy("hours", "user_id", "item_id").agg(F.count(F.lit(1)).alias("n"))
+    hit = F.coalesce(F.array_contains("list", F.col("item_id")), F.lit(False))
+    hits = clicked.join(users.select("hours", "user_id", "list"), ["hours", "user_id"], "left").groupBy("hours").agg(
+        F.sum("n").alias("num_interactions"), F.sum(F.when(hit, F.col("n")).otherwise(0)).alias("_hits")
     )
-    p95 = exact_quantile(served, "response_time", 0.95)
-    users = served.select("user_id").distinct().agg(F.count(F.lit(1)).alias("user_coverage"))
-    items = served.select(F.explode("items").alias("i")).distinct().agg(F.count(F.lit(1)).alias("item_coverage"))
-    row = report_row(
-        spark,
-        counts,
-        interactions.agg(F.count(F.lit(1)).alias("num_interactions")),
-        errors.agg(F.count(F.lit(1)).alias("_errors")),
-        _hit_rate(first_list(served), interactions),
-        users,
-        items,
+    counts = users.groupBy("hours").agg(
+        F.sum("n").alias("num_recommendations"),
+        F.try_divide(F.sum("time"), F.sum("timed")).alias("avg_response_time"),
+        F.count("user_id").alias("user_coverage"),
     )
-    error_rate = F.when(F.col("num_recommendations") > 0, ratio(F.col("_errors"), F.col("num_recommendations")))
+    items = lists.select("hours", F.explode("items").alias("item")).distinct().groupBy("hours").agg(F.count("item").alias("item_coverage"))
+    failed = inside(errors).groupBy("hours").agg(F.count(F.lit(1)).alias("_errors"))
+    p95 = exact_quantiles(lists, "response_time", [0.95], by="hours").select("hours", F.col("quantile").alias("p95_response_time"))
+
+    row = spark.createDataFrame([(h,) for h in spans], "hours INT")
+    for part in (counts, hits, items, failed, p95):  # one row for each span
+        row = row.join(F.broadcast(part), "hours", "left")
+    zero = lambda c: F.coalesce(c, F.lit(0)).cast("bigint").alias(c)
+    none = lambda column, name: F.coalesce(column, F.lit(0.0)).alias(name)
     return row.select(
-        F.lit(hours).alias("hours"),
-        "num_recommendations",
-        "num_interactions",
-        "avg_response_time",
-        F.coalesce(p95, F.lit(0.0)).alias("p95_response_time"),
-        F.coalesce(error_rate, F.lit(0.0)).alias("error_rate"),
-        "hit_rate",
-        "user_coverage",
-        "item_coverage",
+        "hours",
+        zero("num_recommendations"),
+        zero("num_interactions"),
+        none(F.col("avg_response_time"), "avg_response_time"),
+        none(F.col("p95_response_time"), "p95_response_time"),
+        none(ratio(F.coalesce("_errors", F.lit(0)), F.col("num_recommendations")), "error_rate"),
+        none(ratio(F.col("_hits"), F.col("num_interactions")), "hit_rate"),
+        zero("user_coverage"),
+        zero("item_coverage"),
     )
 
 

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from marquee.functions.scalars import in_share, mixed
+
 
 def best_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int = 1, rank: str | None = None) -> DataFrame:
     """The first ``n`` rows of each key in the given order.
@@ -65,12 +67,12 @@ def top_share(counts: DataFrame, value: str, fraction: float = 0.1) -> DataFrame
 def sample_cap(df: DataFrame, keys: Sequence[str], cap: int, seed: int = 42) -> DataFrame:
     """``cap`` rows in a seeded random order.
 
-    Rows are ordered by a hash of their keys. A 65 536-bin histogram of the hash
-    finds the range that holds the first ``cap`` rows, so only about that many
+    Rows are ordered by the MD5 of seed and keys. A 65 536-bin histogram of its first
+    digits finds the range that holds the first ``cap`` rows, so only about that many
     rows reach the final sort.
     """
-    shuffled = df.withColumn("_hash", F.xxhash64(*[F.col(k) for k in keys], F.lit(seed)))
-    bins = shuffled.groupBy(F.shiftright("_hash", 48).alias("_bin")).agg(F.count(F.lit(1)).alias("_rows"))
+    shuffled = df.withColumn("_hash", mixed(*[F.col(k) for k in keys], seed=seed))
+    bins = shuffled.groupBy(F.substring("_hash", 1, 4).alias("_bin")).agg(F.count(F.lit(1)).alias("_rows"))
     running = Window.orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
     last_bin = (
         bins.withColumn("_before", F.coalesce(F.sum("_rows").over(running), F.lit(0)))
@@ -79,7 +81,7 @@ def sample_cap(df: DataFrame, keys: Sequence[str], cap: int, seed: int = 42) ->
         .scalar()
     )
     return (
-        shuffled.filter(F.shiftright("_hash", 48) <= last_bin)
+        shuffled.filter(F.substring("_hash", 1, 4) <= last_bin)
         .orderBy("_hash", *keys)
         .limit(cap)
         .drop("_hash")
@@ -88,5 +90,4 @@ def sample_cap(df: DataFrame, keys: Sequence[str], cap: int, seed: int = 42) ->
 
 def sample_fraction(df: DataFrame, keys: Sequence[str], fraction: float, seed: int = 42) -> DataFrame:
     """Reproducible fraction of the rows: a row is in or out by its keys alone."""
-    share = F.pmod(F.xxhash64(*[F.col(k) for k in keys], F.lit(seed)), F.lit(1_000_000))
-    return df.filter(share < int(fraction * 1_000_000))
+    return df.filter(in_share(fraction, *[F.col(k) for k in keys], seed=seed))

@@ -45,3 +45,17 @@ def global_position(df: DataFrame, primary: str, tiebreak: str, descending: bool
     """1-based position of every row in the order (primary, tiebreak)."""
     leading = F.col(primary).desc() if descending else F.col(primary).asc()
     return numbered(df, [leading, F.col(tiebreak).asc()], out, first=1)
+
+
+def with_next(df: DataFrame, column: str, out: str = "next") -> DataFrame:
+    """Every row with the value of ``column`` that follows its own, NULL for the last; values are distinct."""
+    table = materialise(ranged(df, [F.col(column).asc()]).withColumn("_range", F.spark_partition_id()), "ordered")
+    # One row per range of the order.
+    borders = table.groupBy("_range").agg(F.min(column).alias("_first"))
+    following = borders.select("_range", F.lead("_first").over(Window.orderBy("_range")).alias("_following"))
+    inside = Window.partitionBy("_range").orderBy(column)
+    return (
+        table.withColumn("_inside", F.lead(column).over(inside))
+        .join(F.broadcast(following), "_range")
+        .select(*(F.col(f"`{c}`") for c in df.columns), F.coalesce("_inside", "_following").alias(out))
+    )

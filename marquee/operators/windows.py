@@ -4,16 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from marquee.functions.scalars import ratio
+from marquee.operators.asof import attach_latest
+from marquee.operators.slots import with_next
+from marquee.session import materialise
 
 DEFAULT_WINDOW = "10 minutes"
 # Upper bounds of the latency histogram, in seconds.
 LATENCY_BOUNDS = [0.1, 0.25, 0.5, 1.0, 2.5, 5.0, 10.0, 20.0, 30.0, 60.0, 90.0, 120.0, 180.0, 300.0]
 MIN_DENOMINATOR = 1e-9
+#: Windows of a gap that one row lays out at a time.
+GAP_PIECE = 4_096
 
 
 def window_start(ts: Column, width: str = DEFAULT_WINDOW) -> Column:
@@ -111,13 +116,28 @@ def hit_percentage(served: DataFrame, hits: DataFrame, width: str = DEFAULT_WIND
     return joined.withColumn("ctr_pct", 100 * F.col("hits") / floor)
 
 
+def interval_seconds(spark: SparkSession, text: str) -> int:
+    """Length of an interval such as '10 minutes'."""
+    length = spark.range(1).select(F.expr(f"INTERVAL {text}").cast("interval day to second").alias("i")).first()["i"]
+    return int(length.total_seconds())
+
+
 def gaps(events: DataFrame, width: str = DEFAULT_WINDOW) -> DataFrame:
-    """Every window between the first and the last event, flagged up or down."""
-    active = windowed(events, width).groupBy("window_start").agg(F.count(F.lit(1)).alias("n"))
-    span = active.agg(F.min("window_start").alias("a"), F.max("window_start").alias("b"))
-    calendar = span.select(F.explode(F.sequence("a", "b", F.expr(f"INTERVAL {width}"))).alias("window_start"))
-    return calendar.join(active, "window_start", "left").select(
-        "window_start", F.coalesce("n", F.lit(0)).alias("n"), F.col("n").isNotNull().cast("int").alias("up")
+    """Every window between the first and the last event, flagged up or down.
+
+    Each active window looks at the next one; the windows between the two are down. A gap of any
+    length is laid out in pieces, so a stray event long ago costs no more than the rows of its gap.
+    """
+    active = windowed(events.filter(F.col("ts").isNotNull()), width).groupBy("window_start").agg(F.count(F.lit(1)).alias("n"))
+    step = interval_seconds(events.sparkSession, width)
+    at = F.unix_seconds("window_start")
+    followed = with_next(active, "window_start").withColumn("_missing", F.floor((F.unix_seconds("next") - at) / step) - 1)
+    pieces = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_missing") - 1) / GAP_PIECE))
+    piece = followed.filter(F.col("_missing") > 0).select("window_start", "_missing", F.explode(pieces).alias("_piece"))
+    from_, to = F.col("_piece") * GAP_PIECE + 1, F.least(F.col("_missing"), (F.col("_piece") + 1) * GAP_PIECE)
+    down = piece.select("window_start", F.explode(F.sequence(from_, to)).alias("_k"))
+    return followed.select("window_start", "n", F.lit(1).alias("up")).unionByName(
+        down.select(F.timestamp_seconds(at + F.col("_k") * step).alias("window_start"), F.lit(0).cast("bigint").alias("n"), F.lit(0).alias("up"))
     )
 
 
@@ -128,21 +148,30 @@ def offset_lag(offsets: DataFrame) -> DataFrame:
     ).withColumn("lag", F.col("produced") - F.col("consumed"))
 
 
-def quality_alerts(
-    series: DataFrame, metric: str, threshold: float = 0.1, cooldown: str = "1 hour"
-) -> DataFrame:
+def quality_alerts(series: DataFrame, metric: str, threshold: float = 0.1, cooldown: str = "1 hour") -> DataFrame:
     """Windows that raise an alert: metric below the threshold, none raised within the cooldown.
 
-    ``series`` holds one row per window, so one day of ten-minute windows is 144 rows.
+    ``series`` holds one row per window. A low window raises whatever came before if no other low window
+    lies within the cooldown before it. From these on, every alert points to the next one, the first low
+    window at or after its cooldown; pointers are doubled until no alert is new, so the number of rounds is
+    the logarithm of the longest run of alerts.
     """
-    low = series.filter(F.col(metric) < threshold)
-    ordered = low.agg(F.array_sort(F.collect_list("window_start")).alias("w"))
-    pause = F.expr(f"INTERVAL {cooldown}")
-    empty = F.array().cast("array<timestamp>")
-
-    def step(raised: Column, at: Column) -> Column:
-        last = F.try_element_at(raised, F.lit(-1))
-        due = last.isNull() | (at >= last + pause)
-        return F.when(due, F.concat(raised, F.array(at))).otherwise(raised)
-
-    return ordered.select(F.explode(F.aggregate("w", empty, step)).alias("alert_at"))
+    low = series.filter((F.col(metric) < threshold) & F.col("window_start").isNotNull())
+    low = materialise(low.select(F.unix_micros(F.col("window_start").cast("timestamp")).alias("at")).distinct(), "low")
+    pause = interval_seconds(series.sparkSession, cooldown) * 1_000_000
+    after = materialise(with_next(low, "at"), "low")
+    apart = after.filter(F.col("next") >= F.col("at") + pause).select(F.col("next").alias("at"))
+    raised = materialise(apart.unionByName(low.agg(F.min("at").alias("at")).filter(F.col("at").isNotNull())).distinct(), "alerts")
+    # The first low window at or after the cooldown is the latest before it when time runs backwards.
+    asked = low.select(F.lit(0).alias("all"), "at", F.timestamp_micros(-F.col("at") - pause).alias("ts"), F.lit(0).alias("order"))
+    known = low.select(F.lit(0).alias("all"), F.col("at").alias("to"), F.timestamp_micros(-F.col("at")).alias("ts"), F.lit(0).alias("order"))
+    jump = attach_latest(asked, known, "all", "ts", "order", "found").select("at", F.col("found.to").alias("to"))
+    jump = materialise(jump.filter(F.col("to").isNotNull()), "jumps")
+    while True:
+        reached = raised.join(jump, "at").select(F.col("to").alias("at")).distinct()
+        fresh = materialise(reached.join(raised, "at", "left_anti"), "alerts")
+        if fresh.isEmpty():
+            return raised.select(F.timestamp_micros("at").alias("alert_at"))
+        raised = materialise(raised.unionByName(fresh), "alerts")
+        second = jump.select(F.col("at").alias("to"), F.col("to").alias("further"))
+        jump = materialise(jump.join(second, "to").select("at", F.col("further").alias("to")), "jumps")

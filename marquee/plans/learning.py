@@ -169,13 +169,19 @@ def ranking_item_item(v):
     return metrics.ranking_metrics(lists, truth, 20)
 
 
-@query("sample_cap")
+SAMPLE_KEY = "concat_ws(':', '42', CAST(user_id AS VARCHAR), CAST(movie_id AS VARCHAR), CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHAR))"
+
+
+@query(
+    "sample_cap",
+    f"SELECT * FROM v_rating_big ORDER BY md5({SAMPLE_KEY}), user_id, movie_id, l_orderkey, l_linenumber LIMIT 10000",
+)
 def sample_cap(v):
     keys = ["user_id", "movie_id", "l_orderkey", "l_linenumber"]
     return ranking.sample_cap(v.v_rating_big, keys, 10_000)
 
 
-@query("sample_fraction")
+@query("sample_fraction", f"SELECT * FROM v_rating_big WHERE substr(md5({SAMPLE_KEY}), 1, 8) < '{S.share_limit(0.2)}'")
 def sample_fraction(v):
     keys = ["user_id", "movie_id", "l_orderkey", "l_linenumber"]
     return ranking.sample_fraction(v.v_rating_big, keys, 0.2)
@@ -443,6 +449,13 @@ def model_roundtrip(v):
     return scored.select("user_id", "movie_id", "rating", "prediction")
 
 
+@query("model_roundtrip_rows", "SELECT user_id, movie_id, rating, true scored FROM train_ratings", LAST_RATINGS)
+def model_roundtrip_rows(v):
+    """Every training row has a finite score from the model that was stored and loaded."""
+    finite = F.col("prediction").isNotNull() & ~F.isnan("prediction")
+    return model_roundtrip(v).select("user_id", "movie_id", "rating", finite.alias("scored"))
+
+
 def movie_side(v: Views) -> DataFrame:
     """Model features of every movie, filled as in training."""
     movies = features.token_vectors(features.movie_attributes(v.v_movies), index_of(v))

@@ -31,11 +31,15 @@ OVERVIEW = """overview AS (SELECT (SELECT count(*) FROM v_rating_big) n_rows,
   (SELECT count(*) FROM (SELECT DISTINCT movie_id FROM v_rating_big)) n_movies,
   (SELECT round(avg(n), 6) FROM (SELECT count(*) n FROM v_rating_big GROUP BY movie_id)) mean_interactions_per_movie,
   (SELECT median(n) FROM (SELECT count(*) n FROM v_rating_big GROUP BY movie_id)) median_interactions_per_movie)"""
-REFRESH = """now_stats AS (SELECT count(DISTINCT user_id) users, count(DISTINCT item) movies,
-    count(*) FILTER (event_type = 'view') interactions, count(*) FILTER (event_type = 'purchase') ratings FROM v_event),
-  old_stats AS (SELECT count(DISTINCT user_id) users, count(DISTINCT item) movies,
-    count(*) FILTER (event_type = 'view') interactions, count(*) FILTER (event_type = 'purchase') ratings FROM v_event
-    WHERE event_id < 5000)"""
+def _stats_sql(where: str = "") -> str:
+    return f"""SELECT count(DISTINCT user_id) users, count(DISTINCT item) movies, count(*) FILTER (event_type = 'view') interactions,
+    count(*) FILTER (event_type = 'purchase') ratings FROM v_event {where}"""
+
+
+#: The reports before the current one cover the events up to these shares of the days.
+EARLIER = (0.25, 0.5)
+REFRESH = f"""cut AS (SELECT CAST(min(ts) AS DATE) + CAST(floor(date_diff('day', CAST(min(ts) AS DATE), CAST(max(ts) AS DATE)) * {EARLIER[-1]}) AS INTEGER) AS day
+    FROM v_event), now_stats AS ({_stats_sql()}), old_stats AS ({_stats_sql("WHERE CAST(ts AS DATE) < (SELECT day FROM cut)")})"""
 
 
 def per_movie_of(v: Views) -> DataFrame:
@@ -153,8 +157,14 @@ def error_rate_total(v):
     return offline.error_ratio(v.v_error, v.v_recs)
 
 
-def _stats(v: Views, before: int | None = None) -> DataFrame:
-    events = v.v_event if before is None else v.v_event.filter(F.col("event_id") < before)
+def _stats(v: Views, share: float | None = None) -> DataFrame:
+    """Statistics of all events, or of those before the day that ends the first ``share`` of the days."""
+    events = v.v_event
+    if share is not None:
+        day = F.to_date("ts")
+        first, last = F.min(day), F.max(day)
+        cut = events.agg(F.date_add(first, F.floor(F.datediff(last, first) * F.lit(share)).cast("int")).alias("d")).scalar()
+        events = events.filter(day < cut)
     keys = events.select("user_id", F.col("item").alias("movie_id"))
     return refresh.refresh_stats(
         v.spark, keys, keys, events.filter("event_type = 'view'"), events.filter("event_type = 'purchase'")
@@ -174,11 +184,7 @@ def refresh_stats(v):
 )
 def refresh_delta(v):
     path = scratch_path(v.spark, "reports")
-    reports = [
-        (_stats(v, 2500), "2024-01-01 00:00:00"),
-        (_stats(v, 5000), "2024-01-02 00:00:00"),
-    ]
-    for stats, at in reports:
+    for stats, at in ((_stats(v, share), f"2024-01-0{k} 00:00:00") for k, share in enumerate(EARLIER, 1)):
         sinks.append_table(stats.withColumn("timestamp", F.lit(at).cast("timestamp")), path, schemas.REFRESH_REPORT)
     stored = v.spark.read.schema(schemas.REFRESH_REPORT).parquet(path)
     return refresh.refresh_delta(_stats(v), refresh.latest_report(stored))
@@ -192,8 +198,8 @@ def refresh_delta(v):
 )
 def retrain_gate(v):
     path = scratch_path(v.spark, "retrain-state")
-    for before, at in ((2500, "2024-01-01 00:00:00"), (5000, "2024-01-02 00:00:00")):
-        state = refresh.retrain_state(_stats(v, before), F.lit(at).cast("timestamp"))
+    for k, share in enumerate(EARLIER, 1):
+        state = refresh.retrain_state(_stats(v, share), F.lit(f"2024-01-0{k} 00:00:00").cast("timestamp"))
         sinks.append_table(state, path, schemas.RETRAIN_STATE)
     stored = v.spark.read.schema(schemas.RETRAIN_STATE).parquet(path)
     return rollout.retrain_gate(_stats(v), refresh.latest_state(stored))

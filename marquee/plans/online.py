@@ -203,8 +203,7 @@ def _metrics_sql(hours: int) -> str:
 @query("online_metrics", f"SELECT * FROM ({_metrics_sql(24)} UNION ALL {_metrics_sql(240)})")
 def online_metrics(v):
     as_of = v.v_event.agg(F.max("ts")).scalar()
-    day, decade = (online.online_metrics(v.v_recs, v.v_inter, v.v_error, as_of, hours) for hours in (24, 240))
-    return day.unionByName(decade)
+    return online.online_metrics(v.v_recs, v.v_inter, v.v_error, as_of, [24, 240])
 
 
 @query(

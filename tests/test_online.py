@@ -1,3 +1,4 @@
+import random
 from datetime import datetime, timedelta
 
 import pytest
@@ -266,3 +267,51 @@ def test_traces(spark, rows):
     evaluations = predictions.withColumnRenamed("request_id", "eval_id")
     assert lineage.trace_evaluations(evaluations, models).count() == 2
     assert [r["seq"] for r in lineage.recent_events_overall(predictions, n=2).collect()] == [2, 3]
+
+
+def brute_alerts(low, cooldown):
+    raised = []
+    for at in sorted(low):
+        if not raised or at >= raised[-1] + cooldown:
+            raised.append(at)
+    return raised
+
+
+@pytest.mark.parametrize("share", [0.02, 0.3, 1.0])
+def test_alerts_against_the_sequential_rule(spark, share):
+    rng = random.Random(5)
+    low = [NOW + timedelta(minutes=10 * k) for k in range(3000) if rng.random() < share]
+    series = spark.createDataFrame([(t, 0.05) for t in low], "window_start TIMESTAMP, q DOUBLE").repartition(4)
+    for cooldown, text in ((timedelta(hours=1), "1 hour"), (timedelta(minutes=25), "25 minutes")):
+        got = sorted(r[0] for r in windows.quality_alerts(series, "q", cooldown=text).collect())
+        assert got == brute_alerts(low, cooldown)
+    assert windows.quality_alerts(series.limit(0), "q").count() == 0
+
+
+def test_gap_of_decades(spark):
+    events = spark.createDataFrame([(datetime(1970, 1, 1),), (NOW,), (NOW + timedelta(minutes=25),), (None,)], "ts TIMESTAMP")
+    found = windows.gaps(events, "1 day")
+    days = (NOW.date() - datetime(1970, 1, 1).date()).days
+    assert found.count() == found.select("window_start").distinct().count() == days + 1
+    assert found.filter("up = 1").count() == 2 and found.agg(F.sum("n")).first()[0] == 3
+
+
+def test_metrics_of_several_spans_equal_single_ones(spark, rows):
+    rng = random.Random(6)
+    at = lambda: NOW - timedelta(minutes=rng.randrange(600))
+    served = spark.createDataFrame([(k, at(), rng.choice(["u1", "u1", "u2", None]), [f"m{rng.randrange(9)}"], "v1", rng.random()) for k in range(300)], RECS)
+    clicks = spark.createDataFrame([(k, at(), rng.choice(["u1", "u3"]), f"m{rng.randrange(9)}") for k in range(100)], CLICKS)
+    errors = spark.createDataFrame([(k, at(), "u1") for k in range(20)], "event_id BIGINT, ts TIMESTAMP, user_id STRING")
+    args = (served, clicks, errors, F.lit(NOW))
+    together = online.online_metrics(*args, hours=[1, 5, 9]).orderBy("hours").collect()
+    assert together == [online.online_metrics(*args, hours=h).first() for h in (1, 5, 9)]
+
+
+def test_detection_counts_lists_without_items(spark):
+    served = spark.createDataFrame([(1, NOW, "u", ["a", "b"], "v1", 0.1), (2, NOW, "u", [], "v2", 0.1), (3, NOW, "w", None, "v1", 0.1), (4, NOW, "u", ["a"], "v2", 0.1)], RECS)
+    clicks = spark.createDataFrame([(3, NOW, "u", "a"), (4, NOW, "u", "a"), (5, NOW, None, "a"), (6, NOW, "z", "a")], CLICKS)
+    quality = spark.createDataFrame([("u", "4"), ("u", "x")], "user_id STRING, rating STRING")
+    users = spark.createDataFrame([("u", "M")], "user_id STRING, gender STRING")
+    got = online.detection(served, clicks, quality, users).first().asDict()
+    assert (got["n_rec_events"], got["n_interaction_events"], got["n_quality_events"]) == (4, 4, 2)
+    assert (got["ctr"], got["ctr_v1"], got["ctr_v2"]) == (pytest.approx(2 / 3), 1.0, 2.0)

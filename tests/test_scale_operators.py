@@ -178,3 +178,37 @@ def test_hot_key_is_cut_before_the_shuffle(spark):
     plan = ranking.best_per_key(spark.range(10).withColumn("k", F.col("id") % 2), ["k"], [F.col("id")], 3)
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in text and "Partial" in text
+
+
+def test_brackets_that_miss_are_widened(spark, monkeypatch):
+    values = [float(x) for x in range(2000)]
+    df = frame(spark, [(x,) for x in values], "v DOUBLE")
+    found = []
+    bracketed = quantiles._bracketed
+
+    def narrow(data, group, shares, accuracy, margin):
+        found.append(margin)
+        table = bracketed(data, group, shares, accuracy, margin)
+        return table.withColumn("missed", F.lit(True)) if len(found) < 3 else table
+
+    monkeypatch.setattr(quantiles, "_bracketed", narrow)
+    assert quantiles.exact_quantiles(df, "v", [0.5], accuracy=200).first()["quantile"] == pytest.approx(999.5)
+    assert found == sorted(found) and len(found) == 3
+
+
+def test_quantiles_by_group(spark):
+    rng = np.random.default_rng(3)
+    data = [(g, float(x)) for g, n in ((1, 900), (2, 3), (3, 1)) for x in rng.normal(size=n)]
+    got = {(r["g"], r["share"]): r["quantile"] for r in quantiles.exact_quantiles(frame(spark, data, "g INT, v DOUBLE"), "v", [0.25, 0.95], 100, "g").collect()}
+    assert got == {(g, s): pytest.approx(np.quantile([v for h, v in data if h == g], s)) for g in (1, 2, 3) for s in (0.25, 0.95)}
+
+
+def test_unseen_lists_of_users_who_saw_the_head(spark, monkeypatch):
+    monkeypatch.setattr(recommend, "HEAD", 3)
+    ranked = frame(spark, [(m, m + 1) for m in range(30)], "movie_id BIGINT, position BIGINT")
+    users = frame(spark, [(u,) for u in range(4)], "user_id BIGINT")
+    seen = frame(spark, [(1, m) for m in range(0, 20, 2)] + [(2, m) for m in range(12)] + [(3, 29)], "user_id BIGINT, movie_id BIGINT")
+    held = {u: {r["movie_id"] for r in seen.filter(F.col("user_id") == u).collect()} for u in range(4)}
+    got = recommend.recommend_unseen(ranked, users, seen, 4).orderBy("user_id", "rank").collect()
+    for u in range(4):
+        assert [r["movie_id"] for r in got if r["user_id"] == u] == [m for m in range(30) if m not in held[u]][:4]

@@ -237,12 +237,14 @@ def test_served_state_expires(spark, tmp_path):
         [(2, late, 2, ["b"], "v2", None)],
         [(3, late, 1, None, None, "a"), (4, late + timedelta(seconds=1), 2, None, None, "b")],
         [(5, late + timedelta(hours=3), 2, None, None, "x")],
+        [(6, late + timedelta(days=9), 3, ["c"], "v1", None)],
+        [(7, late + timedelta(days=9), 3, None, None, "c")],
     ]
     answers, _ = attribute_in_runs(spark, tmp_path, batches)
     got = {r["event_id"]: (r["model_version"], r["matched"]) for r in answers.collect()}
-    assert got == {3: ("unknown", False), 4: ("v2", True), 5: ("v2", False)}
+    assert got == {3: ("unknown", False), 4: ("v2", True), 5: ("v2", False), 7: ("v1", True)}
     state = spark.read.format("statestore").option("stateVarName", "served").load(f"{tmp_path}/mark")
-    assert [r["key"]["user_id"] for r in state.collect()] == [2]  # the list of user 1 is gone
+    assert [r["key"]["user_id"] for r in state.collect()] == [3]  # timers have ended the others
 
 
 def test_streamed_health_over_several_batches(spark, tmp_path):
