@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -80,6 +81,42 @@ def ingest_log(lines: DataFrame, existing: DataFrame, failed: DataFrame) -> dict
     return {"watch": watch, "ratings": latest_ratings(ratings, ["timestamp", "rating"])}
 
 
+def ingest_run(
+    messages: DataFrame, existing: DataFrame, failed: DataFrame, users: DataFrame, movies: DataFrame, folder: str
+) -> dict[str, DataFrame]:
+    """A whole ingest: collect, parse, enrich, ratings; each step is written under ``folder`` and read by the next.
+
+    ``users`` and ``movies`` are what the catalogue delivers for the new keys. A movie it does not
+    deliver is quarantined for later runs. A step whose table is there is not done again, so a run that
+    was cut short goes on where it stopped.
+    """
+    spark = messages.sparkSession
+
+    def step(name: str, rows) -> DataFrame:
+        path = f"{folder}/{name}"
+        try:
+            return spark.read.parquet(path)
+        except AnalysisException:  # not there, or begun and not finished
+            rows().write.mode("overwrite").parquet(path)
+            return spark.read.parquet(path)
+
+    lines = step("lines", lambda: parsing.decode_messages(messages).select("value"))
+    watch = step("watch", lambda: new_pairs(watch_aggregate(parsing.watch_events(lines)), existing, failed))
+    found_users = step("users", lambda: enrich_or_quarantine(watch, users, "user_id"))
+    found_movies = step("movies", lambda: enrich_or_quarantine(watch, movies, "movie_id"))
+    rated = step("ratings", lambda: latest_ratings(known_ratings(parsing.rating_events(lines), watch, watch), ["timestamp", "rating"]))
+    return {"lines": lines, "watch": watch, "users": found_users, "movies": found_movies, "ratings": rated}
+
+
+def run_summary(run: dict[str, DataFrame]) -> DataFrame:
+    """What an ingest run brought in: lines, users, movies, ratings, and the keys left in quarantine."""
+    count = lambda name, out: run[name].agg(F.count(F.lit(1)).alias(out))
+    held = [run[k].agg(F.count_if("quarantined").alias(f"quarantined_{k}")) for k in ("users", "movies")]
+    return report_row(
+        run["lines"].sparkSession, *(count(k, k) for k in ("lines", "users", "movies", "ratings")), *held
+    )
+
+
 def ingest_summary(watch: DataFrame) -> DataFrame:
     """How many users and movies an ingest run brought in."""
     users = watch.select("user_id").distinct().agg(F.count(F.lit(1)).alias("users"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -175,6 +177,28 @@ def ingest_ratings(v):
     return ingest.ingest_log(v.v_log, log_pairs(v), failed_movies(v))["ratings"]
 
 
+@query(
+    "ingest_run",
+    """SELECT (SELECT count(*) FROM v_log WHERE value IS NOT NULL AND value <> '') lines, (SELECT count(DISTINCT user_id) FROM w_new) users,
+       (SELECT count(DISTINCT movie_id) FROM w_new) movies,
+       (SELECT count(*) FROM (SELECT DISTINCT user_id, movie_id FROM p_rating WHERE user_id IN (SELECT user_id FROM w_new)
+          AND movie_id IN (SELECT movie_id FROM w_new))) ratings,
+       (SELECT count(*) FROM (SELECT DISTINCT user_id FROM w_new) WHERE user_id NOT IN (SELECT CAST(user_id AS VARCHAR) FROM v_users)) quarantined_users,
+       (SELECT count(*) FROM (SELECT DISTINCT movie_id FROM w_new) WHERE movie_id NOT IN (SELECT concat('m', movie_id) FROM v_movies
+          WHERE movie_id % 7 <> 0)) quarantined_movies""",
+    P_WATCH, W_AGG, W_NEW, P_RATING,
+)
+def ingest_run(v):
+    """Collect, parse, enrich and ratings in one run; its counts after a second, idle run."""
+    folder = scratch_path(v.spark, "ingest")
+    messages = v.v_log.select(F.col("value").cast("binary").alias("value"))
+    users = v.v_users.select(F.col("user_id").cast("string").alias("user_id"), "age", "gender")
+    movies = v.v_movies.filter("movie_id % 7 <> 0").select(movie_key().alias("movie_id"), "title")
+    inputs = (messages, log_pairs(v), failed_movies(v), users, movies, folder)
+    ingest.ingest_run(*inputs)
+    return ingest.run_summary(ingest.ingest_run(*inputs))
+
+
 RELEASE = "SELECT movie_id, substr(release_date, 1, 4) raw, TRY_CAST(substr(release_date, 1, 4) AS DOUBLE) number FROM v_movies"
 
 
@@ -273,43 +297,70 @@ def telemetry_recs(v: Views) -> DataFrame:
     "telemetry_append",
     """SELECT 'recommendations' kind, ts AS "timestamp", user_id, model_version, round(response_time, 6) AS measure FROM v_recs
        UNION ALL SELECT 'interactions', ts, user_id, NULL, NULL FROM v_inter
-       UNION ALL SELECT 'quality', ts, user_id, NULL, round(predicted, 6) FROM v_quality""",
+       UNION ALL SELECT 'quality', ts, user_id, NULL, round(predicted, 6) FROM v_quality
+       UNION ALL SELECT 'errors', ts, NULL, 'user ' || CAST(user_id AS VARCHAR), NULL FROM v_error
+       UNION ALL SELECT 'deployments', min(ts), NULL, model_version, NULL FROM v_recs GROUP BY model_version, CAST(ts AS DATE)""",
 )
 def telemetry_append(v):
+    """All five kinds of telemetry, appended to their tables and read back."""
     folder = scratch_path(v.spark, "telemetry")
     clicks = v.v_inter.select(F.col("ts").alias("timestamp"), "user_id", F.col("item_id").cast("string").alias("item_id"))
     quality = v.v_quality.select(F.col("ts").alias("timestamp"), "user_id", F.col("rating").cast("double").alias("rating"), "predicted")
-    paths = {
-        kind: sinks.append_telemetry(rows, folder, kind)
-        for kind, rows in (("recommendations", telemetry_recs(v)), ("interactions", clicks), ("quality", quality))
-    }
+    failed = v.v_error.select(
+        F.col("ts").alias("timestamp"), F.lit("request").alias("type"), F.concat(F.lit("user "), F.col("user_id").cast("string")).alias("message")
+    )
+    # A model version is deployed on the days it serves, with its first list.
+    deployed = v.v_recs.groupBy("model_version", F.to_date("ts")).agg(F.min("ts").alias("timestamp")).select(
+        "timestamp", F.col("model_version").alias("version"), F.lit("rating").alias("model_type")
+    )
+    tables = {"recommendations": telemetry_recs(v), "interactions": clicks, "quality": quality, "errors": failed, "deployments": deployed}
+    text = {"errors": "message", "deployments": "version"}
     measures = {"recommendations": "response_time", "interactions": "watch_time", "quality": "predicted"}
-    parts = [
-        v.spark.read.schema(f"{schemas.TELEMETRY[kind]}, day DATE").parquet(path).select(
-            F.lit(kind).alias("kind"), "timestamp", "user_id", "model_version", F.col(measures[kind]).alias("measure")
-        )
-        for kind, path in paths.items()
-    ]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    parts = []
+    for kind, rows in tables.items():
+        stored = v.spark.read.schema(f"{schemas.TELEMETRY[kind]}, day DATE").parquet(sinks.append_telemetry(rows, folder, kind))
+        user = F.col("user_id") if "user_id" in stored.columns else F.lit(None).cast("bigint")
+        measure = F.col(measures[kind]) if kind in measures else F.lit(None).cast("double")
+        parts.append(stored.select(
+            F.lit(kind).alias("kind"), "timestamp", user.alias("user_id"), F.col(text.get(kind, "model_version")).alias("model_version"), measure.alias("measure")
+        ))
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query(
     "telemetry_import",
     """SELECT ts AS "timestamp", CAST(user_id AS VARCHAR) user_id, CAST(unnest(items) AS VARCHAR) item, model_version,
-       round(response_time, 6) response_time FROM v_recs""",
+       round(response_time, 6) response_time FROM v_recs
+       UNION ALL SELECT ts, CAST(user_id AS VARCHAR), CAST(item_id AS VARCHAR), 'click', NULL FROM v_inter
+       UNION ALL SELECT ts, CAST(user_id AS VARCHAR), CAST(rating AS VARCHAR), 'quality', NULL FROM v_quality
+       UNION ALL SELECT ts, NULL, 'request', concat('user ', CAST(user_id AS VARCHAR)), NULL FROM v_error""",
 )
 def telemetry_import(v):
+    """Legacy documents with lists, interactions, ratings and errors, as tables."""
     path = scratch_path(v.spark, "telemetry-json")
-    served = F.struct(
-        F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp"),
-        F.col("user_id").cast("string").alias("user_id"), "items", "model_version",
-    )
-    document = F.to_json(F.struct(F.array(served).alias("recommendations"), F.array("response_time").alias("response_times")))
-    telemetry_recs(v).select(document.alias("value")).write.text(path)
+    stamp = F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp")
+    user = F.col("user_id").cast("string").alias("user_id")
+    served = F.struct(stamp, user, "items", "model_version")
+    documents = [
+        (telemetry_recs(v), [F.array(served).alias("recommendations"), F.array("response_time").alias("response_times")]),
+        (v.v_inter, [F.array(F.struct(stamp, user, F.col("item_id").cast("string").alias("item_id"), F.lit("click").alias("action_type"))).alias("user_interactions")]),
+        (v.v_quality, [F.array(F.struct(stamp, user, F.col("rating").cast("string").alias("rating"), "predicted")).alias("recommendation_quality")]),
+        (v.v_error, [F.array(F.struct(stamp, F.lit("request").alias("type"), F.concat(F.lit("user "), user).alias("message"))).alias("errors")]),
+    ]
+    for rows, arrays in documents:
+        timed = rows if "timestamp" in rows.columns else rows.withColumnRenamed("ts", "timestamp")
+        timed.select(F.to_json(F.struct(*arrays)).alias("value")).write.mode("append").text(path)
     tables = files.telemetry_document(v.spark, path, one_per_file=False)
-    return tables["recommendations"].select(
-        "timestamp", "user_id", F.explode("items").alias("item"), "model_version", "response_time"
+    none = F.lit(None).cast("double").alias("response_time")
+    lists = tables["recommendations"].select("timestamp", "user_id", F.explode("items").alias("item"), "model_version", "response_time")
+    clicks = tables["interactions"].select("timestamp", "user_id", F.col("item_id").alias("item"), F.col("action_type").alias("model_version"), none)
+    rated = tables["quality"].select(
+        "timestamp", "user_id", F.col("rating").cast("int").cast("string").alias("item"), F.lit("quality").alias("model_version"), none
+    )
+    failed = tables["errors"].select(
+        "timestamp", F.lit(None).cast("string").alias("user_id"), F.col("type").alias("item"), F.col("message").alias("model_version"), none
     )
+    return lists.unionByName(clicks).unionByName(rated).unionByName(failed)
 
 
 @query(

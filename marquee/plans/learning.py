@@ -18,6 +18,7 @@ from marquee.plans.registry import query
 from marquee.plans.views import Views
 from marquee.session import materialise, scratch_path
 from marquee.sources import registry, sinks
+from marquee.sources.files import file_listing
 
 N = 20
 PROFILE = ["age_bin", "occupation", "gender"]
@@ -33,7 +34,7 @@ LIKED = """liked AS (SELECT DISTINCT r.user_id, unnest(str_split(m.genres, ','))
   topn AS (SELECT user_id, movie_id, round(score, 6) score, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, movie_id) AS rank
     FROM genre_scores QUALIFY rank <= 20)"""
 LAST_RATINGS = """last_ratings AS (SELECT user_id, movie_id, rating FROM v_rating_big
-    QUALIFY row_number() OVER (PARTITION BY user_id, movie_id ORDER BY ts DESC, l_orderkey DESC, l_linenumber DESC) = 1),
+    QUALIFY row_number() OVER (PARTITION BY user_id, movie_id ORDER BY ts DESC, l_orderkey DESC, l_linenumber DESC, rating DESC) = 1),
   train_ratings AS (SELECT * FROM last_ratings WHERE user_id NOT IN (SELECT user_id FROM v_holdout))"""
 POSITIONS = """positions AS (SELECT movie_id, row_number() OVER (ORDER BY count(*) DESC, movie_id) AS "position"
   FROM v_rating_big GROUP BY 1)"""
@@ -189,7 +190,7 @@ def sample_fraction(v):
 
 def last_ratings(v: Views) -> DataFrame:
     """The newest rating of every user and movie."""
-    newest = [F.col(c).desc() for c in ("ts", "l_orderkey", "l_linenumber")]
+    newest = [F.col(c).desc() for c in ("ts", "l_orderkey", "l_linenumber", "rating")]
     return ranking.best_per_key(v.v_rating_big, ["user_id", "movie_id"], newest).select("user_id", "movie_id", "rating")
 
 
@@ -197,15 +198,23 @@ def training_ratings(v: Views) -> DataFrame:
     return features.exclude_holdout(last_ratings(v), v.v_holdout)
 
 
-TRAINED: dict[tuple[str, str, str], object] = {}
+#: (session, folder) -> the files' listing, and what was built from them.
+TRAINED: dict[tuple[str, str], tuple[str, dict[str, object]]] = {}
 
 
 def once(v: Views, kind: str, build):
-    """A model trained once in a session for a folder of tables; several queries use it."""
-    key = (v.spark.sparkContext.applicationId, v.folder, kind)
-    if key not in TRAINED:
-        TRAINED[key] = build()
-    return TRAINED[key]
+    """A model trained once in a session for the files of a folder; several queries use it.
+
+    Tables that are written anew have other files, so their models are trained anew; those of the
+    files before are forgotten.
+    """
+    place, files = (v.spark.sparkContext.applicationId, v.folder), file_listing(v.spark, v.folder)
+    if TRAINED.get(place, ("", {}))[0] != files:
+        TRAINED[place] = (files, {})
+    built = TRAINED[place][1]
+    if kind not in built:
+        built[kind] = build()
+    return built[kind]
 
 
 def explicit(v: Views) -> factors.Factors:

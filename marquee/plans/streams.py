@@ -10,7 +10,7 @@ from marquee.plans.ingest import P_RATING
 from marquee.plans.online import ATTRIBUTED, N_BOUNDS, _quantile_sql
 from marquee.plans.registry import query
 from marquee.plans.views import Views
-from marquee.session import scratch_path
+from marquee.session import materialise, scratch_path
 from marquee.sources.streams import parquet_stream
 from marquee.streaming import attribution, counters, ingest
 
@@ -109,6 +109,7 @@ def health_events(v: Views) -> DataFrame:
     rated, served = F.col("event_type") == "purchase", F.col("event_type") == "view"
     return v.v_event.select(
         "ts", "user_id", kind.alias("kind"),
+        F.when(served, F.array(*[((F.col("item") + d) % 100) for d in (0, 7, 13)])).alias("items"),
         F.when(rated, 1 + F.floor(value).cast("int") % 5).alias("rating"),
         F.when(rated, F.least(F.lit(5.0), F.greatest(F.lit(1.0), value / 20))).alias("predicted"),
         F.when(served, value / 100).alias("response_time"),
@@ -144,7 +145,34 @@ HOURLY = f"""hourly AS (SELECT time_bucket(INTERVAL 1 HOUR, ts) h, count(*) FILT
     HOURLY,
 )
 def stream_online_metrics(v):
+    exact = ["num_recommendations", "num_errors", "p95_response_time", "error_rate"]
+    return streamed_health(v).select("window_end_hour", *exact, F.round("response_time_sum", 4).alias("response_time_sum"))
+
+
+def streamed_health(v: Views) -> DataFrame:
     out = scratch_path(v.spark, "hourly")
     counters.hourly_health(health_events(live(v)), out, checkpoint(v))
-    health = counters.sliding_health(v.spark, out).drop("avg_response_time")
-    return health.withColumn("response_time_sum", F.round("response_time_sum", 4))
+    return counters.sliding_health(v.spark, out)
+
+
+@query("stream_online_coverage", "SELECT h window_end_hour, true users, true items, true latency FROM sliding", HOURLY)
+def stream_online_coverage(v):
+    """Whether the sketched figures of every window lie within their stated errors of the exact ones."""
+    recent = v.v_recs.select(F.date_trunc("hour", "ts").alias("hour"), "user_id", "items", "response_time")
+    found = materialise(streamed_health(v), "sketched").select("window_end_hour", "user_coverage", "item_coverage", "p95_sketched")
+    ends = F.transform(F.sequence(F.lit(0), F.lit(23)), lambda k: F.timestamp_seconds(F.unix_seconds("hour") + k * 3600))
+    rows = materialise(recent.withColumn("window_end_hour", F.explode(ends)).drop("hour"), "windows")
+    users = rows.groupBy("window_end_hour").agg(F.count_distinct("user_id").alias("n_users"))
+    items = rows.select("window_end_hour", F.explode("items").alias("item")).groupBy("window_end_hour").agg(F.count_distinct("item").alias("n_items"))
+    met = found.join(users, "window_end_hour", "left").join(items, "window_end_hour", "left")
+    near = lambda estimate, exact: F.abs(estimate - F.coalesce(exact, F.lit(0))) <= 0.1 * F.coalesce(exact, F.lit(0))
+    # The rank of the sketched quantile among the window's response times.
+    below = rows.join(found, "window_end_hour").groupBy("window_end_hour").agg(
+        (F.count_if(F.col("response_time") <= F.col("p95_sketched")) / F.count(F.lit(1))).alias("rank"),
+        (F.lit(1) / F.count(F.lit(1))).alias("one"),
+    )
+    met = met.join(below, "window_end_hour", "left")
+    return met.select(
+        "window_end_hour", near(F.col("user_coverage"), F.col("n_users")).alias("users"), near(F.col("item_coverage"), F.col("n_items")).alias("items"),
+        F.coalesce(F.abs(F.col("rank") - 0.95) <= 0.03 + F.col("one"), F.lit(True)).alias("latency"),
+    )

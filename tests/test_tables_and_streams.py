@@ -247,21 +247,38 @@ def test_served_state_expires(spark, tmp_path):
     assert [r["key"]["user_id"] for r in state.collect()] == [3]  # timers have ended the others
 
 
+HEALTH = "ts TIMESTAMP, kind STRING, user_id BIGINT, items ARRAY<STRING>, response_time DOUBLE, rating INT, predicted DOUBLE"
+
+
 def test_streamed_health_over_several_batches(spark, tmp_path):
-    schema = "ts TIMESTAMP, kind STRING, response_time DOUBLE, rating INT, predicted DOUBLE"
     source, out, totals = (str(tmp_path / n) for n in ("in", "out", "totals"))
-    data = [(START + timedelta(minutes=25 * i), "served" if i % 3 else "error", 0.2 if i % 3 else None, None, None) for i in range(12)]
-    data += [(START, "rating", None, 4, 3.0)]
-    for p in range(2):
-        spark.createDataFrame(data[p::2], schema).coalesce(1).write.parquet(f"{source}/part{p}")
-    stream = lambda: streams.parquet_stream(spark, f"{source}/part*", schema, files_per_batch=1)
-    counters.hourly_health(stream(), out, str(tmp_path / "mark1"), late="1 day")
+    data = [
+        (START + timedelta(minutes=25 * i), "served" if i % 3 else "error", i % 2, ["a", f"i{i}"] if i % 3 else None, 0.2 if i % 3 else None, None, None)
+        for i in range(12)
+    ]
+    data += [(START, "rating", 1, None, None, 4, 3.0)]
+    for p in range(2):  # the second part is hours late for its windows
+        spark.createDataFrame(data[p::2], HEALTH).coalesce(1).write.parquet(f"{source}/part{p}")
+    stream = lambda: streams.parquet_stream(spark, f"{source}/part*", HEALTH, files_per_batch=1)
+    counters.hourly_health(stream(), out, str(tmp_path / "mark1"))
     last = counters.sliding_health(spark, out, 24).orderBy(F.desc("window_end_hour")).first()
     assert (last["num_recommendations"], last["num_errors"]) == (8, 4) and last["avg_response_time"] == pytest.approx(0.2)
+    assert (last["user_coverage"], last["item_coverage"], last["p95_sketched"]) == (2, 9, 0.2)
+    counters.compact_hours(spark, out, str(tmp_path / "compact"))
+    again = counters.sliding_health(spark, str(tmp_path / "compact"), 24).orderBy(F.desc("window_end_hour")).first()
+    assert again == last
     counters.running_counters(stream(), totals, str(tmp_path / "mark2"))
     assert tuple(counters.latest_totals(spark, totals).first()) == (8, 4, 1, 1.0, 1.0)
 
 
+def test_late_events_join_their_hour(spark, tmp_path):
+    source, out, mark = (str(tmp_path / n) for n in ("in", "out", "mark"))
+    for p, at in enumerate((START + timedelta(days=40), START)):  # forty days late
+        spark.createDataFrame([(at, "served", p, ["a"], 1.0, None, None)], HEALTH).coalesce(1).write.parquet(f"{source}/part{p}")
+        counters.hourly_health(streams.parquet_stream(spark, f"{source}/part*", HEALTH, files_per_batch=1), out, mark)
+    assert counters.sliding_health(spark, out).agg(F.sum("num_recommendations")).first()[0] == 2
+
+
 def test_collected_lines(spark, tmp_path, rows):
     source, out = str(tmp_path / "in"), str(tmp_path / "out")
     spark.createDataFrame([(b"hi",), (b"\xff",), (b"",)], "value BINARY").coalesce(1).write.parquet(f"{source}/part0")
