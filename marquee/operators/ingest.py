@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,6 +11,7 @@ from marquee.functions import parsing
 from marquee.operators.ranking import last_per_key
 from marquee.operators.summary import report_row
 from marquee.session import materialise
+from marquee.sources.files import step_table
 
 PAIR = ["user_id", "movie_id"]
 
@@ -93,12 +93,7 @@ def ingest_run(
     spark = messages.sparkSession
 
     def step(name: str, rows) -> DataFrame:
-        path = f"{folder}/{name}"
-        try:
-            return spark.read.parquet(path)
-        except AnalysisException:  # not there, or begun and not finished
-            rows().write.mode("overwrite").parquet(path)
-            return spark.read.parquet(path)
+        return step_table(spark, f"{folder}/{name}", rows)
 
     lines = step("lines", lambda: parsing.decode_messages(messages).select("value"))
     watch = step("watch", lambda: new_pairs(watch_aggregate(parsing.watch_events(lines)), existing, failed))

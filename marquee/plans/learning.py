@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 
 from marquee import schemas
 from marquee.functions import scalars as S
-from marquee.operators import factors, features, metrics, models, offline, ranking, recommend, similarity
+from marquee.operators import factors, features, metrics, models, offline, ranking, recommend, refresh, retrain, similarity
 from marquee.plans.features import DURATION, LAST_YEAR, feature_rows, index_of, watch_with_duration
 from marquee.plans.ingest import P_WATCH, W_AGG
-from marquee.plans.offline import TOTALS, totals_of
+from marquee.plans.offline import EARLIER, REFRESH, TOTALS, stats_of, totals_of
 from marquee.plans.registry import query
 from marquee.plans.views import Views
 from marquee.session import materialise, scratch_path
@@ -415,13 +415,17 @@ def stored_model(v: Views) -> str:
     return once(v, "stored", build)
 
 
-def evaluated(v: Views) -> DataFrame:
-    """Evaluate the stored model on the holdout users, and record it in the registries."""
+def evaluation_of(v: Views, path: str) -> DataFrame:
+    """Figures of a stored model on the ratings of the holdout users."""
     held = last_ratings(v).join(v.v_holdout, "user_id", "left_semi")
     rows = materialise(feature_rows(v, held), "holdout")
+    return models.evaluate(models.load_model(path), rows, [c for c in rows.columns if c != "rating"])
+
+
+def evaluated(v: Views) -> DataFrame:
+    """Evaluate the stored model on the holdout users, and record it in the registries."""
     path = stored_model(v)
-    expected = [c for c in rows.columns if c != "rating"]
-    result = models.evaluate(models.load_model(path), rows, expected)
+    result = evaluation_of(v, path)
     folder = scratch_path(v.spark, "registry")
     trained = registry.register_candidate(
         v.spark, folder,
@@ -515,3 +519,29 @@ def recommend_embedded(v):
         {"exp_user": features.mean_vector(exp.users, "features"), "has_exp_user": F.lit(0)}
     )
     return lists_by_model(v, materialise(rows.drop("age"), "training"), side)
+
+
+@query("ranking_model")
+def ranking_model(v):
+    """The boosted-tree ranker judged like the other rankers."""
+    truth = v.v_inter.select("user_id", F.col("item_id").alias("movie_id"))
+    return metrics.ranking_metrics(batch_lists(v), truth, N)
+
+
+@query(
+    "retrain_run",
+    """SELECT NOT (n.users - o.users < 50 AND n.interactions - o.interactions < 100) retrain, 'reject' decision, 0::BIGINT moved, true repeated
+       FROM now_stats n, old_stats o""",
+    REFRESH,
+)
+def retrain_run(v):
+    """From the gate to the promotion, taken up twice; ratings without a pattern cannot beat the incumbents."""
+    folder = scratch_path(v.spark, "retrain")
+    states = refresh.retrain_state(stats_of(v, EARLIER[-1]), F.lit("2024-01-02 00:00:00").cast("timestamp"))
+    incumbents = metrics.regression_metrics(v.v_scored, "model").filter("model <> 'candidate'")
+    stages = v.spark.createDataFrame([("v1", "old-v1"), ("v2", "old-v2")], "stage STRING, model_version STRING")
+    steps = (folder, stats_of(v), states, lambda: stored_model(v), lambda path: evaluation_of(v, path), incumbents, stages)
+    first, again = (retrain.retrain_run(*steps) for _ in range(2))
+    same = first["model"].first() == again["model"].first() and first["state"].first() == again["state"].first()
+    moved = again["stages"].agg(F.count(F.lit(1)).alias("moved")).scalar()
+    return again["gate"].select("retrain", again["decision"].select("decision").scalar().alias("decision"), moved.alias("moved"), F.lit(same).alias("repeated"))

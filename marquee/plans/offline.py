@@ -157,7 +157,7 @@ def error_rate_total(v):
     return offline.error_ratio(v.v_error, v.v_recs)
 
 
-def _stats(v: Views, share: float | None = None) -> DataFrame:
+def stats_of(v: Views, share: float | None = None) -> DataFrame:
     """Statistics of all events, or of those before the day that ends the first ``share`` of the days."""
     events = v.v_event
     if share is not None:
@@ -172,8 +172,8 @@ def _stats(v: Views, share: float | None = None) -> DataFrame:
 
 
 @query("refresh_stats", "SELECT * FROM now_stats", REFRESH)
-def refresh_stats(v):
-    return _stats(v)
+def refreshstats_of(v):
+    return stats_of(v)
 
 
 @query(
@@ -184,10 +184,10 @@ def refresh_stats(v):
 )
 def refresh_delta(v):
     path = scratch_path(v.spark, "reports")
-    for stats, at in ((_stats(v, share), f"2024-01-0{k} 00:00:00") for k, share in enumerate(EARLIER, 1)):
+    for stats, at in ((stats_of(v, share), f"2024-01-0{k} 00:00:00") for k, share in enumerate(EARLIER, 1)):
         sinks.append_table(stats.withColumn("timestamp", F.lit(at).cast("timestamp")), path, schemas.REFRESH_REPORT)
     stored = v.spark.read.schema(schemas.REFRESH_REPORT).parquet(path)
-    return refresh.refresh_delta(_stats(v), refresh.latest_report(stored))
+    return refresh.refresh_delta(stats_of(v), refresh.latest_report(stored))
 
 
 @query(
@@ -199,7 +199,7 @@ def refresh_delta(v):
 def retrain_gate(v):
     path = scratch_path(v.spark, "retrain-state")
     for k, share in enumerate(EARLIER, 1):
-        state = refresh.retrain_state(_stats(v, share), F.lit(f"2024-01-0{k} 00:00:00").cast("timestamp"))
+        state = refresh.retrain_state(stats_of(v, share), F.lit(f"2024-01-0{k} 00:00:00").cast("timestamp"))
         sinks.append_table(state, path, schemas.RETRAIN_STATE)
     stored = v.spark.read.schema(schemas.RETRAIN_STATE).parquet(path)
-    return rollout.retrain_gate(_stats(v), refresh.latest_state(stored))
+    return rollout.retrain_gate(stats_of(v), refresh.latest_state(stored))

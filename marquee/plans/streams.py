@@ -20,23 +20,34 @@ PART_SQL = f"""spanned AS (SELECT min(epoch_us(ts)) lo, max(epoch_us(ts)) hi FRO
   parted AS (SELECT e.*, coalesce((epoch_us(e.ts) - lo) * {PARTS} // (hi - lo + 1), {PARTS}) part FROM v_event e, spanned)"""
 
 
-def live(v: Views) -> Views:
-    """The adapter views over the events as a stream of PARTS micro-batches, each a stretch of time.
-
-    Events without a time follow in a part of their own. Every part is written by many tasks into as many
-    files, and a micro-batch takes that number of files.
-    """
-    folder = scratch_path(v.spark, "event-parts")
+def fed(v: Views, folder: str, parts: range) -> None:
+    """Write some of the PARTS + 1 stretches of the events, one after the other, each by many tasks."""
     at = F.unix_micros(F.col("ts").cast("timestamp"))
     span = v.events.agg(F.struct(F.min(at).alias("lo"), F.max(at).alias("hi")).alias("s")).scalar()
     part = F.coalesce(F.floor((at - span["lo"]) * PARTS / (span["hi"] - span["lo"] + 1)), F.lit(PARTS))
-    tasks = max(1, v.events.rdd.getNumPartitions() // PARTS)
-    for k in range(PARTS + 1):  # one after the other: the file source reads in the order of writing
+    for k in parts:  # the file source reads in the order of writing
         rows = v.events.filter(part == k)
         if k < PARTS or not rows.isEmpty():
-            rows.repartition(tasks).write.parquet(f"{folder}/part={k}")
-    stream = parquet_stream(v.spark, f"{folder}/*", v.events.schema, files_per_batch=tasks)
-    return Views(v.spark, v.folder, events=stream)
+            rows.repartition(feed_tasks(v)).write.parquet(f"{folder}/part={k}")
+
+
+def feed_tasks(v: Views) -> int:
+    return max(1, v.events.rdd.getNumPartitions() // PARTS)
+
+
+def stream_of(v: Views, folder: str) -> Views:
+    """The adapter views over a folder of parts; a micro-batch takes the files of one part."""
+    return Views(v.spark, v.folder, events=parquet_stream(v.spark, f"{folder}/*", v.events.schema, files_per_batch=feed_tasks(v)))
+
+
+def live(v: Views) -> Views:
+    """The adapter views over the events as a stream of PARTS micro-batches, each a stretch of time.
+
+    Events without a time follow in a part of their own.
+    """
+    folder = scratch_path(v.spark, "event-parts")
+    fed(v, folder, range(PARTS + 1))
+    return stream_of(v, folder)
 
 
 def checkpoint(v: Views) -> str:
@@ -51,6 +62,24 @@ def stream_ingest(v):
     return v.spark.read.schema("value STRING").parquet(out)
 
 
+@query(
+    "stream_lag",
+    f"""SELECT 'raw-log' query, (SELECT count(*) FROM v_event) produced, count(*) consumed,
+        (SELECT count(*) FROM v_event) - count(*) lag FROM parted WHERE part < {PARTS // 2}""",
+    PART_SQL,
+)
+def stream_lag(v):
+    """What the raw log's query has not read yet when half of the parts came after its run."""
+    folder, progress = scratch_path(v.spark, "event-parts"), scratch_path(v.spark, "progress")
+    fed(v, folder, range(PARTS // 2))
+    messages = stream_of(v, folder).v_log.select(F.col("value").cast("binary").alias("value"))
+    run = ingest.collect_lines(messages, scratch_path(v.spark, "raw-log"), checkpoint(v))
+    ingest.append_progress(run, "raw-log", progress)
+    fed(v, folder, range(PARTS // 2, PARTS + 1))
+    produced = v.spark.read.schema(v.events.schema).parquet(f"{folder}/*").agg(F.count(F.lit(1)).alias("produced"))
+    return ingest.consumer_lag(v.spark, progress, produced.withColumn("query", F.lit("raw-log")))
+
+
 @query(
     "stream_watch",
     """SELECT concat('', CAST(user_id AS VARCHAR)) user_id, concat('m', CAST(item AS VARCHAR)) movie_id,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +12,10 @@ from marquee import schemas
 from marquee.functions.parsing import flatten_movies
 
 
+#: Bytes up to which a file is hashed as one row.
+LARGE_FILE = 1 << 30
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -36,6 +42,17 @@ def optional_table(spark: SparkSession, path: str, schema: str, kind: str = "par
         return spark.createDataFrame([], schema)
 
 
+def step_table(spark: SparkSession, path: str, rows: Callable[[], DataFrame]) -> DataFrame:
+    """The table at ``path``; it is made of ``rows`` first, if no earlier run has finished it."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as error:  # not there, or begun and not finished
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        rows().write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
+
+
 def movie_documents(spark: SparkSession, folder: str, one_per_file: bool = True) -> DataFrame:
     """Flat movie rows from a folder of JSON documents; an empty folder is an error."""
     try:
@@ -84,11 +101,31 @@ def file_listing(spark: SparkSession, path: str) -> str:
 
 
 def file_fingerprints(spark: SparkSession, path: str) -> DataFrame:
-    """SHA-256 of every file under ``path``; a single row 'unknown' when there is none."""
+    """SHA-256 of every file under ``path``; a single row 'unknown' when there is none.
+
+    Files are hashed in tasks, a file a row. One of more than LARGE_FILE bytes, too long for a row, is
+    read as a stream through the file system of its path, in constant memory, one file after another.
+    """
     try:
         files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-        return files.select("path", F.sha2("content", 256).alias("file_hash"))
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.range(1).select(F.lit(path).alias("path"), F.lit("unknown").alias("file_hash"))
+    hashed = files.filter(F.col("length") <= LARGE_FILE).select("path", F.sha2("content", 256).alias("file_hash"))
+    large = files.filter(F.col("length") > LARGE_FILE).select("path")
+    if large.isEmpty():
+        return hashed
+    streamed = [(r["path"], _streamed_hash(spark, r["path"])) for r in large.toLocalIterator()]
+    return hashed.unionByName(spark.createDataFrame(streamed, "path STRING, file_hash STRING"))
+
+
+def _streamed_hash(spark: SparkSession, path: str) -> str:
+    """SHA-256 of one file, read by the JVM a buffer at a time."""
+    jvm = spark.sparkContext._jvm
+    file = jvm.org.apache.hadoop.fs.Path(path)
+    stream = file.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(file)
+    try:
+        return jvm.org.apache.commons.codec.digest.DigestUtils.sha256Hex(stream)
+    finally:
+        stream.close()

@@ -18,12 +18,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
-from marquee.streaming.ingest import run_available
+from marquee.streaming.ingest import ROCKSDB, run_available
 
 # Ship the processor inside the tasks, so executors need no copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 STATE = """lists ARRAY<STRUCT<at: BIGINT, id: BIGINT, items: ARRAY<STRING>, model: STRING>>,
   clicks ARRAY<STRUCT<at: BIGINT, id: BIGINT, item: STRING, list_at: BIGINT, list_id: BIGINT>>, timer BIGINT"""
 ANSWER = "event_id BIGINT, served_event BIGINT, model_version STRING, matched BOOLEAN"

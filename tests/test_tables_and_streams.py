@@ -1,6 +1,8 @@
+import hashlib
 import json
 import random
 from datetime import datetime, timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,7 +10,7 @@ from pyspark.sql import functions as F
 from marquee import schemas
 from marquee.operators.ingest import latest_ratings, watch_aggregate
 from marquee.functions import parsing
-from marquee.operators import models, online
+from marquee.operators import models, online, retrain
 from marquee.sources import files, registry, sinks, streams
 from marquee.streaming import attribution, counters, ingest
 
@@ -111,6 +113,66 @@ def test_file_fingerprint(spark, tmp_path):
     assert files.file_fingerprints(spark, str(tmp_path / "none")).first()["file_hash"] == "unknown"
 
 
+def test_large_files_are_hashed_as_streams(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(files, "LARGE_FILE", 1000)
+    contents = {"small": b"x" * 1000, "large": bytes(range(256)) * 50, "larger": b"y" * 100_000}
+    for name, content in contents.items():
+        (tmp_path / name).write_bytes(content)
+    found = {r["path"].rsplit("/", 1)[1]: r["file_hash"] for r in files.file_fingerprints(spark, str(tmp_path)).collect()}
+    assert found == {name: hashlib.sha256(content).hexdigest() for name, content in contents.items()}
+
+
+def test_hash_of_three_gigabytes(spark, tmp_path):
+    with (tmp_path / "zeros").open("wb") as file:
+        file.truncate(3 << 30)  # takes no room on disk
+    digest = hashlib.sha256()
+    for _ in range(3 << 10):
+        digest.update(bytes(1 << 20))
+    assert files.file_fingerprints(spark, str(tmp_path / "zeros")).first()["file_hash"] == digest.hexdigest()
+
+
+def test_retraining_goes_on_where_it_stopped(spark, tmp_path):
+    stats = spark.createDataFrame([(500, 40, 900, 80)], "users BIGINT, movies BIGINT, interactions BIGINT, ratings BIGINT")
+    states = spark.createDataFrame([], schemas.RETRAIN_STATE)
+    incumbents = spark.createDataFrame([("v1", 0.9), ("v2", 0.8)], "model STRING, rmse DOUBLE")
+    stages = spark.createDataFrame([("v1", "a"), ("v2", "b")], "stage STRING, model_version STRING")
+    calls = []
+
+    def train():
+        calls.append("train")
+        return "models/new"
+
+    def broken(path):
+        raise RuntimeError("lost")
+
+    def evaluate(path):
+        calls.append(path)
+        return spark.createDataFrame([(0.7,)], "rmse DOUBLE")
+
+    with pytest.raises(RuntimeError):
+        retrain.retrain_run(str(tmp_path / "run"), stats, states, train, broken, incumbents, stages)
+    for _ in range(2):
+        done = retrain.retrain_run(str(tmp_path / "run"), stats, states, train, evaluate, incumbents, stages)
+    assert calls == ["train", "models/new"] and done["decision"].first()["decision"] == "promote_v2"
+    assert sorted((r["stage"], r["model_version"]) for r in done["stages"].collect()) == [("v1", "b"), ("v2", "models/new")]
+    idle = retrain.retrain_run(str(tmp_path / "next"), stats, done["state"], train, evaluate, incumbents, stages)
+    assert list(idle) == ["gate"] and calls == ["train", "models/new"]
+
+
+def test_watch_stream_reads_only_its_own_batch(spark, tmp_path, rows):
+    source, out, mark = (str(tmp_path / n) for n in ("in", "out", "mark"))
+    failed = spark.createDataFrame([], "movie_id STRING")
+    parts = log_parts(4, 30, seed=5)
+    for n, part in enumerate(parts):
+        write_part(spark, source, n, part)
+        ingest.collect_watch_pairs(line_stream(spark, source), out, mark, failed)
+        if n == 1:  # what is stored is not read again: without it the stream still knows its pairs
+            known = rows(ingest.watch_table(spark, out))
+            Path(out).rename(tmp_path / "moved")
+    later = {r[:2] for r in rows(ingest.watch_table(spark, out))}
+    assert not later & {r[:2] for r in known} and later
+
+
 def test_latest_params(spark):
     empty = spark.createDataFrame([], schemas.TUNING_RESULTS)
     assert models.latest_params(empty) == models.DEFAULT_PARAMS
