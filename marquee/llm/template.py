@@ -1,31 +1,36 @@
 """Main text of web pages by equivalence-class template deduction.
 
-Tokens of a page are its elements' paths and its text blocks in their place. Tokens of a site with the
-same occurrence vector (so many times in each page) form a class; classes that occur in enough of the
-site's pages and hold an element path are its template, nested by their paths. Text in a class with
-element paths is template text; everything else fills slots. The site's content slot is the deepest
-template element that holds most of the running text, or its article element; the blocks in it, save
-template text and marked regions, are the main text. Pages of sites too small for that are judged alone.
+Tokens of a page are its elements' paths and its text blocks in their place; containers of one name under
+one parent are told apart by their order. Tokens of a site with the same occurrence vector (so many times
+in each page) form a class; classes that occur in enough of the site's pages and hold an element path are
+its template, nested by their paths. Text in a class with element paths is template text; everything else
+fills slots. The site's content slot is the deepest template element that holds most of the running text;
+an article element among them ends the search. The blocks in the slot, save template text and marked
+regions, are the main text. Pages of sites too small for that are judged alone.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from hashlib import blake2b
 from html import unescape
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.tables import prepared, small
+from marquee.llm.tables import prepared
 from marquee.session import materialise
 
 #: A class counts from so many pages on, and from this share of its site's pages.
 MIN_PAGES, MIN_SHARE = 8, 0.5
 #: The content slot holds this share of a site's running text.
 CONTENT_SHARE = 0.6
-SMALL_ROWS = 300_000
+#: A page of whose slot so much of the text stands on most pages is a near copy, not mostly template.
+COPY_SHARE = 0.5
+#: Bytes of slots and template text of all sites up to which they are broadcast.
+SMALL_BYTES = 32 << 20
 
 #: Elements of the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -62,6 +67,9 @@ WHOLE = frozenset("html body article main".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 ARTICLE_ROLES = frozenset({"main", "article"})
 ARTICLES = ("article", "main")
+#: Stands before the number of a container; class names, split at blanks, hold none.
+ORDINAL = " "
+NUMBERED = re.compile(rf"{ORDINAL}\d+$")
 #: Elements that can be a content slot; the others are single blocks or parts of one.
 CONTAINERS = (*ARTICLES, "body", "center", "div", "section", "td")
 
@@ -80,10 +88,18 @@ SITE = r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)"
 class Node:
     """An open element: its path, and whether the path lies in a region that is not the article."""
 
-    __slots__ = ("tag", "path", "out", "main", "link", "block")
+    __slots__ = ("tag", "path", "out", "main", "link", "block", "held")
 
     def __init__(self, tag: str, path: str, out: bool, main: bool, link: bool, block: bool):
         self.tag, self.path, self.out, self.main, self.link, self.block = tag, path, out, main, link, block
+        self.held: dict[str, int] = {}
+
+    def named(self, name: str, tag: str) -> str:
+        """The path of a child; containers of one name are numbered from the second on."""
+        if tag not in CONTAINERS:
+            return f"{self.path}/{name}"
+        self.held[name] = self.held.get(name, 0) + 1
+        return f"{self.path}/{name}" if self.held[name] == 1 else f"{self.path}/{name}{ORDINAL}{self.held[name]}"
 
 
 def marked(label: str, main: bool) -> bool:
@@ -106,7 +122,7 @@ def opened(tag: str, attributes: str, above: Node) -> Node:
     if tag not in BLOCK:
         return Node(tag, above.path, out, main, above.link or tag == "a", False)
     mark = "." + ".".join(sorted(NUMBER.sub("0", label.lower()).split())) if label.strip() else ""
-    return Node(tag, f"{above.path}/{tag}{mark}", out, main, above.link, True)
+    return Node(tag, above.named(f"{tag}{mark}", tag), out, main, above.link, True)
 
 
 def parsed(html: str) -> tuple[list[str], list[tuple[str, str, bool, bool, int]]]:
@@ -201,11 +217,12 @@ def parsed(html: str) -> tuple[list[str], list[tuple[str, str, bool, bool, int]]
 def ancestors(path: str) -> list[str]:
     """The containers among the paths from the root to ``path``."""
     parts = path.split("/")[1:]
-    return ["/" + "/".join(parts[: k + 1]) for k in range(len(parts)) if parts[k].split(".")[0] in CONTAINERS]
+    return ["/" + "/".join(parts[: k + 1]) for k in range(len(parts)) if _tag(parts[k]) in CONTAINERS]
 
 
 def text_token(path: str, text: str) -> str:
-    return f"{path}\t{text}"
+    """A text in its place, by 128 bits of a hash: texts of any length are tokens of one size."""
+    return blake2b(f"{path}\t{text}".encode("utf-8", "surrogatepass"), digest_size=16).hexdigest()
 
 
 def best_container(chars: dict[str, int], total: int, main: set[str]) -> str:
@@ -219,7 +236,7 @@ def best_container(chars: dict[str, int], total: int, main: set[str]) -> str:
 
 
 def _tag(path: str) -> str:
-    return path.rsplit("/", 1)[-1].split(".")[0]
+    return path.rsplit("/", 1)[-1].split(".")[0].split(ORDINAL)[0]
 
 
 def _is_main(path: str) -> bool:
@@ -242,7 +259,8 @@ def page_containers(blocks) -> tuple[dict[str, int], int]:
 def main_text(blocks, root: str, template: frozenset[str] | set[str] = frozenset()) -> str:
     """Blocks of the content slot in page order, one to a line.
 
-    Blocks of an article or main element stay, however many pages share them: near copies of an article do.
+    Blocks of an article or main element stay, however many pages share them, and so do all blocks where
+    COPY_SHARE of the slot would go: near copies of an article share most of it.
     """
     above = root.rsplit("/", 1)[0]
     title = "" if _is_main(root) or _tag(above) in WHOLE else above  # headings beside the slot belong to it
@@ -252,7 +270,18 @@ def main_text(blocks, root: str, template: frozenset[str] | set[str] = frozenset
 
     inside = [b for b in blocks if not b[2] and held(b[0])]
     own = [b for b in inside if b[3] or text_token(b[0], b[1]) not in template] if template else inside
-    return "\n".join(b[1] for b in (own or inside))
+    copied = sum(len(b[1]) for b in own) <= (1 - COPY_SHARE) * sum(len(b[1]) for b in inside)
+    return "\n".join(b[1] for b in (inside if copied else own))
+
+
+def slot_of(root: str, usual: int, held: dict[str, int]) -> str | None:
+    """A site's slot on one page: the template's own place, or, where the page has more or fewer containers
+    of the slot's name beside it than ``usual``, the one that holds most running text; None without any."""
+    family = NUMBERED.sub("", root)
+    alike = [p for p in held if NUMBERED.sub("", p) == family]
+    if root in held and len(alike) == usual:
+        return root
+    return max(alike, key=lambda p: (held[p], p == root, p), default=None)
 
 
 def page_root(blocks) -> str:
@@ -316,11 +345,14 @@ def templates(pages: DataFrame) -> DataFrame:
     )
     top = F.aggregate("containers", F.lit(0).cast("bigint"), lambda most, x: F.greatest(most, x["chars"]))
     last = lambda x: F.element_at(F.split(x["path"], "/"), -1)
-    articles = F.filter("containers", lambda x: last(x).rlike(rf"^({'|'.join(ARTICLES)})(\.|$)"))
-    deep = F.filter("containers", lambda x: (x["chars"] >= CONTENT_SHARE * F.col("_top")) & last(x).rlike(rf"^({'|'.join(CONTAINERS)})(\.|$)"))
+    articles = F.filter("containers", lambda x: last(x).rlike(rf"^({'|'.join(ARTICLES)})([.{ORDINAL}]|$)"))
+    deep = F.filter("containers", lambda x: (x["chars"] >= CONTENT_SHARE * F.col("_top")) & last(x).rlike(rf"^({'|'.join(CONTAINERS)})([.{ORDINAL}]|$)"))
     best_article = F.array_max(F.transform(articles, lambda x: F.struct(x["chars"].alias("a"), (-F.size(F.split(x["path"], "/"))).alias("b"), x["path"].alias("path"))))
     best_deep = F.array_max(F.transform(deep, lambda x: F.struct(F.size(F.split(x["path"], "/")).alias("a"), x["chars"].alias("b"), x["path"].alias("path"))))
-    roots = containers.withColumn("_top", top).select("site", F.coalesce(best_article["path"], best_deep["path"]).alias("root"))
+    roots = containers.withColumn("_top", top).select("site", "containers", F.coalesce(best_article["path"], best_deep["path"]).alias("root"))
+    family = lambda path: F.regexp_replace(path, NUMBERED.pattern, "")
+    alike = F.filter("containers", lambda x: family(x["path"]) == family(F.col("root")))
+    roots = roots.select("site", "root", F.size(alike).alias("usual"))
     fixed = found.where(~F.col("is_path")).join(roots, "site").where(
         (F.col("path") == F.col("root")) | F.col("path").startswith(F.concat("root", F.lit("/")))
     )
@@ -330,12 +362,14 @@ def templates(pages: DataFrame) -> DataFrame:
 
 def _extract(batches) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        html, roots, fixed = (batch.column(k).to_pylist() for k in range(2, 5))
+        html, roots, sizes, fixed = (batch.column(k).to_pylist() for k in range(2, 6))
         out = []
-        for page, root, tokens in zip(html, roots, fixed):
+        for page, root, usual, tokens in zip(html, roots, sizes, fixed):
             _, blocks = parsed(page or "")
-            if root is None or not any(b[0] == root or b[0].startswith(root + "/") for b in blocks if not b[2]):
-                root, tokens = page_root(blocks), None
+            here = slot_of(root, usual, page_containers(blocks)[0]) if root is not None else None
+            if here is None:
+                here, tokens = page_root(blocks), None
+            root = here
             out.append(main_text(blocks, root, frozenset(tokens or ())))
         yield pa.record_batch([batch.column(0), batch.column(1), pa.array(out, pa.string())], ["page_id", "url", "text"])
 
@@ -348,7 +382,9 @@ def extracted(pages: DataFrame) -> DataFrame:
     page of their site's vectors and get a row each. Other columns are not read.
     """
     prepared(pages.sparkSession)
-    found = templates(pages)
+    found = materialise(templates(pages), "templates")
+    size = F.octet_length("root") + 48 * F.coalesce(F.size("fixed"), F.lit(0)) + 64
+    proven = (found.agg(F.sum(size)).first()[0] or 0) <= SMALL_BYTES
     held = pages.select(F.col("page_id").cast("bigint").alias("page_id"), "url", F.coalesce("html", F.lit("")).alias("html"), site(F.col("url")).alias("site"))
-    joined = held.join(small(found, SMALL_ROWS), "site", "left").select("page_id", "url", "html", "root", "fixed")
+    joined = held.join(F.broadcast(found) if proven else found, "site", "left").select("page_id", "url", "html", "root", "usual", "fixed")
     return joined.mapInArrow(_extract, "page_id bigint, url string, text string")
