@@ -252,12 +252,13 @@ def joined_labels(labels: DataFrame | None, links: DataFrame) -> DataFrame:
 
 
 def classes(docs: DataFrame) -> DataFrame:
-    """One row for every row of ``docs``: doc_id, class_id (smallest doc_id of its class), text_key.
+    """One row for every row of ``docs``: doc_id, class_id (smallest doc_id of its class), text_key, class_key.
 
-    Rows with equal texts share a class, empty and null ones among them. Texts without words have no
+    Classes of different texts may share their smallest doc_id; class_key, the first text key of the
+    class, tells them apart. Rows with equal texts share a class, empty and null ones among them. Texts without words have no
     shingles and meet only their equals. A class whose ids are all null has a null class_id.
     """
-    return labelled_rows(docs).select("doc_id", "class_id", "text_key")
+    return labelled_rows(docs).select("doc_id", "class_id", "text_key", "class_key")
 
 
 def labelled_rows(docs: DataFrame) -> DataFrame:
@@ -290,25 +291,9 @@ def labelled_rows(docs: DataFrame) -> DataFrame:
         labelled = buckets.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
 
     named = nodes.select("node", "text_key", "first_id").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    ids = named.groupBy("label").agg(F.min("first_id").alias("class_id"))
-    named = named.join(ids, "label").select("text_key", "class_id", "label")
-    return found.select("doc_id", "text_key").join(named, "text_key").select("doc_id", "class_id", "text_key", "label")
-
-
-def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs``, all columns, whose doc_id leads its class; of rows that share the leading
-    id and text one stays. A class without any id keeps nothing but its first text in byte order."""
-    lead = F.coalesce(F.col("doc_id"), F.lit(1 << 62))
-    found = classes(docs)
-    best = found.groupBy("class_id", F.when(F.col("class_id").isNull(), F.col("text_key")).alias("_none")).agg(F.min(F.struct(lead.alias("id"), F.hex("text_key").alias("key"))).alias("best"))
-    best = best.select(F.col("best.id").alias("_id"), F.col("best.key").alias("_key")).distinct()
-    own = docs.select(
-        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_doc"),
-        lead.alias("_id"),
-        F.upper(F.md5(F.coalesce(F.col("text"), F.lit("")))).alias("_key"),
-    )
-    kept = own.join(best, ["_id", "_key"], "left_semi").dropDuplicates(["_id", "_key"])
-    return kept.select(*(F.col("_doc").getField(c).alias(c) for c in docs.columns))
+    ids = named.groupBy("label").agg(F.min("first_id").alias("class_id"), F.min(F.hex("text_key")).alias("class_key"))
+    named = named.join(ids, "label").select("text_key", "class_id", "class_key", "label")
+    return found.select("doc_id", "text_key").join(named, "text_key").select("doc_id", "class_id", "text_key", "class_key", "label")
 
 
 def one_of_each_label(docs: DataFrame) -> DataFrame:

@@ -132,12 +132,6 @@ def contamination(docs: DataFrame, items: DataFrame, length: int = WINDOW) -> Da
     )
 
 
-def without_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The rows of ``docs``, with all their columns, whose doc_id has no row with a hit."""
-    bad = contamination(docs, items).where(F.col("n_hit") > 0).select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, docs["doc_id"].cast("bigint").eqNullSafe(bad["_bad"]), "left_anti")
-
-
 def without_contaminated_rows(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of ``docs``, with all their columns, that have no hit themselves.
 

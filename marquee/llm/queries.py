@@ -185,7 +185,7 @@ def op8_radix_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op9_bagminhash_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bagminhash.classes(documents(spark, sf_dir)).select("doc_id", "class_id")
+    return bagminhash.classes(documents(spark, sf_dir)).select("doc_id", "class_id", "class_key")
 
 
 @query

@@ -30,15 +30,18 @@ RUNS = (16, 4, 1)
 #: Keys up to which a list of them is broadcast; beyond, the same join shuffles.
 SMALL_KEYS = 2_000_000
 
-ANCHORS = "d bigint, t bigint, low bigint, high bigint, anchor bigint, gram bigint, around bigint"
+#: Base and seed of the second hash of surroundings and digits: two of them make 128 bits.
+SECOND_BASE, SECOND_SEED = 0xD1342543DE82EF95, 13
+
+ANCHORS = "d bigint, t bigint, low bigint, high bigint, anchor bigint, gram bigint, around bigint, check bigint"
 
 
 class Rolling:
     """64-bit hashes of arbitrary spans of one buffer of at most ``size`` bytes."""
 
-    def __init__(self, size: int, seed: int = 7):
+    def __init__(self, size: int, seed: int = 7, base: int = words.BASE):
         self.values = words.byte_values(seed)
-        self.up, self.down = words.powers(words.BASE, size), words.powers(words.INVERSE, size)
+        self.up, self.down = words.powers(base, size), words.powers(pow(base, -1, 1 << 64), size)
 
     def load(self, buffer: np.ndarray) -> None:
         part = self.values[buffer] * self.up[: len(buffer)]
@@ -65,14 +68,18 @@ def anchors(grams: np.ndarray, window: int) -> np.ndarray:
     return (least & bits).astype(np.int64)
 
 
-def runs_of(data: np.ndarray, begins: np.ndarray, roll: Rolling) -> tuple[np.ndarray, ...]:
-    """Runs of suffixes with one anchor in the texts of ``data``: (text, first, last, anchor, gram, around).
+def second_rolling(size: int) -> Rolling:
+    return Rolling(size, SECOND_SEED, SECOND_BASE)
+
+
+def runs_of(data: np.ndarray, begins: np.ndarray, roll: Rolling, second: Rolling) -> tuple[np.ndarray, ...]:
+    """Runs of suffixes with one anchor in the texts of ``data``: (text, first, last, anchor, gram, around, check).
 
     Text k lies at begins[k] to begins[k + 1], its last byte excluded. Positions are places in ``data``;
-    gram and around are the hashes of the anchor's gram and of the bytes that the run's suffixes read.
+    gram is the hash of the anchor's gram, around and check are two of the bytes that the run's suffixes read.
     """
     if len(data) < LENGTH:
-        return tuple(np.empty(0, np.int64) for _ in range(6))
+        return tuple(np.empty(0, np.int64) for _ in range(7))
     roll.load(data)
     anchor = anchors(roll.grams(GRAM), LENGTH - GRAM + 1)
     at = np.arange(len(anchor))
@@ -80,11 +87,13 @@ def runs_of(data: np.ndarray, begins: np.ndarray, roll: Rolling) -> tuple[np.nda
     whole = at + LENGTH <= begins[text + 1] - 1
     at, anchor, text = at[whole], anchor[whole], text[whole]
     if not len(at):
-        return tuple(np.empty(0, np.int64) for _ in range(6))
+        return tuple(np.empty(0, np.int64) for _ in range(7))
+    second.load(data)
     first = np.flatnonzero(np.concatenate(([True], (anchor[1:] != anchor[:-1]) | (text[1:] != text[:-1]))))
     low, high = at[first], at[np.append(first[1:], len(at)) - 1]
     anchor, text = anchor[first], text[first]
-    return text, low, high, anchor, roll(anchor, anchor + GRAM).view(np.int64), roll(low, high + LENGTH).view(np.int64)
+    read = low, high + LENGTH
+    return text, low, high, anchor, roll(anchor, anchor + GRAM).view(np.int64), roll(*read).view(np.int64), second(*read).view(np.int64)
 
 
 def pieces(texts: list[bytes]) -> Iterator[tuple[np.ndarray, list[bytes], np.ndarray]]:
@@ -108,44 +117,47 @@ def pieces(texts: list[bytes]) -> Iterator[tuple[np.ndarray, list[bytes], np.nda
 
 
 def _anchored(batches) -> Iterator[pa.RecordBatch]:
-    roll = Rolling(2 * PIECE + 2 * LENGTH)
+    roll, second = Rolling(2 * PIECE + 2 * LENGTH), second_rolling(2 * PIECE + 2 * LENGTH)
     for batch in batches:
         d, t = (batch.column(k).to_numpy() for k in (0, 1))
         for numbers, parts, offsets in pieces([x or b"" for x in batch.column(2).to_pylist()]):
             data, begins = words.joined(parts)
-            text, low, high, anchor, gram, around = runs_of(data, begins, roll)
+            text, low, high, anchor, gram, around, check = runs_of(data, begins, roll, second)
             if len(text):
                 shift = offsets[text] - begins[text]
                 own = numbers[text]
                 yield pa.record_batch(
-                    [d[own], t[own], low + shift, high + shift, anchor + shift, gram, around],
-                    ["d", "t", "low", "high", "anchor", "gram", "around"],
+                    [d[own], t[own], low + shift, high + shift, anchor + shift, gram, around, check],
+                    ["d", "t", "low", "high", "anchor", "gram", "around", "check"],
                 )
 
 
 def unit_hashes(
-    buffer: np.ndarray, begins: np.ndarray, at: np.ndarray, gram: np.ndarray, which: np.ndarray, unit: np.ndarray, run: int, roll: Rolling
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(representative, unit, digit): the hash of what the suffixes of each unit share.
+    buffer: np.ndarray, begins: np.ndarray, at: np.ndarray, gram: np.ndarray, which: np.ndarray, unit: np.ndarray, run: int, rolls: tuple[Rolling, ...]
+) -> tuple[np.ndarray, ...]:
+    """(representative, unit, digit, ...): for each of ``rolls`` a hash of what the suffixes of each unit share.
 
     Unit u of a representative holds the suffixes that begin u * run to u * run + run - 1 bytes before its
     anchor; all of them read the bytes from the last's beginning to the first's end. Units that reach
     beyond the representative's bytes, at begins[k] to begins[k + 1], hold none of its suffixes.
     """
-    roll.load(buffer)
     begin = begins[which] + at[which] - unit * run
     end = begin - (run - 1) + LENGTH
     inside = (begin >= begins[which]) & (end <= begins[which + 1])
     which, unit, begin, end = which[inside], unit[inside], begin[inside], end[inside]
-    shared = words.mix(roll(begin, end) + unit.astype(np.uint64) * np.uint64(words.BASE))
-    return which, unit, (shared ^ words.mix(gram[which].view(np.uint64))).view(np.int64)
+    digits = []
+    for roll in rolls:
+        roll.load(buffer)
+        shared = words.mix(roll(begin, end) + unit.astype(np.uint64) * np.uint64(words.BASE))
+        digits.append((shared ^ words.mix(gram[which].view(np.uint64))).view(np.int64))
+    return which, unit, *digits
 
 
 def _units(run: int):
     """Task of one pass over rows (rep, gram, at, content, units)."""
 
     def work(batches) -> Iterator[pa.RecordBatch]:
-        roll = None
+        rolls = None
         for batch in batches:
             rep, gram, at = (batch.column(k).to_numpy() for k in range(3))
             lists = batch.column(4)
@@ -157,14 +169,15 @@ def _units(run: int):
                 some = np.flatnonzero(group == number)
                 first, last = int(some[0]), int(some[-1]) + 1
                 begins = np.concatenate(([0], np.cumsum(sizes[first:last])))
-                if roll is None or len(roll.up) < begins[-1]:
-                    roll = Rolling(max(2 * PIECE, int(begins[-1])))
+                if rolls is None or len(rolls[0].up) < begins[-1]:
+                    size = max(2 * PIECE, int(begins[-1]))
+                    rolls = Rolling(size), second_rolling(size)
                 data = np.frombuffer(b"".join(contents[first:last]), np.uint8)
                 counts = np.diff(edges[first : last + 1])
                 which = np.repeat(np.arange(last - first), counts)
                 unit = flat[edges[first] : edges[last]]
-                which, unit, digit = unit_hashes(data, begins, at[first:last], gram[first:last], which, unit, run, roll)
-                yield pa.record_batch([rep[first:last][which], unit, digit], ["rep", "unit", "digit"])
+                which, unit, digit, check = unit_hashes(data, begins, at[first:last], gram[first:last], which, unit, run, rolls)
+                yield pa.record_batch([rep[first:last][which], unit, digit, check], ["rep", "unit", "digit", "check"])
 
     return work
 
@@ -188,9 +201,10 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     found = materialise(found.join(small(grams, SMALL_KEYS), "gram", "left_semi"), "anchors")
 
     one = F.min(F.struct("d", "t", "low", "high", "anchor")).alias("first")
-    kinds = found.groupBy("gram", "around").agg(F.count(F.lit(1)).alias("n"), one)
+    same = ["gram", "around", "check"]
+    kinds = found.groupBy(*same).agg(F.count(F.lit(1)).alias("n"), one)
     kinds = materialise(kinds.withColumn("rep", F.monotonically_increasing_id()), "kinds")
-    equal = found.join(small(kinds.where(F.col("n") > 1).select("gram", "around"), SMALL_KEYS), ["gram", "around"], "left_semi")
+    equal = found.join(small(kinds.where(F.col("n") > 1).select(*same), SMALL_KEYS), same, "left_semi")
     equal = equal.select("d", "t", F.struct("low", "high").alias("run"), F.lit(None).cast("array<bigint>").alias("starts"))
 
     several = kinds.groupBy("gram").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).select("gram")
@@ -203,9 +217,9 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     alive = reps.select("rep", units.alias("units"))
     for k, run in enumerate(RUNS):
         held = reps.join(alive, "rep").select("rep", "gram", F.col("at").alias("at"), "content", "units")
-        digits = materialise(held.mapInArrow(_units(run), "rep bigint, unit bigint, digit bigint"), "digits")
-        shared = digits.groupBy("digit").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).select("digit")
-        kept = digits.join(shared, "digit", "left_semi")
+        digits = materialise(held.mapInArrow(_units(run), "rep bigint, unit bigint, digit bigint, check bigint"), "digits")
+        shared = digits.groupBy("digit", "check").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).select("digit", "check")
+        kept = digits.join(shared, ["digit", "check"], "left_semi")
         if run > 1:
             parts = run // RUNS[k + 1]
             kept = kept.select("rep", F.explode(F.sequence(F.col("unit") * parts, F.col("unit") * parts + parts - 1)).alias("unit"))

@@ -152,16 +152,39 @@ def test_small_blocks_lose_no_link(table, monkeypatch):
     assert found == brute_classes(rows)
 
 
-def test_one_of_each_class_stays(table, clashing):
+def test_one_row_of_each_class_stays(table, clashing):
     rows = corpus(6)
-    kept = bagminhash.one_of_each(table(rows))
-    found = [r.doc_id for r in kept.collect()]
+    kept = [r.doc_id for r in bagminhash.one_of_each_label(table(rows)).collect()]
     classes = {c for _, c in brute_classes(rows) if c is not None}
-    assert sorted(i for i in found if i is not None) == sorted(classes)
+    assert {i for i in kept if i is not None} == classes
+    assert len(kept) == bagminhash.labelled_rows(table(rows)).select("label").distinct().count()
     given = clashing([(1, "x y z"), (2, "x y z"), (3, None), (None, "q")])
-    kept = bagminhash.one_of_each(given)
+    kept = bagminhash.one_of_each_label(given)
     assert kept.columns == given.columns and sorted((r.doc_id or 0) for r in kept.collect()) == [0, 1, 3]
-    assert bagminhash.one_of_each(table([])).count() == 0
+    assert bagminhash.one_of_each_label(table([])).count() == 0
+
+
+def test_classes_that_share_their_smallest_id_are_told_apart(table):
+    rows = [(1, "a b c d e f g"), (1, "u v w x y z q"), (2, "a b c d e f g"), (3, "u v w x y z q")]
+    found = bagminhash.classes(table(rows)).collect()
+    assert {r.class_id for r in found} == {1}
+    keys = {r.doc_id: r.class_key for r in found if r.doc_id > 1}
+    assert keys[2] != keys[3] and len({r.class_key for r in found}) == 2
+
+
+def test_recall_against_all_pairs(table):
+    rng = random.Random(12)
+    pool = [f"w{k}" for k in range(400)]
+    rows = []
+    for k in range(40):  # families of edited copies, from nearly equal to hardly alike
+        base = rng.choices(pool, k=rng.randint(30, 200))
+        for j in range(6):
+            text = [rng.choice(pool) if rng.random() < 0.02 * j else w for w in base]
+            rows.append((k * 10 + j, " ".join(text)))
+    span_hash, texts = words.SpanHash(), {i: t.encode() for i, t in rows}
+    alike = [(a, b) for a in texts for b in texts if a < b and a // 10 == b // 10 and bagminhash.similarity(texts[a], texts[b], span_hash) >= bagminhash.SIMILARITY]
+    found = {r.doc_id: r.class_id for r in bagminhash.classes(table(rows)).collect()}
+    assert len(alike) > 40 and sum(found[a] == found[b] for a, b in alike) >= 0.99 * len(alike)
 
 
 @pytest.mark.parametrize("size", [2, 7, 40])
