@@ -30,10 +30,10 @@ RUNS = (16, 4, 1)
 #: Keys up to which a list of them is broadcast; beyond, the same join shuffles.
 SMALL_KEYS = 2_000_000
 
-#: Base and seed of the second hash of surroundings and digits: two of them make 128 bits.
+#: Base and seed of the second hash, of 32 bits, of surroundings and last digits; with the first it makes 96 bits.
 SECOND_BASE, SECOND_SEED = 0xD1342543DE82EF95, 13
 
-ANCHORS = "d bigint, t bigint, low bigint, high bigint, anchor bigint, gram bigint, around bigint, check bigint"
+ANCHORS = "d bigint, t bigint, low bigint, high bigint, anchor bigint, gram bigint, around bigint, check int"
 
 
 class Rolling:
@@ -68,6 +68,10 @@ def anchors(grams: np.ndarray, window: int) -> np.ndarray:
     return (least & bits).astype(np.int64)
 
 
+def _half(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> np.uint64(32)).astype(np.uint32).view(np.int32)
+
+
 def second_rolling(size: int) -> Rolling:
     return Rolling(size, SECOND_SEED, SECOND_BASE)
 
@@ -78,8 +82,9 @@ def runs_of(data: np.ndarray, begins: np.ndarray, roll: Rolling, second: Rolling
     Text k lies at begins[k] to begins[k + 1], its last byte excluded. Positions are places in ``data``;
     gram is the hash of the anchor's gram, around and check are two of the bytes that the run's suffixes read.
     """
+    none = *(np.empty(0, np.int64) for _ in range(6)), np.empty(0, np.int32)
     if len(data) < LENGTH:
-        return tuple(np.empty(0, np.int64) for _ in range(7))
+        return none
     roll.load(data)
     anchor = anchors(roll.grams(GRAM), LENGTH - GRAM + 1)
     at = np.arange(len(anchor))
@@ -87,13 +92,13 @@ def runs_of(data: np.ndarray, begins: np.ndarray, roll: Rolling, second: Rolling
     whole = at + LENGTH <= begins[text + 1] - 1
     at, anchor, text = at[whole], anchor[whole], text[whole]
     if not len(at):
-        return tuple(np.empty(0, np.int64) for _ in range(7))
+        return none
     second.load(data)
     first = np.flatnonzero(np.concatenate(([True], (anchor[1:] != anchor[:-1]) | (text[1:] != text[:-1]))))
     low, high = at[first], at[np.append(first[1:], len(at)) - 1]
     anchor, text = anchor[first], text[first]
     read = low, high + LENGTH
-    return text, low, high, anchor, roll(anchor, anchor + GRAM).view(np.int64), roll(*read).view(np.int64), second(*read).view(np.int64)
+    return text, low, high, anchor, roll(anchor, anchor + GRAM).view(np.int64), roll(*read).view(np.int64), _half(second(*read))
 
 
 def pieces(texts: list[bytes]) -> Iterator[tuple[np.ndarray, list[bytes], np.ndarray]]:
@@ -176,8 +181,10 @@ def _units(run: int):
                 counts = np.diff(edges[first : last + 1])
                 which = np.repeat(np.arange(last - first), counts)
                 unit = flat[edges[first] : edges[last]]
-                which, unit, digit, check = unit_hashes(data, begins, at[first:last], gram[first:last], which, unit, run, rolls)
-                yield pa.record_batch([rep[first:last][which], unit, digit, check], ["rep", "unit", "digit", "check"])
+                # Passes before the last only narrow the suffixes: a chance match costs a second look.
+                which, unit, digit, *check = unit_hashes(data, begins, at[first:last], gram[first:last], which, unit, run, rolls if run == 1 else rolls[:1])
+                checks = [_half(c.view(np.uint64)) for c in check]
+                yield pa.record_batch([rep[first:last][which], unit, digit, *checks], ["rep", "unit", "digit", *["check"] * len(check)])
 
     return work
 
@@ -217,9 +224,11 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     alive = reps.select("rep", units.alias("units"))
     for k, run in enumerate(RUNS):
         held = reps.join(alive, "rep").select("rep", "gram", F.col("at").alias("at"), "content", "units")
-        digits = materialise(held.mapInArrow(_units(run), "rep bigint, unit bigint, digit bigint, check bigint"), "digits")
-        shared = digits.groupBy("digit", "check").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).select("digit", "check")
-        kept = digits.join(shared, ["digit", "check"], "left_semi")
+        same = ["digit", "check"] if run == 1 else ["digit"]
+        digits = held.mapInArrow(_units(run), "rep bigint, unit bigint, digit bigint" + (", check int" if run == 1 else ""))
+        digits = materialise(digits, "digits")
+        shared = digits.groupBy(*same).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).select(*same)
+        kept = digits.join(shared, same, "left_semi")
         if run > 1:
             parts = run // RUNS[k + 1]
             kept = kept.select("rep", F.explode(F.sequence(F.col("unit") * parts, F.col("unit") * parts + parts - 1)).alias("unit"))
