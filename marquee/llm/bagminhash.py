@@ -255,8 +255,9 @@ def classes(docs: DataFrame) -> DataFrame:
     """One row for every row of ``docs``: doc_id, class_id (smallest doc_id of its class), text_key, class_key.
 
     Classes of different texts may share their smallest doc_id; class_key, the first text key of the
-    class, tells them apart. Rows with equal texts share a class, empty and null ones among them. Texts without words have no
+    class, tells them apart. Rows with equal texts share a class, empty and null ones among them, and each repeated row has a row. Texts without words have no
     shingles and meet only their equals. A class whose ids are all null has a null class_id.
+    Texts of any length are compared whole; an empty table has no classes; other columns are not read.
     """
     return labelled_rows(docs).select("doc_id", "class_id", "text_key", "class_key")
 

@@ -229,7 +229,8 @@ def scored(docs: DataFrame, model: tuple[bytes, bytes, bytes, bytes, np.ndarray]
     """doc_id, score, n_windows and the largest distance of every row of ``docs``.
 
     Null and empty texts have no windows and the score of the calibration for that. Without a model
-    every score is 0. Repeated rows get a row each; other columns are not read.
+    every score is 0. Repeated rows get a row each, equal texts equal scores; a text of any length is
+    read whole, an empty table has no result, and other columns are not read.
     """
     prepared(docs.sparkSession)
 

@@ -53,7 +53,8 @@ def build_index(docs: DataFrame, terms: DataFrame) -> DataFrame:
     without a term, whose pos is the row's number of words and which alone has its doc_id.
 
     A null or empty text has only its closing posting. Rows are numbered, so repeated or null ids stay
-    apart. Other columns of ``docs`` are not read.
+    apart and repeated rows have postings each. Texts of any length are indexed whole; an empty table
+    has no postings. Other columns of ``docs`` are not read.
     """
     words = F.array_append(cased_words(F.col("text")), F.lit(None).cast("string"))
     each = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("bigint").alias("doc_id"), words.alias("words"))

@@ -99,7 +99,8 @@ def repetition(docs: DataFrame) -> DataFrame:
     """Counts of every document: words, symbols, repeated lines and windows, and the characters they cover.
 
     A null or empty text has no words and counts of zero. Rows are kept apart: a repeated doc_id gives
-    a row each time. Other columns of ``docs`` are not read.
+    a row each time, equal texts equal counts. A text of any length is measured whole, an empty table
+    has no result. Other columns of ``docs`` are not read.
     """
     prepared(docs.sparkSession)
     return id_and_text(docs).mapInArrow(_measured, SCHEMA)

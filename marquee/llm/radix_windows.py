@@ -281,7 +281,8 @@ def without_repeats(docs: DataFrame) -> DataFrame:
 
     Each byte inside a LENGTH-byte string that also starts elsewhere, in this row or another, goes. A
     null text is empty; texts shorter than LENGTH stay whole; rows that share id and text are places of
-    their own, so they lose all their windows; other columns are not read.
+    their own, so they lose all their windows. Texts of any length are cut whole, in overlapping pieces; an
+    empty table has no result; other columns are not read.
     """
     spans = repeated_spans(docs)
     scanned = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), *_row(), _text().cast("binary").alias("text"))

@@ -379,7 +379,9 @@ def extracted(pages: DataFrame) -> DataFrame:
 
     A null html is empty and gives an empty text, and so does a page without running text. Pages whose
     url is null or names no site, and pages of small sites, are judged alone. Repeated rows count as one
-    page of their site's vectors and get a row each. Other columns are not read.
+    page of their site's vectors and get a row each; of containers that hold equally much the first by
+    name is the slot. Pages of any length are read whole; an empty table has no result. Other columns are
+    not read.
     """
     prepared(pages.sparkSession)
     found = materialise(templates(pages), "templates")
