@@ -2,6 +2,10 @@
 
 Each stage takes the rows the one before kept and returns a DataFrame; ``run`` writes every stage's
 result to the shared folder and reads it again for the next.
+
+All stages judge row by row: null or shared ids share no verdict, repeated rows are rows of their own
+until near-dedup, a null or empty text is a text without words, very long texts are read whole, an empty
+table stays empty, and all columns of documents pass, others too, whatever their names.
 """
 
 from __future__ import annotations
@@ -15,17 +19,17 @@ from marquee.session import materialise
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the base rule and the repetition limits."""
+    """Documents that pass the base rule and the repetition limits; texts without words, null ones too, go."""
     return quality.keep_good(docs)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the lines that many sources share."""
+    """All documents, without the lines that many sources share; a null source counts for none."""
     return line_spread.without_boilerplate(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near copies."""
+    """One document of each class of near copies: the smallest doc_id, null last, then the first text key."""
     return bagminhash.one_of_each_label(docs)
 
 
@@ -35,7 +39,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents in sequences."""
+    """Pieces of documents in sequences; a null text is empty and has its end id alone."""
     return piece_digest(packing.packed(docs, tokenizer_path("byte_bpe_50k.json")))
 
 
