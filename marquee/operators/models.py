@@ -196,11 +196,16 @@ def _index_features(watched: DataFrame) -> DataFrame:
     return VectorAssembler(inputCols=["user_idx", "movie_idx"], outputCol="features").transform(coded)
 
 
+def watched_rows(watched: DataFrame, target: str = "watch_time", threshold: float = 30) -> DataFrame:
+    """The rows of the two watch models: user, movie, split, target scaled by the training rows, label."""
+    rows = hash_split(watched, 0.2)
+    scaled = minmax_scale(rows, target, rows.filter("split = 'train'"), "scaled")
+    return binarize(scaled, target, threshold)
+
+
 def watchtime_model(watched: DataFrame, target: str = "watch_time", trees: int = 100, depth: int = 6, rate: float = 0.1):
     """Regressor of watch time scaled to [0, 1] on the two indices: (model, test metrics)."""
-    rows = hash_split(_index_features(watched), 0.2)
-    train = rows.filter("split = 'train'")
-    scaled = minmax_scale(rows, target, train, "scaled")
+    scaled = watched_rows(_index_features(watched), target)
     learner = tree_regressor("scaled", dict(n_estimators=trees, max_depth=depth, learning_rate=rate, subsample=1.0, colsample_bytree=1.0))
     model = learner.fit(scaled.filter("split = 'train'"))
     return model, metrics.regression_metrics(model.transform(scaled.filter("split = 'test'")), label="scaled")
@@ -208,7 +213,7 @@ def watchtime_model(watched: DataFrame, target: str = "watch_time", trees: int =
 
 def longwatch_model(watched: DataFrame, target: str = "watch_time", threshold: float = 30):
     """Classifier of watches longer than ``threshold``: (model, test metrics)."""
-    rows = binarize(hash_split(_index_features(watched), 0.2), target, threshold)
+    rows = watched_rows(_index_features(watched), target, threshold)
     model = LogisticRegression(featuresCol="features", labelCol="label").fit(rows.filter("split = 'train'"))
     scored = model.transform(rows.filter("split = 'test'"))
     return model, metrics.classification_metrics(scored, threshold=1)

@@ -381,6 +381,15 @@ def tune_search(v):
     return once(v, "search", lambda: searched(v, 42))[0]
 
 
+@query("tune_search_shape", "SELECT CAST(range AS INT) candidate, 5 n_params, true valid FROM range(10)")
+def tune_search_shape(v):
+    """Every candidate was judged on all its parameters, and the best is the one of least error."""
+    found = once(v, "search", lambda: searched(v, 42))[0]
+    least = found.agg(F.min("cv_rmse")).scalar()
+    valid = (F.col("cv_rmse") > 0) & (~F.col("best") | (F.col("cv_rmse") == least))
+    return found.select("candidate", F.size("params").alias("n_params"), valid.alias("valid"))
+
+
 def watched_time(v: Views) -> DataFrame:
     watched = v.v_watch.select("user_id", F.col("movie_id").cast("bigint").alias("movie_id"), F.col("minute_no").alias("watch_time"))
     return materialise(watched, "watched", rebalance=True)
@@ -396,6 +405,33 @@ def tune_latest(v):
     return v.spark.createDataFrame(sorted(chosen.items()), "parameter STRING, value DOUBLE")
 
 
+@query("tune_latest_keys", "SELECT unnest(['colsample_bytree', 'learning_rate', 'max_depth', 'n_estimators', 'subsample']) parameter, true in_range")
+def tune_latest_keys(v):
+    """The parameters of the logged search, each from its range."""
+    ranges = {k: (float(min(r)), float(max(r))) for k, r in models.LIGHT_SEARCH.items()}
+    known = v.spark.createDataFrame([(k, *r) for k, r in ranges.items()], "parameter STRING, low DOUBLE, high DOUBLE")
+    return tune_latest(v).join(known, "parameter").select("parameter", F.col("value").between(F.col("low"), F.col("high")).alias("in_range"))
+
+
+WATCH_SPLIT = f"""watch_split AS (SELECT minute_no,
+    substr(md5(concat('42:', CAST(user_id AS VARCHAR), ':', CAST(movie_id AS VARCHAR))), 1, 8) < '{S.share_limit(0.2)}' test FROM v_watch)"""
+
+
+@query(
+    "watched_rows",
+    """SELECT CASE WHEN test THEN 'test' ELSE 'train' END split, count(*) n, CAST(count(*) FILTER (minute_no > 30) AS BIGINT) n_long,
+       round(sum((minute_no - lo) / CAST(hi - lo AS DOUBLE)), 4) scaled
+       FROM watch_split, (SELECT min(minute_no) lo, max(minute_no) hi FROM watch_split WHERE NOT test) GROUP BY 1""",
+    WATCH_SPLIT,
+)
+def watched_rows(v):
+    """What the watch-time and long-watch models train and test on."""
+    rows = models.watched_rows(watched_time(v))
+    return rows.groupBy("split").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("label").cast("bigint").alias("n_long"), F.round(F.sum("scaled"), 4).alias("scaled")
+    )
+
+
 @query("watchtime_model")
 def watchtime_model(v):
     return models.watchtime_model(watched_time(v))[1]
