@@ -26,8 +26,9 @@ from marquee.llm.tables import chunks, id_and_text, prepared
 #: The bounded training sample: labelled rows of each class, first by a hash of their id, with texts of
 #: at most so many bytes. Half of it trains dictionaries, half calibrates. Scoring has no such bounds.
 TOXIC_ROWS, ORDINARY_ROWS, TRAINING_BYTES = 2000, 4000, 1 << 15
-#: Strings of GRAM bytes count as toxic if seen in so many contexts, and so many times as often as in ordinary text.
-GRAM, MIN_CONTEXTS, RATIO = 5, 5, 6.0
+#: Strings of so many bytes count as toxic if seen in so many contexts, and so many times as often as in ordinary text.
+#: Long ones tell stems apart whose short parts are common, as in letters of two bytes.
+GRAMS, MIN_CONTEXTS, RATIO = (5, 6, 7, 8), 5, 6.0
 #: TOXIC_BYTES is the least size; more strings make the content larger.
 TOXIC_BYTES, ORDINARY_BYTES, LEVEL = 2048, 100_000, 4
 #: Windows of several words begin at every STEP-th word; dictionaries of whole texts have TEXT_BYTES.
@@ -81,16 +82,22 @@ def gram_contexts(texts: list[bytes]) -> tuple[Counter, Counter, int]:
     return grams, word_counts, len(seen)
 
 
-def _grams(word: bytes) -> set[bytes]:
+def _placed_grams(word: bytes) -> Iterator[tuple[int, bytes]]:
+    """Where every gram of the word, with a blank in front, begins; a short word is a gram itself."""
     lead = b" " + word
-    return {lead[k : k + GRAM] for k in range(max(1, len(lead) - GRAM + 1))}
+    for size in GRAMS:
+        for k in range(max(1, len(lead) - size + 1)):
+            yield k, lead[k : k + size]
+
+
+def _grams(word: bytes) -> set[bytes]:
+    return {gram for _, gram in _placed_grams(word)}
 
 
 def telling_part(word: bytes, telling: set[bytes]) -> bytes:
-    """The word from its first telling gram to its last."""
-    lead = b" " + word
-    at = [k for k in range(max(1, len(lead) - GRAM + 1)) if lead[k : k + GRAM] in telling]
-    return lead[at[0] : at[-1] + GRAM] if at else b""
+    """The word from where its first telling gram begins to where the last one ends."""
+    spans = [(k, k + len(gram)) for k, gram in _placed_grams(word) if gram in telling]
+    return (b" " + word)[min(spans)[0] : max(end for _, end in spans)] if spans else b""
 
 
 def chosen_strings(toxic_texts: list[bytes], plain_texts: list[bytes]) -> tuple[Counter, Counter]:

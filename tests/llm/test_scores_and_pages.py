@@ -290,3 +290,15 @@ def test_words_of_one_bucket_keep_their_own_counts(table):
         share = np.array([counts[x] for x in keys[k].tolist()]) / totals[bucket]
         want = np.log(chance[np.arange(len(bucket)), vocab.word_class[bucket]]) + vocab.inside[bucket] + np.log(share)
         assert (share < 1).any() and found[k] == pytest.approx(want.sum(), rel=1e-5)
+
+
+def test_long_strings_tell_stems_of_two_byte_letters():
+    """The stem's short parts stand inside ordinary words too; only longer strings tell it apart."""
+    rng = random.Random(8)
+    syllables = ["eux", "ré", "ment", "oi", "aux", "pa", "elle"]
+    plain = [" ".join("a" + "".join(rng.choices(syllables, k=3)) for _ in range(40)) for _ in range(60)]
+    toxic = [t + " " + " ".join("réeux" + rng.choice(syllables) for _ in range(4)) for t in plain[:30]]
+    parts, _ = compression.chosen_strings([t.encode() for t in toxic], [t.encode() for t in plain])
+    assert parts and all("réeux".encode() in p for p in parts)
+    assert compression.telling_part("réeuxoi".encode(), {" réeu".encode(), "réeux".encode()}) == " réeux".encode()
+    assert compression.telling_part(b"ab", {b" ab"}) == b" ab" and compression.telling_part(b"ab", set()) == b""
