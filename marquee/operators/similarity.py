@@ -10,7 +10,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marquee.operators.ranking import best_per_key
+from marquee.operators.partners import top_partners
 
 # Ship the functions below inside the tasks, so executors need no copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -105,18 +105,17 @@ def co_occurrence(pairs: DataFrame, user: str, item: str, slices: int | None = N
 def item_similarity(pairs: DataFrame, user: str = "user_id", item: str = "movie_id", top_n: int | None = None) -> DataFrame:
     """Cosine similarity of items over the users they share: (i, j, cosine).
 
-    With ``top_n`` each item keeps its most similar partners, in both directions.
+    With ``top_n`` each item keeps its most similar partners, in both directions, and the pairs are not
+    all counted (see ``partners``).
     """
+    if top_n is not None:
+        return top_partners(pairs, user, item, top_n)
     sizes = pairs.select(user, item).distinct().groupBy(item).agg(F.count(F.lit(1)).alias("size"))
     left = sizes.select(F.col(item).alias("i"), F.col("size").alias("size_i"))
     right = sizes.select(F.col(item).alias("j"), F.col("size").alias("size_j"))
-    scored = (
+    return (
         co_occurrence(pairs, user, item)
         .join(left, "i")
         .join(right, "j")
         .select("i", "j", (F.col("n") / F.sqrt(F.col("size_i").cast("double") * F.col("size_j"))).alias("cosine"))
     )
-    if top_n is None:
-        return scored
-    both = scored.unionByName(scored.select(F.col("j").alias("i"), F.col("i").alias("j"), "cosine"))
-    return best_per_key(both, ["i"], [F.col("cosine").desc(), F.col("j").asc()], top_n, rank="rank")
