@@ -112,6 +112,10 @@ def top_partners(pairs: DataFrame, user: str = "user_id", item: str = "movie_id"
     facts, items = described(pairs, user, item, light)
     found = light_counts(facts, items, light)
     classed = items.where("class IS NOT NULL")
+    order = [F.col("cosine").desc(), F.col("j").asc()]
+    if classed.isEmpty():
+        alone = both_ways(found, "n").select("i", "j", _cosine(F.col("n"), "size_i", "size_j").alias("cosine"))
+        return best_per_key(alone, ["i"], order, n, rank="rank")
     members = facts.where(F.col("reach") > light).join(classed.select("item", "class"), "item").select("class", "user", "reach").distinct()
     members = materialise(members, "class_users")
     heads = materialise(best_per_key(classed, ["class"], [F.col("size").asc(), F.col("item").asc()], n + 1, rank="place"), "class_heads")
@@ -136,4 +140,4 @@ def top_partners(pairs: DataFrame, user: str = "user_id", item: str = "movie_id"
 
     # A pair found both ways has its whole count in the light part.
     best = by_light.unionByName(by_heavy).groupBy("i", "j").agg(F.max("cosine").alias("cosine"))
-    return best_per_key(best, ["i"], [F.col("cosine").desc(), F.col("j").asc()], n, rank="rank")
+    return best_per_key(best, ["i"], order, n, rank="rank")
