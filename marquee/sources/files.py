@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import hashlib
+import sys
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,9 +15,12 @@ from pyspark.sql import functions as F
 from marquee import schemas
 from marquee.functions.parsing import flatten_movies
 
+# Ship the functions that run in tasks inside them, so executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Bytes up to which a file is hashed as one row.
 LARGE_FILE = 1 << 30
+HASHED = "path STRING, file_hash STRING"
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -103,8 +110,9 @@ def file_listing(spark: SparkSession, path: str) -> str:
 def file_fingerprints(spark: SparkSession, path: str) -> DataFrame:
     """SHA-256 of every file under ``path``; a single row 'unknown' when there is none.
 
-    Files are hashed in tasks, a file a row. One of more than LARGE_FILE bytes, too long for a row, is
-    read as a stream through the file system of its path, in constant memory, one file after another.
+    Files are hashed in tasks, a file a row. One of more than LARGE_FILE bytes, too long for a row, is read a
+    buffer at a time: in a task where it lies in a mounted folder, else by the JVM of the driver through the
+    file system of its path, one such file after another.
     """
     try:
         files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
@@ -114,10 +122,23 @@ def file_fingerprints(spark: SparkSession, path: str) -> DataFrame:
         return spark.range(1).select(F.lit(path).alias("path"), F.lit("unknown").alias("file_hash"))
     hashed = files.filter(F.col("length") <= LARGE_FILE).select("path", F.sha2("content", 256).alias("file_hash"))
     large = files.filter(F.col("length") > LARGE_FILE).select("path")
-    if large.isEmpty():
-        return hashed
-    streamed = [(r["path"], _streamed_hash(spark, r["path"])) for r in large.toLocalIterator()]
-    return hashed.unionByName(spark.createDataFrame(streamed, "path STRING, file_hash STRING"))
+    mounted = F.col("path").startswith("file:")
+    # The long files, spread evenly: one may take minutes.
+    in_tasks = large.filter(mounted).repartition("path").mapInArrow(_mounted_hashes, HASHED)
+    remote = large.filter(~mounted)
+    streamed = [(r["path"], _streamed_hash(spark, r["path"])) for r in remote.toLocalIterator()]
+    return hashed.unionByName(in_tasks).unionByName(spark.createDataFrame(streamed, HASHED))
+
+
+def _mounted_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """SHA-256 of files named as file:/folder/name, unescaped, read through a buffer of bounded size."""
+    for batch in batches:
+        paths = batch.column(0).to_pylist()
+        hashes = []
+        for path in paths:
+            with open("/" + path.removeprefix("file:").lstrip("/"), "rb") as file:
+                hashes.append(hashlib.file_digest(file, "sha256").hexdigest())
+        yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(hashes, pa.string())], ["path", "file_hash"])
 
 
 def _streamed_hash(spark: SparkSession, path: str) -> str:

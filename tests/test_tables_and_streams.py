@@ -115,7 +115,7 @@ def test_file_fingerprint(spark, tmp_path):
 
 def test_large_files_are_hashed_as_streams(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(files, "LARGE_FILE", 1000)
-    contents = {"small": b"x" * 1000, "large": bytes(range(256)) * 50, "larger": b"y" * 100_000}
+    contents = {"small": b"x" * 1000, "large": bytes(range(256)) * 50, "larger é %41#b?": b"y" * 100_000}
     for name, content in contents.items():
         (tmp_path / name).write_bytes(content)
     found = {r["path"].rsplit("/", 1)[1]: r["file_hash"] for r in files.file_fingerprints(spark, str(tmp_path)).collect()}
