@@ -26,6 +26,21 @@ def explicit(planted):
     return factors.train_explicit(planted, rank=4, iterations=8)
 
 
+def test_shuffles_of_earlier_iterations_can_go(spark, monkeypatch):
+    made = []
+
+    class Kept(factors.ALS):
+        def fit(self, *args):
+            made.append(self.getCheckpointInterval())
+            return super().fit(*args)
+
+    monkeypatch.setattr(factors, "ALS", Kept)
+    rows = spark.createDataFrame([(u, m, (u * m) % 5 + 1) for u in range(6) for m in range(5)], "user_id BIGINT, movie_id BIGINT, rating INT")
+    factors.train_explicit(rows, rank=2, iterations=2)
+    factors.train_implicit(rows.select("user_id", "movie_id", (F.col("rating") / 5).alias("score")), rank=2, iterations=2)
+    assert made == [1, 1] and spark.sparkContext.getCheckpointDir()
+
+
 def test_explicit_factors_beat_the_mean(planted, explicit):
     mean, movie_offsets, user_offsets = factors.rating_baseline(planted)
     u = explicit.users.withColumnRenamed("features", "p")
