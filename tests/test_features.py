@@ -153,6 +153,27 @@ def test_factors_use_mean_where_missing(spark):
     assert got == {1: ([1.0, 3.0], 1), 9: ([2.0, 4.0], 0)}
 
 
+def test_factors_of_keys_outside_the_dimensions(spark):
+    ratings = spark.createDataFrame([(1, 10, 5), (2, 11, 3), (3, 10, 1)], "user_id BIGINT, movie_id BIGINT, rating INT")
+    users = spark.createDataFrame([(1, 30, "x", "M"), (4, 20, "y", "F")], "user_id BIGINT, age INT, occupation STRING, gender STRING")
+    movies = spark.createDataFrame(
+        [(10, "a", "en", "English", "US", "1990-01-01", 100, 1.0, 5, 6)],
+        "movie_id BIGINT, genres STRING, original_language STRING, spoken_languages STRING, production_countries STRING, "
+        "release_date STRING, runtime INT, popularity DOUBLE, vote_average INT, vote_count INT",
+    )
+    tables = {
+        "u": spark.createDataFrame([(1, [1.0]), (2, [3.0]), (None, None)], "user_id BIGINT, features ARRAY<FLOAT>"),
+        "m": spark.createDataFrame([(11, [8.0])], "movie_id BIGINT, features ARRAY<FLOAT>"),
+    }
+    rows = features.feature_table(ratings, users, movies, 2026, factors=tables)
+    got = {r["user_id"]: (r["u"], r["has_u"], r["m"], r["has_m"]) for r in rows.collect()}
+    assert got == {1: ([1.0], 1, [8.0], 0), 2: ([3.0], 1, [8.0], 1), 3: ([2.0], 0, [8.0], 0)}
+    # The flags alone move no vector: what is asked of one is asked before the rows meet it.
+    plan = rows.select("has_u", "has_m")._jdf.queryExecution().optimizedPlan().toString()
+    joined = [line for line in plan.splitlines() if "Project" in line and "isnotnull" in line]
+    assert joined and all("AS has_" in line and "features#" in line for line in joined)
+
+
 def test_minmax_of_constant_column(spark):
     frame = spark.createDataFrame([(5,), (5,)], "x INT")
     assert [r["scaled"] for r in features.minmax_scale(frame, "x", frame).collect()] == [0.0, 0.0]
