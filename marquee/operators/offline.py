@@ -12,6 +12,10 @@ from marquee.operators.summary import as_struct, report_row
 from marquee.session import materialise
 
 
+#: Distinct (user, movie) pairs whose genres a task counts.
+TASK_PAIRS = 250_000
+
+
 def pearson(x: str, y: str) -> Column:
     """Correlation of two columns; NULL instead of an error when one is constant."""
     spread = F.stddev_samp(x) * F.stddev_samp(y)
@@ -52,13 +56,16 @@ def group_fairness(rated: DataFrame, group: str = "gender", rating: str = "ratin
 def genres_per_user(ratings: DataFrame, movies: DataFrame) -> DataFrame:
     """Distinct genres each user touched; users without any count 0.
 
-    Each step removes duplicates before its shuffle, so a user with a third of all
-    rows shrinks to distinct movies and then to at most one row per genre.
+    A user with a third of all rows shrinks to distinct movies. The genres of a user meet in one task;
+    there are as many tasks as the pairs need, so that what a task holds does not grow with the table.
     """
-    pairs = ratings.select("user_id", "movie_id").distinct()
+    pairs = materialise(ratings.select("user_id", "movie_id").distinct(), "pairs")
+    tasks = max(ratings.sparkSession.sparkContext.defaultParallelism, -(-pairs.count() // TASK_PAIRS))
     genre_lists = movies.select("movie_id", tokens(F.col("genres")).alias("genres"))
     genres = (
         pairs.join(genre_lists, "movie_id", "left")
+        .select("user_id", "genres")
+        .repartition(tasks, "user_id")
         .select("user_id", F.explode_outer("genres").alias("genre"))
         .distinct()
     )

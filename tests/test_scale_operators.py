@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from marquee.operators import asof, quantiles, ranking, recommend, similarity, slots
+from marquee.operators import asof, offline, quantiles, ranking, recommend, similarity, slots
 from marquee.session import materialise
 
 
@@ -212,3 +212,32 @@ def test_unseen_lists_of_users_who_saw_the_head(spark, monkeypatch):
     got = recommend.recommend_unseen(ranked, users, seen, 4).orderBy("user_id", "rank").collect()
     for u in range(4):
         assert [r["movie_id"] for r in got if r["user_id"] == u] == [m for m in range(30) if m not in held[u]][:4]
+
+
+def test_genre_lists_sort_one_row_for_a_set(spark):
+    """Against brute force; sets of many movies add one row to the sort of a profile, not one for each movie."""
+    draw = random.Random(5)
+    movies = [(m, ",".join(draw.sample("abcdef", draw.randint(1, 3))), float(draw.randint(1, 40))) for m in range(400)]
+    profiles = [(u, sorted(draw.sample("abcdefg", draw.randint(1, 4)))) for u in range(60)] + [(99, ["g"])]
+    catalogue = frame(spark, movies, "movie_id INT, genres STRING, popularity DOUBLE")
+    lists = recommend.recommend_by_genre(frame(spark, profiles, "user_id INT, profile ARRAY<STRING>"), catalogue, 7)
+    wanted = set()
+    for user, profile in profiles:
+        scores = [(-p * len(set(g.split(",")) & set(profile)), m) for m, g, p in movies]
+        wanted |= {(user, m, -x, k) for k, (x, m) in enumerate(sorted(s for s in scores if s[0])[:7], 1)}
+    assert {tuple(r) for r in lists.collect()} == wanted
+    plan = lists._jdf.queryExecution().optimizedPlan().toString()
+    assert "_head" in plan
+
+
+def test_tasks_of_genre_counts_follow_the_pairs(spark, monkeypatch):
+    monkeypatch.setattr(offline, "TASK_PAIRS", 10)
+    ratings = spark.createDataFrame([(u, m) for u in range(30) for m in range(u % 7)], "user_id INT, movie_id INT")
+    ratings = ratings.unionByName(ratings)
+    movies = spark.createDataFrame([(m, f"g{m % 3},g{m}x") for m in range(6)], "movie_id INT, genres STRING")
+    counted = offline.genres_per_user(ratings, movies)
+    assert {tuple(r) for r in counted.collect()} == {
+        (u, len({g for m in range(u % 7) for g in (f"g{m % 3}", f"g{m}x") if m < 6})) for u in range(30) if u % 7
+    }
+    n_pairs = sum(u % 7 for u in range(30))
+    assert f"], {-(-n_pairs // 10)}" in counted._jdf.queryExecution().optimizedPlan().toString()
