@@ -149,9 +149,12 @@ def nodes_of(paths: DataFrame) -> DataFrame:
     return materialise(found.join(children, "node", "left").fillna(0, ["n_children"]), "trie")
 
 
-def _rank(turn: int, node: str) -> Column:
-    """A fresh random order of the nodes for every round."""
-    return F.xxhash64(F.lit(turn), F.col(f"{node}.a"), F.col(f"{node}.b"))
+def _rank(node: str) -> Column:
+    """A fresh random order of the nodes for every round.
+
+    The round is a column: with a number in the plan every round would compile code of its own in the driver.
+    """
+    return F.xxhash64("turn", F.col(f"{node}.a"), F.col(f"{node}.b"))
 
 
 def _in_tasks(df: DataFrame, rows: int) -> DataFrame:
@@ -159,8 +162,8 @@ def _in_tasks(df: DataFrame, rows: int) -> DataFrame:
     return df.coalesce(max(1, -(-rows // ROUND_ROWS)))
 
 
-def contraction_round(alive: DataFrame, turn: int) -> DataFrame:
-    """One rake and one compress. ``alive``: (node, up, leaves, saved, edge_leaves, edge_saved, kids).
+def contraction_round(alive: DataFrame) -> DataFrame:
+    """One rake and one compress. ``alive``: (node, up, leaves, saved, edge_leaves, edge_saved, kids, turn).
 
     Returned with ``gone`` and ``child``: rows that are gone were compressed and point to their child;
     the others are alive. Rows of ``alive`` without kids are raked: their totals are final.
@@ -178,10 +181,11 @@ def contraction_round(alive: DataFrame, turn: int) -> DataFrame:
         "edge_leaves",
         "edge_saved",
         F.col("left").alias("kids"),
+        "turn",
         F.when(F.col("left") == 1, F.col("only")).alias("only"),
     )
     # Higher in rank than both neighbours: two neighbours are never taken out in one round.
-    highest = (_rank(turn, "node") > _rank(turn, "up")) & (_rank(turn, "node") > _rank(turn, "only.node"))
+    highest = (_rank("node") > _rank("up")) & (_rank("node") > _rank("only.node"))
     raked = raked.withColumn("gone", F.col("only").isNotNull() & F.col("up").isNotNull() & highest)
     # One row for a child at most, so no key is hot, however many children a node has.
     moved = raked.where("gone").select(
@@ -196,6 +200,7 @@ def contraction_round(alive: DataFrame, turn: int) -> DataFrame:
         *((F.col(c) + F.when(F.col("gone"), F.col(f"only.edge_{c}")).otherwise(0)).alias(c) for c in ("leaves", "saved")),
         *((F.col(f"edge_{c}") + F.coalesce(f"over_{c}", F.lit(0))).alias(f"edge_{c}") for c in ("leaves", "saved")),
         "kids",
+        (F.col("turn") + 1).alias("turn"),
         "gone",
         F.when(F.col("gone"), F.col("only.node")).alias("child"),
     )
@@ -217,6 +222,7 @@ def subtree_totals(tree: DataFrame) -> DataFrame:
         zero.alias("edge_leaves"),
         zero.alias("edge_saved"),
         F.col("n_children").alias("kids"),
+        F.lit(0).alias("turn"),
     )
     totals, spliced, turn = [], [], 0
     while True:
@@ -224,7 +230,7 @@ def subtree_totals(tree: DataFrame) -> DataFrame:
         inner = alive.where(F.col("kids") > 0).count()
         if not inner:
             break
-        after = materialise(_in_tasks(contraction_round(alive, turn), inner), f"round-{turn}")
+        after = materialise(_in_tasks(contraction_round(alive), inner), f"round-{turn}")
         spliced.append(after.where("gone").select("node", "child", "leaves", "saved"))
         alive = after.where(~F.col("gone"))
         turn += 1

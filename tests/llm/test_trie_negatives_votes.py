@@ -236,3 +236,13 @@ def test_new_operators_with_clashing_columns(spark, clashing):
     labels = add(spark.createDataFrame([(k, k % 2) for k in range(9)], "doc_id bigint, quality int"))
     docs = clashing([(k, "good words" if k % 2 else "BAD!! BAD!!") for k in range(9)])
     assert neighbour_vote.scored(docs, neighbour_vote.train(docs, labels)).count() == 9
+
+
+def test_rounds_share_their_code(spark):
+    """The round is a column of the tree, so that the compiled code of one round serves all."""
+    node = "struct<a:bigint,b:bigint>"
+    schema = f"node {node}, up {node}, leaves bigint, saved bigint, edge_leaves bigint, edge_saved bigint, kids bigint, turn int"
+    alive = spark.createDataFrame([((0, 0), None, 0, 0, 0, 0, 1, 3), ((1, 1), (0, 0), 1, 5, 0, 0, 0, 3)], schema)
+    after = prefix_trie.contraction_round(alive)
+    assert [(r["leaves"], r["saved"], r["kids"], r["turn"]) for r in after.collect()] == [(1, 5, 0, 4)]
+    assert "xxhash64(turn" in after._jdf.queryExecution().optimizedPlan().toString()
