@@ -29,6 +29,7 @@ BITS = 16
 #: Least rows of the context tables (0 stands for "no word here"), least classes; units, and words on either side.
 CONTEXTS, CLASSES, UNITS, SIDE = 512, 64, 16, 2
 EPOCHS, BATCH, RATE = 1, 2048, 0.1
+STEP = 128  # words of a batch whose scores are held at once
 FIXED = 1 << 20
 
 
@@ -115,40 +116,72 @@ class Network:
             at += p.size
         return self
 
-    def exponents(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Units, class probabilities times a factor of each word, and their sums; rows has a table row for
-        each neighbour of each word."""
-        units = self.tables[rows[:, 0]]
+    def inputs(self, rows: np.ndarray) -> np.ndarray:
+        """Units of each word and a last column of ones, which meets the bias; rows has a table row for each neighbour."""
+        units = np.ones((len(rows), UNITS + 1), np.float32)
+        sums = self.tables.take(rows[:, 0], axis=0)
         for k in range(1, rows.shape[1]):
-            units += self.tables[rows[:, k]]
-        np.tanh(units, out=units)
-        scores = units @ self.out
-        scores += self.bias
-        top = scores.max()
-        if top - scores.min() > 80:  # one factor for all words would lose the small ones
-            top = scores.max(axis=1, keepdims=True)
-        scores -= top
+            sums += self.tables.take(rows[:, k], axis=0)
+        np.tanh(sums, out=units[:, :-1])
+        return units
+
+    def head(self) -> tuple[np.ndarray, bool]:
+        """Output weights above the bias, and whether the bias is less the most any score can be: units lie
+        between -1 and 1, so one such factor for all words is safe unless the scores may lie too far apart."""
+        reach = np.abs(self.out).sum(axis=0)
+        top = (self.bias + reach).max()
+        near = bool(top - (self.bias - reach).min() <= 80)
+        return np.concatenate((self.out, (self.bias - top if near else self.bias)[None])), near
+
+    @staticmethod
+    def exponents(units: np.ndarray, head: tuple[np.ndarray, bool]) -> tuple[np.ndarray, np.ndarray]:
+        """Class probabilities times a factor of each word, and their sums."""
+        weights, near = head
+        scores = units @ weights
+        if not near:  # one factor for all words would lose the small ones
+            scores -= scores.max(axis=1, keepdims=True)
         np.exp(scores, out=scores)
-        return units, scores, scores @ np.ones(scores.shape[1], scores.dtype)
+        return scores, scores @ np.ones(scores.shape[1], scores.dtype)
 
     def forward(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Units and class probabilities."""
-        units, scores, sums = self.exponents(rows)
+        units = self.inputs(rows)
+        scores, sums = self.exponents(units, self.head())
         scores /= sums[:, None]
-        return units, scores
+        return units[:, :-1], scores
+
+    def chances(self, rows: np.ndarray, target: np.ndarray) -> np.ndarray:
+        """Probability of the target class of each word."""
+        units, head = self.inputs(rows), self.head()
+        found = np.empty(len(rows), np.float32)
+        for at in range(0, len(rows), STEP):
+            scores, sums = self.exponents(units[at : at + STEP], head)
+            found[at : at + STEP] = scores[np.arange(len(scores)), target[at : at + STEP]] / sums
+        return found
 
     def touched_gradients(self, rows: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
-        """Table rows in use, and the gradients of those rows, the output weights and the bias."""
-        units, error, sums = self.exponents(rows)
-        error *= (1 / (sums * len(target)))[:, None]
-        error[np.arange(len(target)), target] -= 1 / len(target)
-        back = (error @ self.out.T) * (1 - units * units)
+        """Table rows in use, and the gradients of those rows, the output weights and the bias.
+
+        The scores of STEP words at a time stay in the processor's cache. They are not made probabilities: the
+        factor of each word goes to the few units on the other side of the product.
+        """
+        units, head = self.inputs(rows), self.head()
+        total, turned = np.zeros_like(head[0]), np.ascontiguousarray(self.out.T)
+        back = np.empty((len(rows), UNITS), np.float32)
+        for at in range(0, len(rows), STEP):
+            some = units[at : at + STEP]
+            error, sums = self.exponents(some, head)
+            error[np.arange(len(error)), target[at : at + STEP]] -= sums
+            factor = (1 / (sums * len(target)))[:, None]
+            back[at : at + STEP] = (error @ turned) * factor
+            total += (some * factor).T @ error
+        back *= 1 - units[:, :-1] * units[:, :-1]
         place = rows.T.reshape(-1)
         order = np.argsort(place.astype(np.uint16) if len(self.tables) <= 1 << 16 else place, kind="stable")
         ranked = place[order]
         first = np.flatnonzero(np.concatenate(([True], ranked[1:] != ranked[:-1])))
-        tables = np.add.reduceat(back[order % len(target)], first, axis=0)
-        return ranked[first], [tables, units.T @ error, np.ones(len(error), error.dtype) @ error]
+        tables = np.add.reduceat(back.take(order % len(target), axis=0), first, axis=0)
+        return ranked[first], [tables, total[:-1], total[-1]]
 
     def gradients(self, rows: np.ndarray, target: np.ndarray) -> list[np.ndarray]:
         at, (some, out, bias) = self.touched_gradients(rows, target)
@@ -284,10 +317,9 @@ def scored(tokens: DataFrame, model: tuple[Vocabulary, np.ndarray]) -> DataFrame
             rows, target = neighbours(vocab.context[buckets], owner, vocab.contexts), vocab.word_class[buckets]
             led = (vocab.lead[buckets] == keys) & (vocab.totals[buckets] > 0)
             logs = vocab.inside[buckets] + np.where(led, vocab.lead_share[buckets], 0.0)
-            for at in range(0, len(buckets), BATCH // 4):
-                some = slice(at, at + BATCH // 4)
-                _, chance, sums = network.exponents(rows[some])
-                logs[some] += np.log(chance[np.arange(len(chance)), target[some]] / sums + 1e-12)
+            for at in range(0, len(buckets), BATCH):
+                some = slice(at, at + BATCH)
+                logs[some] += np.log(network.chances(rows[some], target[some]) + 1e-12)
             edges = np.concatenate(([0], np.cumsum(np.bincount(owner[~led], minlength=len(ids)))))
             yield pa.record_batch(
                 [

@@ -77,6 +77,29 @@ def test_gradients_agree_with_differences():
             assert (up - down) / 2e-5 == pytest.approx(own[at], rel=1e-3)
 
 
+def test_steps_of_a_batch_add_up():
+    """A batch of many steps, with scores near and far apart, against probabilities of the whole batch in double precision."""
+    rng = np.random.default_rng(2)
+    prior = np.log(rng.dirichlet(np.ones(40)))
+    for scale in (1, 60):
+        network = pseudo_likelihood.Network(prior)
+        network.out *= scale
+        assert network.head()[1] == (scale == 1)
+        n = 2 * pseudo_likelihood.STEP + 7
+        rows = rng.integers(0, 512, (n, 4)) + np.arange(4) * 512
+        target = rng.integers(0, 40, n)
+        units = np.tanh(network.tables[rows].astype(float).sum(axis=1))
+        scores = units @ network.out.astype(float) + network.bias
+        chance = np.exp(scores - scores.max(axis=1, keepdims=True))
+        chance /= chance.sum(axis=1, keepdims=True)
+        assert network.chances(rows, target) == pytest.approx(chance[np.arange(n), target], rel=1e-3)
+        error = (chance - np.eye(40)[target]) / n
+        tables = np.zeros(network.tables.shape)
+        np.add.at(tables, rows, ((error @ network.out.T.astype(float)) * (1 - units * units))[:, None, :])
+        for got, wanted in zip(network.gradients(rows, target), (tables, units.T @ error, error.sum(axis=0))):
+            assert got == pytest.approx(wanted, abs=1e-4 * np.abs(wanted).max())
+
+
 def test_neighbours_stay_inside_their_text():
     context = np.arange(1, 7)
     found = pseudo_likelihood.neighbours(context, np.array([0, 0, 0, 1, 1, 2])) - np.arange(4) * pseudo_likelihood.CONTEXTS
