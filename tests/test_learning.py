@@ -2,6 +2,10 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.ml import Pipeline
+from pyspark.ml.evaluation import RegressionEvaluator
+from pyspark.ml.regression import GBTRegressor
+from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import functions as F
 
 from marquee.operators import bounds, factors, features, metrics, models, recommend
@@ -120,6 +124,23 @@ def test_search_ranks_candidates(spark, feature_rows):
     assert models.latest_params(record)["max_depth"] == 3.0
 
 
+def test_search_shares_the_trees_of_candidates(feature_rows, monkeypatch):
+    """Candidates that differ in their number of trees are trained as one, with the errors of a plain cross-validation."""
+    candidates = [{"n_estimators": n, "max_depth": 2, "subsample": s, "colsample_bytree": 1.0} for n, s in ((2, 1.0), (6, 1.0), (4, 1.0), (3, 0.8))]
+    rows = models.hash_split(models.model_input(feature_rows), 0.1).filter("split = 'train'")
+    prepared = Pipeline(stages=models.preprocessor(rows)).fit(rows).transform(rows).select("features", "rating").cache()
+    plain = GBTRegressor(labelCol="rating", maxBins=128, seed=42, stepSize=0.1, maxDepth=2)
+    grid = [{plain.maxIter: c["n_estimators"], plain.subsamplingRate: c["subsample"]} for c in candidates]
+    judged = CrossValidator(estimator=plain, estimatorParamMaps=grid, evaluator=RegressionEvaluator(labelCol="rating"), numFolds=2, seed=42)
+    expected = judged.fit(prepared).avgMetrics
+    fits = []
+    fit = GBTRegressor._fit
+    monkeypatch.setattr(GBTRegressor, "_fit", lambda self, df: (fits.append(self.getMaxIter()), fit(self, df))[1])
+    found = models.tune(feature_rows, candidates, folds=2).orderBy("candidate").collect()
+    assert [r["cv_rmse"] for r in found] == pytest.approx(expected, rel=1e-9)
+    assert sorted(fits) == [3, 3, 6, 6]
+
+
 def test_sampled_params_repeat():
     first = models.sampled_params(models.FULL_SEARCH, 5)
     assert first == models.sampled_params(models.FULL_SEARCH, 5) and len(first) == 5
