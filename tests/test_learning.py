@@ -3,6 +3,7 @@ import random
 import numpy as np
 import pytest
 from pyspark.ml import Pipeline
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.regression import GBTRegressor
 from pyspark.ml.tuning import CrossValidator
@@ -116,6 +117,23 @@ def test_parameters_reach_the_trees():
     assert trees.getMaxIter() == 7 and trees.getMaxDepth() == 4 and trees.getFeatureSubsetStrategy() == "all"
 
 
+def test_watch_models_train_in_many_tasks(spark, monkeypatch):
+    """Many narrow rows fill one file, but are not one task's work."""
+    watched = spark.range(900).select(
+        (F.col("id") % 30).alias("user_id"), F.floor(F.col("id") / 30).alias("movie_id"), (F.col("id") % 30 * 3).alias("watch_time")
+    ).coalesce(1)
+    tasks = []
+    for learner in (GBTRegressor, LogisticRegression):
+        fit = learner._fit
+        monkeypatch.setattr(learner, "_fit", lambda self, df, fit=fit: (tasks.append(df.rdd.getNumPartitions()), fit(self, df))[1])
+    whole = [models.watchtime_model(watched, trees=3)[1].first(), models.longwatch_model(watched)[1].first()]
+    monkeypatch.setattr(models, "ROWS_PER_TASK", 200)
+    parts = [models.watchtime_model(watched, trees=3)[1].first(), models.longwatch_model(watched)[1].first()]
+    assert tasks[2:] == [min(5, spark.sparkContext.defaultParallelism)] * 2
+    for a, b in zip(whole, parts):
+        assert tuple(a) == pytest.approx(tuple(b), rel=1e-6)
+
+
 def test_search_ranks_candidates(spark, feature_rows):
     results = models.tune(feature_rows, [{"n_estimators": 1, "max_depth": 1}, {"n_estimators": 5, "max_depth": 3}], folds=2)
     found = results.orderBy("cv_rmse").collect()
