@@ -122,6 +122,25 @@ def test_large_files_are_hashed_as_streams(spark, tmp_path, monkeypatch):
     assert found == {name: hashlib.sha256(content).hexdigest() for name, content in contents.items()}
 
 
+@pytest.mark.parametrize("openssl", [True, False])
+def test_no_task_reads_a_long_file_whole(spark, tmp_path, monkeypatch, openssl):
+    """A hash goes on where the task before left it; empty rests and equal lengths too."""
+    monkeypatch.setattr(files, "LARGE_FILE", 1000)
+    monkeypatch.setattr(files, "STRETCH", 1003)
+    if not openssl:
+        monkeypatch.setattr(files, "_sha256", lambda: None)
+    elif files._sha256() is None:
+        pytest.skip("no OpenSSL here")
+    contents = {f"f{n}": random.Random(n).randbytes(n) for n in (1001, 1003, 1004, 2006, 5000, 5015)}
+    for name, content in contents.items():
+        (tmp_path / name).write_bytes(content)
+    rounds, write = [], files.materialise
+    monkeypatch.setattr(files, "materialise", lambda df, name: (rounds.append(name), write(df, name))[1])
+    found = {r["path"].rsplit("/", 1)[1]: r["file_hash"] for r in files.file_fingerprints(spark, str(tmp_path)).collect()}
+    assert found == {name: hashlib.sha256(content).hexdigest() for name, content in contents.items()}
+    assert len(rounds) == 5
+
+
 def test_hash_of_three_gigabytes(spark, tmp_path):
     with (tmp_path / "zeros").open("wb") as file:
         file.truncate(3 << 30)  # takes no room on disk
