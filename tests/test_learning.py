@@ -10,6 +10,7 @@ from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import functions as F
 
 from marquee.operators import bounds, factors, features, metrics, models, recommend
+from marquee.plans import learning
 
 
 @pytest.fixture(scope="module")
@@ -159,6 +160,14 @@ def test_search_shares_the_trees_of_candidates(feature_rows, monkeypatch):
     assert sorted(fits) == [3, 3, 6, 6]
 
 
+def test_search_reads_all_training_rows(feature_rows, monkeypatch):
+    got = []
+    monkeypatch.setattr(learning, "training_rows", lambda v: feature_rows)
+    monkeypatch.setattr(models, "tune", lambda rows, candidates: got.append((rows.count(), len(candidates))))
+    learning.searched(None, 42)
+    assert got == [(800, learning.CANDIDATES)]
+
+
 def test_sampled_params_repeat():
     first = models.sampled_params(models.FULL_SEARCH, 5)
     assert first == models.sampled_params(models.FULL_SEARCH, 5) and len(first) == 5
