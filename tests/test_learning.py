@@ -47,6 +47,36 @@ def test_shuffles_of_earlier_iterations_can_go(spark, monkeypatch):
     assert made == [1, 1] and spark.sparkContext.getCheckpointDir()
 
 
+def test_factor_blocks_follow_cores_rows_and_the_other_side(planted, monkeypatch):
+    """Small tables keep the trainer's ten; others fill the cores, and a task holds no more factors than the bound."""
+    made = []
+
+    class Kept(factors.ALS):
+        def fit(self, *args):
+            made.append((self.getNumUserBlocks(), self.getNumItemBlocks()))
+            return super().fit(*args)
+
+    monkeypatch.setattr(factors, "ALS", Kept)
+    factors.train_explicit(planted, rank=2, iterations=1)
+    rows, cores = planted.count(), planted.sparkSession.sparkContext.defaultParallelism
+    monkeypatch.setattr(factors, "FEW_ROWS", rows - 1)
+    factors.train_explicit(planted, rank=2, iterations=1)
+    monkeypatch.setattr(factors, "MOST_FACTORS", 50)  # less than the users, more than the movies
+    found = factors.train_explicit(planted, rank=2, iterations=1)
+    whole = cores * max(1, 10 // cores)
+    assert made[:2] == [(10, 10), (whole, whole)] and made[2][0] == whole
+    assert made[2][1] >= rows / 50 and made[2][1] % cores == 0
+    assert found.users.count() == 60 and found.movies.count() == 40
+
+
+def test_indices_do_not_compute_the_residuals_again(planted, monkeypatch):
+    read = []
+    index = factors.dense_index
+    monkeypatch.setattr(factors, "dense_index", lambda df, *a: (read.append(set(df.columns)), index(df, *a))[1])
+    factors.train_explicit(planted, rank=2, iterations=1)
+    assert read == [{"user_id", "movie_id", "rating"}] * 2
+
+
 def test_explicit_factors_beat_the_mean(planted, explicit):
     mean, movie_offsets, user_offsets = factors.rating_baseline(planted)
     u = explicit.users.withColumnRenamed("features", "p")
