@@ -1,4 +1,5 @@
 import random
+import threading
 
 import numpy as np
 import pytest
@@ -190,6 +191,31 @@ def test_search_shares_the_trees_of_candidates(feature_rows, monkeypatch):
     assert sorted(fits) == [3, 3, 6, 6]
 
 
+def test_search_of_many_rows_fits_one_after_another(feature_rows, monkeypatch):
+    """Fits side by side hold their own copies of the rows; the errors are the same either way."""
+    candidates = [{"n_estimators": 2, "max_depth": 1, "subsample": s} for s in (0.8, 1.0)]
+    running, most, lock = [0], [0], threading.Lock()
+    fit = GBTRegressor._fit
+
+    def counted(self, df):
+        with lock:
+            running[0] += 1
+            most[0] = max(most[0], running[0])
+        try:
+            return fit(self, df)
+        finally:
+            with lock:
+                running[0] -= 1
+
+    monkeypatch.setattr(GBTRegressor, "_fit", counted)
+    errors = []
+    for rows in (models.ROWS_SIDE_BY_SIDE, 800):
+        monkeypatch.setattr(models, "ROWS_SIDE_BY_SIDE", rows)
+        most[0] = 0
+        errors.append(models.tune(feature_rows, candidates).orderBy("candidate").collect())
+    assert most[0] == 1 and errors[0] == errors[1]
+
+
 def test_search_reads_all_training_rows(feature_rows, monkeypatch):
     got = []
     monkeypatch.setattr(learning, "training_rows", lambda v: feature_rows)
